@@ -52,9 +52,10 @@ def _join(target: DataFrame, timeline: DataFrame, spec: HistorySpec, how: str,
 def _join_salted(target: DataFrame, timeline: DataFrame, spec: HistorySpec, how: str,
                  buckets: int) -> DataFrame:
     """Target rows spread over buckets, the timeline repeated in each; the bucket is joined on."""
-    spread = target.withColumn("_salt", F.pmod(F.xxhash64(*target.columns), F.lit(buckets)))
+    salt = F.pmod(F.xxhash64(*target.columns), F.lit(buckets)).cast("int")
+    spread = target.withColumn("_salt", salt)
     repeated = timeline.withColumn(
-        "_src_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).cast("long"))
+        "_src_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
     return _join(spread, repeated, spec, how,
                  F.col("_salt") == F.col("_src_salt")).drop("_salt", "_src_salt")
 

@@ -67,10 +67,11 @@ _F2 = _Pair(
                  "customer_id", "customer_id, segment", "valid_from", "valid_to",
                  "DATE '9999-12-31'"),
         "valid_to", "is_current", "DATE '9999-12-31'", "CAST(NULL AS VARCHAR) AS city"),
-    _windows("SELECT user_id AS customer_id, CAST(ts AS DATE) AS d, MIN(props) AS city "
+    "SELECT customer_id, city, f, LEAST(e, CAST(f + INTERVAL 6 DAY AS DATE)) AS e FROM ("
+    + _windows("SELECT user_id AS customer_id, CAST(ts AS DATE) AS d, MIN(props) AS city "
              "FROM events WHERE event_type = 'purchase' AND value >= 100 "
              "AND ts < TIMESTAMP '2024-01-24 00:00:00' GROUP BY 1, 2",
-             "customer_id", "customer_id, city", "f", "e", "DATE '2024-01-25'"),
+             "customer_id", "customer_id, city", "f", "e", "DATE '2024-01-25'") + ")",
 )
 
 _F3 = _Pair(
@@ -271,10 +272,10 @@ def all_oracles() -> dict[str, str]:
         rows("f1", "t") + " WHERE EXISTS (SELECT 1 FROM s WHERE s.id = t.id)")
     put("passthrough_rows_f1", "f1", rows("f1", "uncovered"))
     put("source_gaps_f2", "f2", """
-, e AS (SELECT customer_id, f, e, MAX(e) OVER (PARTITION BY customer_id ORDER BY f
+, w AS (SELECT customer_id, f, e, MAX(e) OVER (PARTITION BY customer_id ORDER BY f
           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM s)
 SELECT customer_id, COALESCE(before, DATE '0001-01-01') AS _src_start, f AS _src_end
-FROM e WHERE COALESCE(before, DATE '0001-01-01') < f
+FROM w WHERE COALESCE(before, DATE '0001-01-01') < f
 UNION ALL SELECT customer_id, MAX(e), DATE '9999-12-31' FROM s GROUP BY customer_id""")
 
     for name in ("backfill_sql_f1", "backfill_plain_f1", "backfill_broadcast_f1",

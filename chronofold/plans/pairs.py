@@ -70,8 +70,8 @@ def _f1_source(spark, sf_dir):
         "Eff_Start_Date", "Eff_End_Date", F1.open_date)
 
 
-# Views and clicks of a user against large purchases; other names and sentinel, and a source that
-# ends on a day of its own.
+# Views and clicks of a user against large purchases; other names and sentinel, and a source with
+# gaps: a purchase counts for at most six days, and none after a closing day.
 F2 = HistorySpec(
     keys="customer_id",
     passthrough="customer_id,segment,valid_from,valid_to,is_current",
@@ -80,11 +80,12 @@ F2 = HistorySpec(
 )
 
 
-def _user_days(spark, sf_dir, wanted: Column, name: str, value: Column, last_end: str):
+def _user_days(spark, sf_dir, wanted: Column, name: str, value: Column, last_end: str,
+               max_days: int | None = None):
     events = read_parquet(spark, sf_dir, "events").where(wanted)
     return windows_from_events(
         events.withColumnRenamed("user_id", "customer_id"), ["customer_id"], F.col("ts"),
-        {name: value}, F2.start, F2.end, last_end)
+        {name: value}, F2.start, F2.end, last_end, max_days)
 
 
 def _f2_target(spark, sf_dir):
@@ -96,7 +97,7 @@ def _f2_target(spark, sf_dir):
 def _f2_source(spark, sf_dir):
     large = ((F.col("event_type") == "purchase") & (F.col("value") >= 100)
              & (F.col("ts") < F.lit("2024-01-24").cast("timestamp_ntz")))
-    return _user_days(spark, sf_dir, large, "city", F.col("props"), "2024-01-25")
+    return _user_days(spark, sf_dir, large, "city", F.col("props"), "2024-01-25", max_days=6)
 
 
 # Shipments of a supplier by return flag against the order days of the same lines; composite key.

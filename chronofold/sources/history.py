@@ -56,8 +56,11 @@ def windows_from_events(
     start: str,
     end: str,
     last_end: str,
+    max_days: int | None = None,
 ) -> DataFrame:
-    """Turn dated events into a gap-free history: one row per key and day, valid to the next day.
+    """Turn dated events into a history: one row per key and day, valid until the next one.
+
+    With ``max_days`` a row is valid for at most that long, which leaves gaps.
 
     Events of one key and day are combined (smallest value) before the shuffle by key, so a
     window group holds at most one row per calendar day however many events its key has.
@@ -65,4 +68,7 @@ def windows_from_events(
     daily = events.groupBy(*keys, day.cast("date").alias(start)).agg(
         *[F.min(value).alias(name) for name, value in values.items()])
     following = F.lead(start).over(Window.partitionBy(*keys).orderBy(start))
-    return daily.withColumn(end, F.coalesce(following, F.lit(last_end).cast("date")))
+    until = F.coalesce(following, F.lit(last_end).cast("date"))
+    if max_days is not None:
+        until = F.least(until, F.date_add(start, max_days))
+    return daily.withColumn(end, until)
