@@ -59,9 +59,13 @@ def _classified(target, source, spec, with_end=False):
     return change.classify_changes(_left(target, source, spec), target, spec, compare)
 
 
+def _first_key(spec: HistorySpec) -> HistorySpec:
+    return replace(spec, keys=spec.keys[:1])
+
+
 def _repeated_starts(target, source, spec):
     """Starts that are unique per full key repeat when only the first key column is looked at."""
-    return change.duplicate_starts(target, replace(spec, keys=spec.keys[:1]))
+    return change.duplicate_starts(target, _first_key(spec))
 
 
 def _sql_form(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -227,6 +231,8 @@ def all_queries() -> dict[str, Query]:
         "f2", lambda t, s, spec: checks.unexpected_nulls(_left(t, s, spec), s, spec))
     q["check_active_multi_f1"] = _on(
         "f1", lambda t, s, spec: checks.active_flag_findings(_merged(t, s, spec), spec, False))
+    q["check_active_multi_f3"] = _on(
+        "f3", lambda t, s, spec: checks.active_flag_findings(t, _first_key(spec), False))
     q["check_active_exact_f2"] = _on(
         "f2", lambda t, s, spec: checks.active_flag_findings(_inner_state(t, s, spec), spec, True))
     for f in PAIRS:

@@ -309,6 +309,9 @@ UNION ALL SELECT customer_id, MAX(e), DATE '9999-12-31' FROM s GROUP BY customer
     put("check_overlaps_strict_f1", "f1", _overlaps(_F1, "merged", "reach"))
     put("check_nulls_f2", "f2", _null_count(_F2, "left_rows"))
     put("check_active_multi_f1", "f1", _active(_F1, "merged", "> 1"))
+    put("check_active_multi_f3", "f3",
+        "SELECT policy_id, CAST(SUM(active) AS BIGINT) AS active_count FROM t "
+        "GROUP BY policy_id HAVING SUM(active) > 1")
     put("check_active_exact_f2", "f2", _active(_F2, "inner_state", "<> 1"))
     put("check_verdict_merge_f1", "f1", _verdict(_F1, "merged", "<> 1"))
 

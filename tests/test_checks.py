@@ -1,0 +1,115 @@
+"""Checks and summaries on hand-written histories."""
+
+import datetime as dt
+from collections import Counter
+
+from chronofold.operators import checks, summaries
+from chronofold.operators.overlap import expand_history
+from chronofold.spec import HistorySpec
+from small import SPEC, source, target
+
+PAIR = HistorySpec(keys="a,b", passthrough="a,b,eff_start_date,eff_end_date,active",
+                   new_cols="status")
+PAIR_SCHEMA = "a long, b string, eff_start_date date, eff_end_date date, active int, status string"
+
+
+def found(df):
+    return sorted(tuple(str(x) for x in r) for r in df.collect())
+
+
+def test_containment_is_found_by_the_strict_check_only(spark):
+    t = target(spark, (116, "A", "2020-01-01", "2020-04-01"),
+               (116, "B", "2020-01-10", "2020-01-20"), (116, "C", "2020-01-30", "2020-02-10"))
+    assert found(checks.date_overlaps(t, SPEC)) == [("116", "2020-04-01", "2020-01-10")]
+    assert found(checks.date_overlaps(t, SPEC, strict=True)) == [
+        ("116", "2020-04-01", "2020-01-10"), ("116", "2020-04-01", "2020-01-30")]
+
+
+def test_gap_between_rows(spark):
+    t = target(spark, (1, "A", "2020-01-01", "2020-02-01"), (1, "B", "2020-02-01", "2020-03-01"),
+               (1, "C", "2020-04-01", "H"), (2, "D", "2019-01-01", "2019-02-01"))
+    assert found(checks.date_gaps(t, SPEC)) == [("1", "2020-03-01", "2020-04-01")]
+    assert checks.date_overlaps(t, SPEC).isEmpty()
+
+
+def test_copies_of_a_row_follow_one_another(spark):
+    """n copies of a window give n - 1 findings, and the first follows the row before it."""
+    t = target(spark, (1, "A", "2020-01-01", "2020-02-01"),
+               *[(1, "B", "2020-02-01", "2020-03-01")] * 4, (1, "C", "2020-03-01", "H"))
+    assert found(checks.date_overlaps(t, SPEC)) == [("1", "2020-03-01", "2020-02-01")] * 3
+    assert found(checks.date_overlaps(t, SPEC, strict=True)) == [
+        ("1", "2020-03-01", "2020-02-01")] * 3
+
+
+def test_many_copies_are_listed_in_chunks(spark, monkeypatch):
+    monkeypatch.setattr(checks, "_COPIES_PER_ROW", 7)
+    t = target(spark, *[(1, "B", "2020-02-01", "2020-03-01")] * 30)
+    assert checks.date_overlaps(t, SPEC).count() == 29
+
+
+def test_checks_look_at_all_key_columns(spark):
+    day = dt.date(2020, 1, 1)
+    t = spark.createDataFrame(
+        [(1, b, day, dt.date(2020, 2, 1), 0, None) for b in "xy"], PAIR_SCHEMA)
+    assert checks.date_gaps(t, PAIR).isEmpty()
+    assert checks.date_overlaps(t, PAIR).isEmpty()
+
+
+def test_lag_checks_match_brute_force(spark):
+    rows = [(1 + i % 2, "p", str(dt.date(2020, 1, 1 + (i * 7) % 13)),
+             str(dt.date(2020, 1, 3 + (i * 7) % 13 + i % 4))) for i in range(60)]
+    gaps, overlaps, strict = Counter(), Counter(), Counter()
+    for key in (1, 2):
+        windows = sorted((r[2], r[3]) for r in rows if r[0] == key)
+        for n, (start, _) in enumerate(windows[1:], 1):
+            before, reach = windows[n - 1][1], max(e for _, e in windows[:n])
+            gaps[(str(key), before, start)] += before != start
+            overlaps[(str(key), before, start)] += before > start
+            strict[(str(key), reach, start)] += reach > start
+    t = target(spark, *rows)
+    assert Counter(found(checks.date_gaps(t, SPEC))) == +gaps
+    assert Counter(found(checks.date_overlaps(t, SPEC))) == +overlaps
+    assert Counter(found(checks.date_overlaps(t, SPEC, strict=True))) == +strict
+
+
+def test_null_source_value_is_reported(spark):
+    t = target(spark, (113, "A", "2020-01-01", "H"), (114, "B", "2020-01-01", "H"))
+    s = source(spark, (113, None, "2020-01-01", "H"))
+    out = expand_history(t, s, SPEC, "inner")
+    assert checks.unexpected_nulls(out, s, SPEC).first()[0] == 1
+    assert checks.unexpected_nulls(out.limit(0), s, SPEC).first()[0] == 0
+
+
+def test_active_flag_rules(spark):
+    t = target(spark, (117, "A", "2020-01-01", "H"), (117, "B", "2021-01-01", "H"),
+               (118, "A", "2020-01-01", "2021-01-01"), (119, "A", "2020-01-01", "H"))
+    assert found(checks.active_flag_findings(t, SPEC, exactly_one=False)) == [("117", "2")]
+    assert found(checks.active_flag_findings(t, SPEC, exactly_one=True)) == [
+        ("117", "2"), ("118", "0")]
+
+
+def test_verdict_has_one_row_per_check(spark):
+    t = target(spark, (1, "A", "2020-01-01", "H"))
+    s = source(spark, (1, "X", "2020-01-01", "H"))
+    good = checks.verdict(t, expand_history(t, s, SPEC, "inner"), s, SPEC)
+    assert {r.check_name for r in good.collect()} == {
+        "row_count", "date_gaps", "date_overlaps", "unexpected_nulls", "active_flags"}
+    assert good.where("not passed").isEmpty()
+    lost = checks.verdict(t, t.limit(0), s, SPEC)
+    assert [(r.check_name, r.findings) for r in lost.where("not passed").collect()] == [
+        ("row_count", 1)]
+
+
+def test_summaries(spark):
+    t = target(spark, (1, "A", "2020-01-01", "2021-01-01", "x"), (1, "B", "2021-01-01", "H", "y"),
+               (2, "C", "2020-01-01", "H"))
+    s = source(spark, (1, "X", "2020-01-01", "H"), (None, "Y", "2020-01-01", "H"))
+    assert tuple(summaries.preflight_counts(t, s, SPEC).first()) == (3, 2, 1)
+    assert tuple(summaries.population_summary(t, SPEC, "status").first()) == (3, 2, 1, 2)
+    assert summaries.population_summary(t.where("id = 2"), SPEC, "status").first()[1] is None
+    first = summaries.key_summary(t, SPEC).where("id = 1").first()
+    assert (first.history_rows, first.active_rows, str(first.earliest_start),
+            first.distinct_status_values) == (2, 1, "2020-01-01", 2)
+    assert summaries.expansion_ratio(t, t.union(t)).first().expansion_ratio == 2.0
+    assert summaries.expansion_ratio(t.limit(0), t).first().expansion_ratio is None
+    assert [r.place for r in summaries.listing(t, SPEC).collect()] == ["A", "B", "C"]
