@@ -86,15 +86,18 @@ def backfilled_state(staged: DataFrame, target: DataFrame, spec: HistorySpec) ->
     return _merge(staged, target, spec, "left")
 
 
+def _staged_starts(staged: DataFrame, spec: HistorySpec):
+    """Distinct staged (key, start) and the null-safe condition to join them on."""
+    row_id = (*spec.keys, spec.start)
+    starts = staged.select(*[F.col(c).alias(f"_cur_{c}") for c in row_id]).distinct()
+    return starts, all_of(F.col(c).eqNullSafe(F.col(f"_cur_{c}")) for c in row_id)
+
+
 def stale_parents(target: DataFrame, staged: DataFrame, spec: HistorySpec) -> DataFrame:
     """Stored rows whose (key, start) no staged row has. NULLs compare as equal."""
-    starts = _current(staged, spec, ()).distinct()
-    same = all_of(F.col(c).eqNullSafe(F.col(f"_cur_{c}")) for c in (*spec.keys, spec.start))
-    return target.join(starts, same, "left_anti")
+    return target.join(*_staged_starts(staged, spec), "left_anti")
 
 
 def without_stale_parents(table: DataFrame, staged: DataFrame, spec: HistorySpec) -> DataFrame:
     """Rows of ``table`` whose (key, start) is staged: what a delete of stale parents leaves."""
-    starts = _current(staged, spec, ()).distinct()
-    same = all_of(F.col(c).eqNullSafe(F.col(f"_cur_{c}")) for c in (*spec.keys, spec.start))
-    return table.join(starts, same, "left_semi")
+    return table.join(*_staged_starts(staged, spec), "left_semi")

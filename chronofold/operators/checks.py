@@ -8,8 +8,6 @@ of rows. Ties on start are ordered by end.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -113,25 +111,35 @@ def row_count_check(before: DataFrame, after: DataFrame) -> DataFrame:
 
 def verdict(before: DataFrame, after: DataFrame, source: DataFrame, spec: HistorySpec,
             exactly_one_active: bool = False) -> DataFrame:
-    """All checks as rows (check_name, findings, passed); one job, nothing collected."""
-    none = F.lit(0).cast("long")
-    neighbours = _neighbours(after, spec)
-    chain = neighbours.agg(
-        F.coalesce(F.sum(F.when(_is_gap(spec), F.col("_times"))), none).alias("date_gaps"),
-        F.coalesce(F.sum(F.when(_is_overlap(spec, "_prev_end"), F.col("_times"))), none)
-        .alias("date_overlaps"))
-    counted = row_count_check(before, after).select(
-        F.lit("row_count").alias("check_name"),
-        F.greatest(F.col("rows_before") - F.col("rows_after"), none).alias("findings"))
-    nulls = unexpected_nulls(after, source, spec).select(
-        F.lit("unexpected_nulls"), F.col("unexpected_null_count"))
-    flags = active_flag_findings(after, spec, exactly_one_active).agg(
-        F.count("*").alias("n")).select(F.lit("active_flags"), "n")
-    parts = [
-        counted,
-        chain.select(F.stack(F.lit(2), F.lit("date_gaps"), F.col("date_gaps"),
-                             F.lit("date_overlaps"), F.col("date_overlaps"))),
-        nulls,
-        flags,
-    ]
-    return reduce(DataFrame.unionAll, parts).withColumn("passed", F.col("findings") == 0)
+    """All checks as rows (check_name, findings, passed).
+
+    One job that reads ``after`` twice: once combined per key (rows, NULLs and flags together) and
+    once for the chain of dates. Keys meet the source keys as one row each.
+    """
+    active = F.col("_active")
+    per_key = after.groupBy(*spec.keys).agg(
+        F.count("*").alias("_rows"),
+        F.count(F.when(any_null(spec.new_cols), 1)).alias("_nulls"),
+        F.sum(spec.active).alias("_active"))
+    known = source_keys(source, spec.keys).withColumn("_known", F.lit(True))
+    content = per_key.join(known, list(spec.keys), "left").agg(
+        F.sum("_rows").alias("rows_after"),
+        F.sum(F.when(F.col("_known"), F.col("_nulls"))).alias("unexpected_nulls"),
+        F.count(F.when(active != 1 if exactly_one_active else active > 1, 1))
+        .alias("active_flags"))
+    chain = _neighbours(after, spec).agg(
+        F.sum(F.when(_is_gap(spec), F.col("_times"))).alias("date_gaps"),
+        F.sum(F.when(_is_overlap(spec, "_prev_end"), F.col("_times"))).alias("date_overlaps"))
+    counts = (
+        before.agg(F.count("*").alias("rows_before"))
+        .unionByName(content, allowMissingColumns=True)
+        .unionByName(chain, allowMissingColumns=True))
+    names = ("date_gaps", "date_overlaps", "unexpected_nulls", "active_flags")
+    totals = counts.agg(*[
+        F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("rows_before", "rows_after", *names)])
+    lost = F.greatest(F.col("rows_before") - F.col("rows_after"), F.lit(0).cast("long"))
+    findings = [F.lit("row_count"), lost] + [x for c in names for x in (F.lit(c), F.col(c))]
+    return (
+        totals.select(F.stack(F.lit(1 + len(names)), *findings).alias("check_name", "findings"))
+        .withColumn("passed", F.col("findings") == 0)
+    )

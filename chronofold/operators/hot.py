@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chronofold.functions.columns import all_of, overlaps
 from chronofold.operators.coverage import LAST_DAY, coverage_steps
@@ -20,46 +21,43 @@ _PLAN_COLS = ("_lo", "_width", "_segments", "_t_salts", "_s_salts")
 
 def hot_keys(target: DataFrame, source: DataFrame, spec: HistorySpec,
              tuning: JoinTuning) -> DataFrame | None:
-    """The largest keys present on both sides with their segments and salts; None if there are none.
+    """The largest source keys with their segments and salts; None if no key is large.
 
     One job that reads key and start columns only and combines them map-side. The result has at
     most ``max_hot_keys`` rows, so it may pass the driver and be broadcast; keys beyond it stay in
     the ordinary join, which is exact too.
     """
-    load = (
-        target.select(*spec.keys, F.col(spec.start).alias("_day"),
-                      F.lit(1).cast("long").alias("_t"), F.lit(0).cast("long").alias("_s"))
-        .unionAll(source.select(*spec.keys, F.col(SRC_START).alias("_day"),
-                                F.lit(0).cast("long"), F.lit(1).cast("long")))
-        .where(all_of(F.col(k).isNotNull() for k in spec.keys))
+    keys = [f"`{k}`" for k in spec.keys]
+    found = (
+        target.selectExpr(*keys, f"`{spec.start}` AS _day", "1L AS _t", "0L AS _s")
+        .unionAll(source.selectExpr(*keys, SRC_START, "0L", "1L"))
+        .where(" AND ".join(f"{k} IS NOT NULL" for k in keys))
         .groupBy(*spec.keys)
-        .agg(F.sum("_t").alias("_t"), F.sum("_s").alias("_s"),
-             F.min("_day").alias("_lo"), F.max("_day").alias("_hi"))
-        .withColumn("_pairs", F.col("_t").cast("double") * F.col("_s"))
-        .where((F.col("_t") > 0) & (F.col("_s") > 0) & (
-            (F.col("_pairs") > tuning.hot_pairs)
-            | (F.greatest("_t", "_s") > tuning.hot_rows)))
-        .orderBy(F.desc("_pairs"), *spec.keys)
+        .agg(F.expr("sum(_t) AS _t"), F.expr("sum(_s) AS _s"),
+             F.expr("coalesce(unix_date(min(_day)), 0) AS _lo"),
+             F.expr("coalesce(datediff(max(_day), min(_day)) + 1, 1) AS _days"))
+        .where("_s > 0")
+        .where(f"double(_t) * _s > {tuning.hot_pairs} OR greatest(_t, _s) > {tuning.hot_rows}")
+        .orderBy(F.expr("double(_t) * _s").desc(), *spec.keys)
         .limit(tuning.max_hot_keys)
     )
-    days = F.coalesce(F.datediff("_hi", "_lo") + 1, F.lit(1))
-    segments = F.greatest(F.lit(1), F.least(
-        F.ceil(F.least("_t", "_s") / tuning.segment_rows), days, F.lit(tuning.max_segments)))
-
-    def salts(rows: str) -> Column:
-        per_cell = F.col("_segments") * tuning.cell_rows
-        return F.greatest(F.lit(1), F.ceil(F.col(rows) / per_cell)).cast("int")
-
-    plan = load.withColumn("_segments", segments.cast("int")).select(
-        *[F.col(k).alias(f"_hot_{k}") for k in spec.keys],
-        F.coalesce("_lo", F.lit("1970-01-01").cast("date")).alias("_lo"),
-        F.ceil(days / F.col("_segments")).cast("int").alias("_width"),
-        "_segments",
-        salts("_t").alias("_t_salts"),
-        salts("_s").alias("_s_salts"),
-    )
-    found = plan.collect()
-    return target.sparkSession.createDataFrame(found, plan.schema) if found else None
+    rows = found.collect()
+    if not rows:
+        return None
+    schema = T.StructType(
+        [T.StructField(f"_hot_{k}", found.schema[k].dataType) for k in spec.keys]
+        + [T.StructField(c, T.IntegerType()) for c in _PLAN_COLS])
+    return target.sparkSession.createDataFrame(
+        [tuple(row[k] for k in spec.keys) + _layout(row, tuning) for row in rows], schema)
+
+
+def _layout(row, tuning: JoinTuning) -> tuple[int, ...]:
+    """First day, days per segment, segments, and salts of each side of one hot key."""
+    smaller = min(row._t, row._s)
+    segments = max(1, min(-(-smaller // tuning.segment_rows), row._days, tuning.max_segments))
+    cell = segments * tuning.cell_rows
+    salts = (max(1, -(-rows // cell)) for rows in (row._t, row._s))
+    return (row._lo, -(-row._days // segments), segments, *salts)
 
 
 def _match(spec: HistorySpec) -> Column:
@@ -76,7 +74,7 @@ def only_hot(rows: DataFrame, hot: DataFrame, spec: HistorySpec) -> DataFrame:
 
 
 def _segment(day: Column) -> Column:
-    raw = F.floor(F.datediff(day, "_lo") / F.col("_width"))
+    raw = F.floor((F.unix_date(day) - F.col("_lo")) / F.col("_width"))
     return F.greatest(F.lit(0), F.least(F.col("_segments") - 1, raw)).cast("int")
 
 

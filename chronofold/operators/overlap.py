@@ -62,7 +62,7 @@ def _join_salted(target: DataFrame, timeline: DataFrame, spec: HistorySpec, how:
 
 def _attach_hot(target: DataFrame, source: DataFrame, hot: DataFrame, spec: HistorySpec,
                 coverage: str) -> DataFrame:
-    """Hot keys occur on both sides, so no row of theirs is passed through by key."""
+    """Hot keys occur in the source, so no row of theirs is passed through by key."""
     big_target, big_source = only_hot(target, hot, spec), only_hot(source, hot, spec)
     rows = big_source.withColumn(KIND, F.lit(ROW))
     if coverage in ("pairs", "inner"):

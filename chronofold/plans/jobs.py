@@ -32,10 +32,10 @@ class JobResult:
 
 def _stage_check_publish(final: DataFrame, target: DataFrame, source: DataFrame,
                          spec: HistorySpec, store: RunStore, operation: str,
-                         ignore: tuple[str, ...]) -> JobResult:
+                         ignore: tuple[str, ...], colocate: bool = False) -> JobResult:
     seen = Observation()
-    counted = colocated(final, spec.keys).observe(seen, F.count(F.lit(1)).alias("rows"))
-    run_id = store.stage(counted)
+    placed = colocated(final, spec.keys) if colocate else final
+    run_id = store.stage(placed.observe(seen, F.count(F.lit(1)).alias("rows")))
     staged = store.read(run_id)
     checks = verdict(target, staged, source, spec)
     # At most one row per check.
@@ -50,13 +50,17 @@ def _stage_check_publish(final: DataFrame, target: DataFrame, source: DataFrame,
 
 def run_overwrite(target: DataFrame, source: DataFrame, spec: HistorySpec, store: RunStore,
                   coverage: str = "preserve", tuning: JoinTuning = JoinTuning(),
-                  ignore: tuple[str, ...] = ()) -> JobResult:
-    """Back-fill by replacing the whole content. ``ignore`` names checks that may fail: the added
-    uncovered pieces of ``preserve`` have NULL values by design, so they fail ``unexpected_nulls``."""
+                  ignore: tuple[str, ...] = (), colocate: bool = False) -> JobResult:
+    """Back-fill by replacing the whole content.
+
+    ``ignore`` names checks that may fail. The added uncovered pieces of ``preserve`` have NULL
+    values by design, so ``unexpected_nulls`` is ignored there. A shuffled join leaves the rows of
+    a key together already; ``colocate`` adds a shuffle that ensures it after other joins as well.
+    """
     final = expand_history(target, source, spec, coverage, tuning)
     if coverage == "preserve":
         ignore = (*ignore, "unexpected_nulls")
-    return _stage_check_publish(final, target, source, spec, store, "overwrite", ignore)
+    return _stage_check_publish(final, target, source, spec, store, "overwrite", ignore, colocate)
 
 
 def run_merge(target: DataFrame, source: DataFrame, spec: HistorySpec, store: RunStore,
