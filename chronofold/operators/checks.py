@@ -109,9 +109,12 @@ def row_count_check(before: DataFrame, after: DataFrame) -> DataFrame:
     )
 
 
-def verdict(before: DataFrame, after: DataFrame, source: DataFrame, spec: HistorySpec,
-            exactly_one_active: bool = False) -> DataFrame:
-    """All checks as rows (check_name, findings, passed).
+CHECKS = ("row_count", "date_gaps", "date_overlaps", "unexpected_nulls", "active_flags")
+
+
+def verdict_counts(before: DataFrame, after: DataFrame, source: DataFrame, spec: HistorySpec,
+                   exactly_one_active: bool = False) -> DataFrame:
+    """One row with the row counts and the number of findings of every check.
 
     One job that reads ``after`` twice: once combined per key (rows, NULLs and flags together) and
     once for the chain of dates. Keys meet the source keys as one row each.
@@ -134,12 +137,19 @@ def verdict(before: DataFrame, after: DataFrame, source: DataFrame, spec: Histor
         before.agg(F.count("*").alias("rows_before"))
         .unionByName(content, allowMissingColumns=True)
         .unionByName(chain, allowMissingColumns=True))
-    names = ("date_gaps", "date_overlaps", "unexpected_nulls", "active_flags")
-    totals = counts.agg(*[
-        F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("rows_before", "rows_after", *names)])
-    lost = F.greatest(F.col("rows_before") - F.col("rows_after"), F.lit(0).cast("long"))
-    findings = [F.lit("row_count"), lost] + [x for c in names for x in (F.lit(c), F.col(c))]
+    rows, none = ("rows_before", "rows_after"), F.lit(0).cast("long")
+    return (
+        counts.agg(*[F.coalesce(F.sum(c), none).alias(c) for c in (*rows, *CHECKS[1:])])
+        .withColumn("row_count", F.greatest(F.col("rows_before") - F.col("rows_after"), none))
+    )
+
+
+def verdict(before: DataFrame, after: DataFrame, source: DataFrame, spec: HistorySpec,
+            exactly_one_active: bool = False) -> DataFrame:
+    """All checks as rows (check_name, findings, passed)."""
+    findings = [x for c in CHECKS for x in (F.lit(c), F.col(c))]
     return (
-        totals.select(F.stack(F.lit(1 + len(names)), *findings).alias("check_name", "findings"))
+        verdict_counts(before, after, source, spec, exactly_one_active)
+        .select(F.stack(F.lit(len(CHECKS)), *findings).alias("check_name", "findings"))
         .withColumn("passed", F.col("findings") == 0)
     )

@@ -85,8 +85,8 @@ def _attach(target: DataFrame, source: DataFrame, spec: HistorySpec, coverage: s
     how = "inner" if coverage == "pairs" else "left"
     strategy = tuning.strategy
     if strategy == "broadcast":
-        fits = measured_bytes(source) <= tuning.broadcast_bytes
-        strategy = "broadcast" if fits else "split"
+        size = measured_bytes(_timeline(source, spec, coverage))
+        strategy = "broadcast" if size <= tuning.broadcast_bytes else "split"
 
     hot = hot_keys(target, source, spec, tuning) if strategy == "split" else None
     if hot is not None:

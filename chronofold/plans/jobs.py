@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from chronofold.operators.change import backfilled_state, duplicate_starts
-from chronofold.operators.checks import verdict
+from chronofold.operators.checks import CHECKS, verdict_counts
 from chronofold.operators.overlap import expand_history, overlap_rows
 from chronofold.sinks.publish import RunStore, colocated
 from chronofold.spec import HistorySpec, JoinTuning
@@ -23,34 +23,27 @@ class JobResult:
     run_id: str
     input_rows: int
     output_rows: int
-    checks: DataFrame
+    findings: dict[str, int]
 
     @property
     def expansion_ratio(self) -> float | None:
         return self.output_rows / self.input_rows if self.input_rows else None
 
 
-def _stage_check_publish(final: DataFrame, target: DataFrame, source: DataFrame,
-                         spec: HistorySpec, store: RunStore, operation: str,
-                         ignore: tuple[str, ...], colocate: bool = False) -> JobResult:
-    seen = Observation()
-    placed = colocated(final, spec.keys) if colocate else final
-    run_id = store.stage(placed.observe(seen, F.count(F.lit(1)).alias("rows")))
-    staged = store.read(run_id)
-    checks = verdict(target, staged, source, spec)
-    # At most one row per check.
-    failed = [row.check_name for row in checks.where("not passed").collect()
-              if row.check_name not in ignore]
+def _check_and_publish(run_id: str, target: DataFrame, source: DataFrame, spec: HistorySpec,
+                       store: RunStore, operation: str, ignore: Sequence[str]) -> JobResult:
+    counts = verdict_counts(target, store.read(run_id), source, spec).first()
+    failed = [c for c in CHECKS if counts[c] and c not in ignore]
     if failed:
         raise ValidationFailed(f"run {run_id} not published, failed: {', '.join(failed)}")
-    output_rows, input_rows = seen.get["rows"], target.count()
-    store.publish(run_id, operation, rows=output_rows)
-    return JobResult(run_id, input_rows, output_rows, checks)
+    store.publish(run_id, operation, rows=counts.rows_after)
+    return JobResult(run_id, counts.rows_before, counts.rows_after,
+                     {c: counts[c] for c in CHECKS})
 
 
 def run_overwrite(target: DataFrame, source: DataFrame, spec: HistorySpec, store: RunStore,
                   coverage: str = "preserve", tuning: JoinTuning = JoinTuning(),
-                  ignore: tuple[str, ...] = (), colocate: bool = False) -> JobResult:
+                  ignore: Sequence[str] = (), colocate: bool = False) -> JobResult:
     """Back-fill by replacing the whole content.
 
     ``ignore`` names checks that may fail. The added uncovered pieces of ``preserve`` have NULL
@@ -60,19 +53,22 @@ def run_overwrite(target: DataFrame, source: DataFrame, spec: HistorySpec, store
     final = expand_history(target, source, spec, coverage, tuning)
     if coverage == "preserve":
         ignore = (*ignore, "unexpected_nulls")
-    return _stage_check_publish(final, target, source, spec, store, "overwrite", ignore, colocate)
+    run_id = store.stage(colocated(final, spec.keys) if colocate else final)
+    return _check_and_publish(run_id, target, source, spec, store, "overwrite", ignore)
 
 
 def run_merge(target: DataFrame, source: DataFrame, spec: HistorySpec, store: RunStore,
-              tuning: JoinTuning = JoinTuning(), ignore: tuple[str, ...] = ()) -> JobResult:
-    """Back-fill by upsert and removal of stale parents.
+              tuning: JoinTuning = JoinTuning(), ignore: Sequence[str] = ()) -> JobResult:
+    """Back-fill by upsert and removal of stale parents; NULL values are not checked in this form.
 
     The left expansion is written once and read back by the duplicate check and the merge, so the
     overlap join runs once and a lost executor costs only its own tasks.
     """
-    expanded = store.read(store.stage(overlap_rows(target, source, spec, "left", tuning)))
+    work = store.stage(overlap_rows(target, source, spec, "left", tuning))
+    expanded = store.read(work)
     if not duplicate_starts(expanded, spec).isEmpty():
         raise ValidationFailed("staged rows repeat a key and start date; the merge is ambiguous")
-    final = backfilled_state(expanded, target, spec)
-    return _stage_check_publish(final, target, source, spec, store, "merge",
-                                (*ignore, "unexpected_nulls"))
+    run_id = store.stage(backfilled_state(expanded, target, spec))
+    store.discard(work)
+    return _check_and_publish(run_id, target, source, spec, store, "merge",
+                              (*ignore, "unexpected_nulls"))

@@ -15,6 +15,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronofold.functions.columns import all_of, any_of, differs
+from chronofold.spec import HistorySpec
+
 LOG_SCHEMA = ("run_id string, committed_at timestamp, commit_no long, operation string, "
               "summary map<string,string>")
 
@@ -67,14 +70,20 @@ class RunStore:
         writer.parquet(self.path(run_id))
         return run_id
 
+    def _hadoop_path(self, path: str):
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _hadoop_conf(self):
+        return self.spark.sparkContext._jsc.hadoopConfiguration()
+
     def _exists(self, path: str) -> bool:
-        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        return hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+        hadoop = self._hadoop_path(path)
+        return hadoop.getFileSystem(self._hadoop_conf()).exists(hadoop)
 
-    def _delete(self, path: str) -> None:
-        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop.getFileSystem(
-            self.spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    def discard(self, run_id: str) -> None:
+        """Delete the files of a run that is not published (any more)."""
+        path = self._hadoop_path(self.path(run_id))
+        path.getFileSystem(self._hadoop_conf()).delete(path, True)
 
     def history(self) -> DataFrame:
         """One row per publish, roll-back, rewrite and expiry."""
@@ -143,7 +152,7 @@ class RunStore:
         gone = [row.run_id for row in self.expirable(older_than, retain_last).toLocalIterator()]
         for run_id in gone:
             self._commit(run_id, "expire", {})
-            self._delete(self.path(run_id))
+            self.discard(run_id)
         return gone
 
     def rewrite_clustered(self, sort_cols: Sequence[str], rows_per_file: int = 500_000) -> str:
@@ -168,3 +177,19 @@ class RunStore:
 def overwrite_catalog_partitions(df: DataFrame, table: str) -> None:
     """Dynamic partition overwrite of a table in a v2 catalog that supports it."""
     df.writeTo(table).overwritePartitions()
+
+
+def merge_into_catalog(staged: DataFrame, table: str, spec: HistorySpec) -> None:
+    """Upsert and removal of stale parents as one MERGE, for a v2 catalog with row-level changes."""
+    def pair(c):
+        return F.col(f"{table}.{c}"), F.col(f"staged.{c}")
+
+    incoming = staged.alias("staged")
+    same = all_of(old == new for old, new in map(pair, (*spec.keys, spec.start)))
+    changed = any_of(differs(old, new) for old, new in map(pair, (spec.end, *spec.new_cols)))
+    updates = {c: F.col(f"staged.{c}") for c in (spec.end, spec.active, *spec.new_cols)}
+    (incoming.mergeInto(table, same)
+     .whenMatched(changed).update(updates)
+     .whenNotMatched().insertAll()
+     .whenNotMatchedBySource().delete()
+     .merge())

@@ -79,13 +79,13 @@ class JoinTuning:
     split      plain join for ordinary keys; a key whose candidate pairs exceed ``hot_pairs`` or
                whose rows exceed ``hot_rows`` is cut into time segments and salted (default)
     plain      one equi + range join, left to Catalyst and AQE
-    broadcast  the source is broadcast if its measured size is within ``broadcast_bytes``;
-               otherwise the split form is used
+    broadcast  the source is broadcast if what would be sent, measured, is within
+               ``broadcast_bytes``; otherwise the split form is used
     salted     every key is spread over ``salt_buckets`` buckets
     """
 
     strategy: str = "split"
-    hot_pairs: int = 1_000_000_000
+    hot_pairs: int = 200_000_000
     hot_rows: int = 5_000_000
     max_hot_keys: int = 10_000
     segment_rows: int = 256

@@ -1,16 +1,18 @@
 """Run store, partition overwrite, SQL form and the two whole jobs."""
 
 import datetime as dt
+import os
 import uuid
 
 import pytest
+from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import functions as F
 
 from chronofold.operators.overlap import expand_history, overlap_rows
 from chronofold.plans.jobs import ValidationFailed, run_merge, run_overwrite
 from chronofold.plans.sql_form import backfill_sql, insert_overwrite_sql
 from chronofold.session import work_folder
-from chronofold.sinks.publish import RunStore, write_partitions
+from chronofold.sinks.publish import RunStore, merge_into_catalog, write_partitions
 from small import SOURCE, SPEC, d, rows, source, target
 
 
@@ -118,6 +120,7 @@ def test_overwrite_job_publishes_a_valid_run(spark, store):
     result = run_overwrite(t, s, SPEC, store)
     assert (result.input_rows, result.output_rows) == (3, 4)
     assert result.expansion_ratio == pytest.approx(4 / 3)
+    assert set(result.findings.values()) == {0}
     assert rows(store.current()) == rows(expand_history(t, s, SPEC))
 
 
@@ -152,6 +155,26 @@ def test_merge_job_refuses_ambiguous_rows(spark, store):
         run_merge(t, s, SPEC, store)
 
 
+def test_catalog_merge_needs_a_catalog_with_row_level_changes(spark):
+    t, s = _history(spark)
+    name = f"t_{uuid.uuid4().hex}"
+    t.write.saveAsTable(name)
+    with pytest.raises(UnsupportedOperationException, match="MERGE INTO TABLE"):
+        merge_into_catalog(overlap_rows(t, s, SPEC, "left"), name, SPEC)
+
+
+def test_merge_job_leaves_only_its_run_behind(spark, store, tmp_path):
+    t, s = _history(spark)
+    result = run_merge(t, s, SPEC, store)
+    assert os.listdir(tmp_path / "store" / "run") == [result.run_id]
+
+
+def test_colocated_run_has_the_same_rows(spark, store):
+    t, s = _history(spark)
+    run_overwrite(t, s, SPEC, store, colocate=True)
+    assert rows(store.current()) == rows(expand_history(t, s, SPEC))
+
+
 def test_work_folder_is_under_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     a, b = work_folder(spark), work_folder(spark)
