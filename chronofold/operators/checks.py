@@ -1,9 +1,9 @@
 """Data-quality checks of a history; each returns its findings as a DataFrame.
 
-``LAG`` per key is computed over distinct windows: copies of a (key, start, end) are combined
-map-side into one row with a count before the shuffle by key. A window group is therefore bounded
-by the number of different windows of a key, which depends on the calendar and not on the number
-of rows. Ties on start are ordered by end.
+The row before a row (``LAG`` per key, ties on start ordered by end) is found without putting a
+whole key into one task. Copies of a (key, start, end) are first combined map-side into one row
+with a count. A key is then cut by the year of the start, and each year begins with a marker that
+carries the last and the furthest end of all years before it.
 """
 
 from __future__ import annotations
@@ -20,22 +20,38 @@ _COPIES_PER_ROW = 10_000
 
 def _neighbours(table: DataFrame, spec: HistorySpec) -> DataFrame:
     """Key, start, the end of the row before, the furthest end of all rows before, and how often."""
-    windows = table.groupBy(*spec.keys, spec.start, spec.end).agg(F.count("*").alias("_copies"))
-    order = Window.partitionBy(*spec.keys).orderBy(spec.start, spec.end)
-    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
-    first = F.struct(
-        F.lag(spec.end).over(order).alias("_prev_end"),
-        F.max(spec.end).over(earlier).alias("_reach"),
-        F.lit(1).cast("long").alias("_times"))
-    linked = windows.select(
-        *spec.keys, spec.start, spec.end, "_copies", first.alias("_before"))
+    keys, end = spec.keys, F.col(spec.end)
+    windows = (table.groupBy(*keys, spec.start, spec.end).agg(F.count("*").alias("_copies"))
+               .withColumn("_year", F.year(spec.start)))
+
+    by_year = Window.partitionBy(*keys).orderBy("_year")
+    years = windows.groupBy(*keys, "_year").agg(
+        F.max_by(end, F.struct(spec.start, spec.end)).alias("_last"),
+        F.max(end).alias("_furthest"))
+    markers = years.select(
+        *keys, "_year",
+        F.lag("_last").over(by_year).alias("_last"),
+        F.max("_furthest").over(by_year.rowsBetween(Window.unboundedPreceding, -1))
+        .alias("_furthest"))
+
+    in_year = Window.partitionBy(*keys, "_year").orderBy(
+        F.col("_copies").isNotNull(), spec.start, spec.end)
+    linked = (
+        windows.withColumns({"_last": end, "_furthest": end})
+        .unionByName(markers, allowMissingColumns=True)
+        .select(*keys, spec.start, spec.end, "_copies", F.struct(
+            F.lag("_last").over(in_year).alias("_prev_end"),
+            F.max("_furthest").over(in_year.rowsBetween(Window.unboundedPreceding, -1))
+            .alias("_reach"),
+            F.lit(1).cast("long").alias("_times")).alias("_before"))
+        .where(F.col("_copies").isNotNull()))
     # Each further copy of a window comes right after a copy of itself.
     copies = F.struct(
-        F.col(spec.end).alias("_prev_end"),
-        F.greatest("_before._reach", spec.end).alias("_reach"),
+        end.alias("_prev_end"),
+        F.greatest("_before._reach", end).alias("_reach"),
         (F.col("_copies") - 1).alias("_times"))
     return linked.select(
-        *spec.keys, spec.start, F.inline(F.array("_before", copies))).where("_times > 0")
+        *keys, spec.start, F.inline(F.array("_before", copies))).where("_times > 0")
 
 
 def _repeat(findings: DataFrame) -> DataFrame:

@@ -72,6 +72,40 @@ def test_lag_checks_match_brute_force(spark):
     assert Counter(found(checks.date_overlaps(t, SPEC, strict=True))) == +strict
 
 
+def test_lag_crosses_years_and_null_keys(spark):
+    """The row before may lie years back, and rows without a key form one group."""
+    for key in (1, None):
+        t = target(spark, (key, "A", "2001-01-01", "2009-06-01"),
+                   (key, "B", "2002-03-01", "2002-04-01"), (key, "C", "2002-04-01", "2003-01-01"),
+                   (key, "D", "2008-01-01", "2008-02-01"), (key, "E", "2010-01-01", "H"))
+        k = str(key)
+        assert found(checks.date_gaps(t, SPEC)) == sorted([
+            (k, "2009-06-01", "2002-03-01"), (k, "2003-01-01", "2008-01-01"),
+            (k, "2008-02-01", "2010-01-01")])
+        assert found(checks.date_overlaps(t, SPEC)) == [(k, "2009-06-01", "2002-03-01")]
+        assert found(checks.date_overlaps(t, SPEC, strict=True)) == [
+            (k, "2009-06-01", "2002-03-01"), (k, "2009-06-01", "2002-04-01"),
+            (k, "2009-06-01", "2008-01-01")]
+
+
+def test_lag_checks_match_brute_force_over_many_years(spark):
+    first = dt.date(1990, 1, 1)
+    rows = [(1 + i % 3, "p", str(first + dt.timedelta((i * 911) % 9000)),
+             str(first + dt.timedelta((i * 911) % 9000 + 1 + (i * 37) % 2500)))
+            for i in range(300)]
+    rows += rows[::7]
+    gaps, strict = Counter(), Counter()
+    for key in (1, 2, 3):
+        windows = sorted((r[2], r[3]) for r in rows if r[0] == key)
+        for n, (start, _) in enumerate(windows[1:], 1):
+            before, reach = windows[n - 1][1], max(e for _, e in windows[:n])
+            gaps[(str(key), before, start)] += before != start
+            strict[(str(key), reach, start)] += reach > start
+    t = target(spark, *rows)
+    assert Counter(found(checks.date_gaps(t, SPEC))) == +gaps
+    assert Counter(found(checks.date_overlaps(t, SPEC, strict=True))) == +strict
+
+
 def test_null_source_value_is_reported(spark):
     t = target(spark, (113, "A", "2020-01-01", "H"), (114, "B", "2020-01-01", "H"))
     s = source(spark, (113, None, "2020-01-01", "H"))
