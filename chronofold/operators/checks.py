@@ -16,6 +16,19 @@ from chronofold.operators.coverage import source_keys
 from chronofold.spec import HistorySpec
 
 _COPIES_PER_ROW = 10_000
+_DAY_SHIFT, _DAY_RANGE = 1_000_000, 10_000_000
+
+
+def _position(spec: HistorySpec) -> Column:
+    """Place of a row in (start, end) order, NULLs first, as one number: its maximum needs no
+    sort. Days of the years 1 to 9999 lie between -719,162 and 2,932,896."""
+    start = F.coalesce(F.unix_date(spec.start), F.lit(-_DAY_SHIFT)).cast("long")
+    return start * _DAY_RANGE + F.coalesce(F.unix_date(spec.end) + _DAY_SHIFT, F.lit(0))
+
+
+def _end_at(position: Column) -> Column:
+    day = F.pmod(position, F.lit(_DAY_RANGE))
+    return F.when(day > 0, F.date_from_unix_date((day - _DAY_SHIFT).cast("int")))
 
 
 def _neighbours(table: DataFrame, spec: HistorySpec) -> DataFrame:
@@ -26,11 +39,10 @@ def _neighbours(table: DataFrame, spec: HistorySpec) -> DataFrame:
 
     by_year = Window.partitionBy(*keys).orderBy("_year")
     years = windows.groupBy(*keys, "_year").agg(
-        F.max_by(end, F.struct(spec.start, spec.end)).alias("_last"),
-        F.max(end).alias("_furthest"))
+        F.max(_position(spec)).alias("_position"), F.max(end).alias("_furthest"))
     markers = years.select(
         *keys, "_year",
-        F.lag("_last").over(by_year).alias("_last"),
+        _end_at(F.lag("_position").over(by_year)).alias("_last"),
         F.max("_furthest").over(by_year.rowsBetween(Window.unboundedPreceding, -1))
         .alias("_furthest"))
 

@@ -88,6 +88,19 @@ def test_lag_crosses_years_and_null_keys(spark):
             (k, "2009-06-01", "2008-01-01")]
 
 
+def test_position_orders_rows_and_gives_the_end_back(spark):
+    from chronofold.operators.checks import _end_at, _position
+
+    days = [None, "0001-01-01", "1969-12-31", "1970-01-01", "2020-02-29", "9999-12-31"]
+    t = target(spark, *[(1, "A", a, b) for a in days for b in days])
+    got = t.select("eff_start_date", "eff_end_date", _position(SPEC).alias("p"),
+                   _end_at(_position(SPEC)).alias("e")).orderBy("p").collect()
+    assert all(r.e == r.eff_end_date for r in got) and len({r.p for r in got}) == len(got)
+    order = [(r.eff_start_date or dt.date.min, r.eff_start_date is not None,
+              r.eff_end_date or dt.date.min, r.eff_end_date is not None) for r in got]
+    assert order == sorted(order)
+
+
 def test_lag_checks_match_brute_force_over_many_years(spark):
     first = dt.date(1990, 1, 1)
     rows = [(1 + i % 3, "p", str(first + dt.timedelta((i * 911) % 9000)),
