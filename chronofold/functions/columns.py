@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -36,6 +37,14 @@ def differs(left: Column, right: Column) -> Column:
     return ~left.eqNullSafe(right)
 
 
+def content_hash(rows: DataFrame, without: Sequence[str] = ()) -> Column:
+    """Hash of a row's content (maps and variants, which Spark cannot hash, are left out). The same
+    row gets the same hash however often its task runs."""
+    hashed = [f.name for f in rows.schema if f.name not in without
+              and not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+    return F.xxhash64(*hashed)
+
+
 def divisible_only_by(number: Column, divisor: int, excluded: int) -> Column:
     """Multiples of ``divisor`` that are not multiples of ``excluded``."""
     return (number % divisor == 0) & (number % excluded != 0)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronofold.functions.columns import all_of, overlaps
+from chronofold.functions.columns import all_of, content_hash, overlaps
 from chronofold.operators.coverage import LAST_DAY, coverage_steps
 from chronofold.sources.history import SRC_END, SRC_START
 from chronofold.spec import HistorySpec, JoinTuning
@@ -84,8 +84,7 @@ def _touched(first: Column, last: Column) -> Column:
 
 def _own_salt(rows: DataFrame, salts: str) -> Column:
     """A salt from the row's content, so a task that is run again places the row alike."""
-    content = [c for c in rows.columns if c not in _PLAN_COLS]
-    return F.pmod(F.xxhash64(*content), F.col(salts)).cast("int")
+    return F.pmod(content_hash(rows, _PLAN_COLS), F.col(salts)).cast("int")
 
 
 def _all_salts(salts: str) -> Column:

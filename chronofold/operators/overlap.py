@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronofold.functions.columns import all_of, is_open, overlaps
+from chronofold.functions.columns import all_of, content_hash, is_open, overlaps
 from chronofold.operators.coverage import source_gaps, source_keys
 from chronofold.operators.hot import hot_keys, hot_pairs, hot_unmatched, only_hot, without_hot
 from chronofold.sources.history import SRC_END, SRC_START, src_value
@@ -18,10 +18,14 @@ KIND, ROW, GAP, KEY = "_kind", "row", "gap", "key"
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Uncompressed size of the rows, measured: fixed widths plus the actual text lengths."""
-    text = [f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    """Uncompressed size of the rows, measured: fixed widths plus the actual lengths of text and
+    binary values, and of nested values as text."""
+    sized = {f.name: F.col(f.name) for f in df.schema
+             if isinstance(f.dataType, (T.StringType, T.BinaryType))}
+    sized |= {f.name: F.col(f.name).cast("string") for f in df.schema
+              if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))}
     fixed = 16 + 8 * len(df.columns)
-    lengths = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in text), F.lit(0))
+    lengths = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in sized.values()), F.lit(0))
     return df.agg(F.coalesce(F.sum(lengths + fixed), F.lit(0))).first()[0]
 
 
@@ -52,7 +56,7 @@ def _join(target: DataFrame, timeline: DataFrame, spec: HistorySpec, how: str,
 def _join_salted(target: DataFrame, timeline: DataFrame, spec: HistorySpec, how: str,
                  buckets: int) -> DataFrame:
     """Target rows spread over buckets, the timeline repeated in each; the bucket is joined on."""
-    salt = F.pmod(F.xxhash64(*target.columns), F.lit(buckets)).cast("int")
+    salt = F.pmod(content_hash(target), F.lit(buckets)).cast("int")
     spread = target.withColumn("_salt", salt)
     repeated = timeline.withColumn(
         "_src_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronofold.functions.columns import all_of, any_of, differs
+from chronofold.functions.columns import all_of, any_of, content_hash, differs
 from chronofold.spec import HistorySpec
 
 LOG_SCHEMA = ("run_id string, committed_at timestamp, commit_no long, operation string, "
@@ -42,7 +42,7 @@ def clustered(df: DataFrame, sort_cols: Sequence[str], rows_per_file: int, rows:
     """
     order = [F.col(c).asc_nulls_last() for c in sort_cols]
     files = max(1, -(-rows // rows_per_file))
-    return (df.repartitionByRange(files, *order, F.xxhash64(*df.columns))
+    return (df.repartitionByRange(files, *order, content_hash(df))
             .sortWithinPartitions(*order))
 
 

@@ -5,12 +5,14 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from chronofold.operators.coverage import covered_rows, source_gaps, uncovered_rows
 from chronofold.operators.overlap import (
     expand_history, measured_bytes, overlap_pairs, overlap_rows)
 from small import EVERY_TUNING, H, SOURCE, SPEC, SPLIT_ALL, TARGET, rows, source, target
 from chronofold.sources.history import source_history, target_history
+from chronofold.spec import HistorySpec
 
 MODES = ("inner", "left", "preserve")
 
@@ -215,6 +217,22 @@ def test_thousand_windows_of_one_key(spark):
         assert expand(t, s, "preserve", tuning) == want
 
 
+def test_nested_columns_are_carried_by_every_strategy(spark):
+    spec = HistorySpec(keys="id", passthrough="id,tags,eff_start_date,eff_end_date,active",
+                       new_cols="props")
+    t = target_history(spark.sql(
+        "SELECT 1L AS id, map('a', 1) AS tags, date'2020-01-01' AS eff_start_date, "
+        "date'3499-12-31' AS eff_end_date, 1 AS active, CAST(NULL AS array<string>) AS props"), spec)
+    s = source_history(spark.sql(
+        "SELECT 1L AS id, array('x', 'yy') AS props, date'2020-01-01' AS eff_start_date, "
+        "date'2021-01-01' AS eff_end_date"), spec)
+    assert measured_bytes(s) > measured_bytes(s.withColumn("_src_props", F.array()))
+    for name, tuning in EVERY_TUNING.items():
+        out = expand_history(t, s, spec, "preserve", tuning).orderBy("eff_start_date").collect()
+        assert [(r.tags, r.props, r.active) for r in out] == [
+            ({"a": 1}, ["x", "yy"], 0), ({"a": 1}, None, 1)], name
+
+
 def test_bad_arguments(spark):
     t, s = target(spark, (1, "A", "2020-01-01", "H")), source(spark, (1, "X", "2020-01-01", "H"))
     with pytest.raises(ValueError):

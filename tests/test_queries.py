@@ -3,6 +3,7 @@
 import functools
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from chronofold.operators.overlap import expand_history, overlap_rows
@@ -10,7 +11,7 @@ from chronofold.operators.coverage import covered_rows, uncovered_rows
 from chronofold.operators import change
 from chronofold.plans.catalogue import EVERY_KEY_HOT
 from chronofold.sources.history import source_history, target_history
-from chronofold.spec import HistorySpec, JoinTuning
+from chronofold.spec import JoinTuning
 from compare import TABLES, difference, duck
 from fixture_sql import FIXTURES
 
@@ -44,16 +45,19 @@ COUNTS = {
 }
 
 
-@pytest.mark.parametrize("name", COUNTS)
-def test_documented_counts(spark, name):
+def histories(spark, name, sf_dir):
     spec, target_sql, source_sql = FIXTURES[name]
-    tables = {t: spark.read.parquet(f"{SF}/{t}.parquet") for t in TABLES
-              if f"{{{t}}}" in target_sql + source_sql}
 
     def run(sql):
-        return spark.sql(sql, **{t: df for t, df in tables.items() if f"{{{t}}}" in sql})
+        return spark.sql(sql, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
+                                 for t in TABLES if f"{{{t}}}" in sql})
+
+    return (target_history(run(target_sql), spec), source_history(run(source_sql), spec), spec)
 
-    t, s = target_history(run(target_sql), spec), source_history(run(source_sql), spec)
+
+@pytest.mark.parametrize("name", COUNTS)
+def test_documented_counts(spark, name):
+    t, s, spec = histories(spark, name, SF)
     n_target, n_source, passed, inner, left, vanished = COUNTS[name]
     assert (t.count(), s.count()) == (n_target, n_source)
     assert uncovered_rows(t, s, spec.keys).count() == passed
@@ -66,3 +70,17 @@ def test_documented_counts(spark, name):
     staged = overlap_rows(t, s, spec, "left")
     assert change.duplicate_starts(staged, spec).isEmpty()
     assert change.backfilled_state(staged, t, spec).count() == left
+
+
+def test_documented_days_and_changes(spark):
+    """Figures of fixture F1 at sf0.01: preserve keeps every day, and the merge arithmetic."""
+    t, s, spec = histories(spark, "f1", "/root/testdata/sf0.01")
+    days = F.sum(F.datediff(spec.end, spec.start))
+    kept = expand_history(t, s, spec).agg(F.count("*"), days).first()
+    assert (t.agg(days).first()[0], *kept) == (824_167_047, 20_163, 824_167_047)
+    staged = overlap_rows(t, s, spec, "left")
+    actions = {r.cdc_action: r.row_count for r in change.action_counts(
+        change.classify_changes(staged, t, spec)).collect()}
+    assert actions["INSERT"] == 5_195
+    assert change.stale_parents(t, staged, spec).count() == 634
+    assert staged.count() == 14_968 - 634 + 5_195
