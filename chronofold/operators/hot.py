@@ -7,6 +7,8 @@ segments; it is emitted in the one where its intersection begins, hence exactly
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,11 +18,21 @@ from chronofold.operators.coverage import LAST_DAY, coverage_steps
 from chronofold.sources.history import SRC_END, SRC_START
 from chronofold.spec import HistorySpec, JoinTuning
 
+_FEW_KEYS = 100
 _PLAN_COLS = ("_lo", "_width", "_segments", "_t_salts", "_s_salts")
 
 
+@dataclass(frozen=True)
+class HotKeys:
+    """``plan`` has one row per hot key; ``scan_filter`` is a filter on the key columns that keeps
+    all hot keys and that a scan can use to skip row groups, if the keys are few."""
+
+    plan: DataFrame
+    scan_filter: Column | None
+
+
 def hot_keys(target: DataFrame, source: DataFrame, spec: HistorySpec,
-             tuning: JoinTuning) -> DataFrame | None:
+             tuning: JoinTuning) -> HotKeys | None:
     """The largest source keys with their segments and salts; None if no key is large.
 
     One job that reads key and start columns only and combines them map-side. The result has at
@@ -47,8 +59,11 @@ def hot_keys(target: DataFrame, source: DataFrame, spec: HistorySpec,
     schema = T.StructType(
         [T.StructField(f"_hot_{k}", found.schema[k].dataType) for k in spec.keys]
         + [T.StructField(c, T.IntegerType()) for c in _PLAN_COLS])
-    return target.sparkSession.createDataFrame(
+    plan = target.sparkSession.createDataFrame(
         [tuple(row[k] for k in spec.keys) + _layout(row, tuning) for row in rows], schema)
+    few = len(rows) <= _FEW_KEYS
+    return HotKeys(plan, all_of(
+        F.col(k).isin(list({row[k] for row in rows})) for k in spec.keys) if few else None)
 
 
 def _layout(row, tuning: JoinTuning) -> tuple[int, ...]:
@@ -64,13 +79,14 @@ def _match(spec: HistorySpec) -> Column:
     return all_of(F.col(k) == F.col(f"_hot_{k}") for k in spec.keys)
 
 
-def without_hot(rows: DataFrame, hot: DataFrame, spec: HistorySpec) -> DataFrame:
-    return rows.join(F.broadcast(hot), _match(spec), "left_anti")
+def without_hot(rows: DataFrame, hot: HotKeys, spec: HistorySpec) -> DataFrame:
+    return rows.join(F.broadcast(hot.plan), _match(spec), "left_anti")
 
 
-def only_hot(rows: DataFrame, hot: DataFrame, spec: HistorySpec) -> DataFrame:
+def only_hot(rows: DataFrame, hot: HotKeys, spec: HistorySpec) -> DataFrame:
     """Rows of hot keys, with the plan of their key."""
-    return rows.join(F.broadcast(hot), _match(spec)).drop(*[f"_hot_{k}" for k in spec.keys])
+    near = rows if hot.scan_filter is None else rows.where(hot.scan_filter)
+    return near.join(F.broadcast(hot.plan), _match(spec)).drop(*[f"_hot_{k}" for k in spec.keys])
 
 
 def _segment(day: Column) -> Column:
@@ -124,7 +140,7 @@ def hot_pairs(target: DataFrame, timeline: DataFrame, spec: HistorySpec,
         *helpers, *[f"_src{c}" for c in helpers], *[f"_src_key_{k}" for k in spec.keys])
 
 
-def hot_unmatched(target: DataFrame, source: DataFrame, hot: DataFrame,
+def hot_unmatched(target: DataFrame, source: DataFrame, hot: HotKeys,
                   spec: HistorySpec) -> DataFrame:
     """Target rows of hot keys that overlap no source row.
 

@@ -8,7 +8,8 @@ from pyspark.sql import types as T
 
 from chronofold.functions.columns import all_of, content_hash, is_open, overlaps
 from chronofold.operators.coverage import source_gaps, source_keys
-from chronofold.operators.hot import hot_keys, hot_pairs, hot_unmatched, only_hot, without_hot
+from chronofold.operators.hot import (
+    HotKeys, hot_keys, hot_pairs, hot_unmatched, only_hot, without_hot)
 from chronofold.sources.history import SRC_END, SRC_START, src_value
 from chronofold.spec import COVERAGE_MODES, HistorySpec, JoinTuning
 
@@ -64,7 +65,7 @@ def _join_salted(target: DataFrame, timeline: DataFrame, spec: HistorySpec, how:
                  F.col("_salt") == F.col("_src_salt")).drop("_salt", "_src_salt")
 
 
-def _attach_hot(target: DataFrame, source: DataFrame, hot: DataFrame, spec: HistorySpec,
+def _attach_hot(target: DataFrame, source: DataFrame, hot: HotKeys, spec: HistorySpec,
                 coverage: str) -> DataFrame:
     """Hot keys occur in the source, so no row of theirs is passed through by key."""
     big_target, big_source = only_hot(target, hot, spec), only_hot(source, hot, spec)

@@ -84,3 +84,13 @@ def test_hot_way_has_no_cross_join(spark, tables):
     with conf(spark, **SHUFFLED):
         text = plan(expand_history(*tables, SPEC, "preserve", SPLIT_ALL))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_scan_of_hot_rows_is_filtered_by_key(spark, tables):
+    target, source = tables
+    with conf(spark, **SHUFFLED):
+        out = expand_history(target, source.where("id in (3, 6)"), SPEC, "left", SPLIT_ALL)
+        scans = [line for line in plan(out).splitlines() if "/target]" in line]
+    assert out.count() == 6000
+    assert ["In(id, [" in line for line in scans].count(False) == 1
+    assert any("In(id, [3,6])" in line or "In(id, [6,3])" in line for line in scans)
