@@ -144,8 +144,8 @@ def taken_words(docs: DataFrame) -> DataFrame:
     used = slots.groupBy("number", "block", "words").agg(F.count(F.lit(1)).alias("times"))
     part = F.greatest(F.least("high", "words") - F.col("low"), F.lit(0)) * F.col("times")
     # a source's rows with words begin at different words, so (number, at) names a row
-    taken = _pieces(placed).join(used, ["number", "block"]).groupBy("number", "at").agg(F.sum(part).alias("taken"))
-    rows = placed.join(taken, ["number", "at"], "left").withColumn("taken", F.when(F.col("size") > 0, F.coalesce("taken", F.lit(0))).otherwise(0).cast("long"))
+    taken = _pieces(placed).join(used.hint("merge"), ["number", "block"]).groupBy("number", "at").agg(F.sum(part).alias("taken"))
+    rows = placed.join(taken.hint("merge"), ["number", "at"], "left").withColumn("taken", F.when(F.col("size") > 0, F.coalesce("taken", F.lit(0))).otherwise(0).cast("long"))
     return rows.drop("source").join(sources, "number").select("doc_id", "size", "source_size", "target", "taken", "source", "weight")
 
 
@@ -157,7 +157,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     """
     placed, _, slots = plan(docs)
     part = F.least("high", "words") - F.col("low")
-    used = _pieces(placed).join(slots, ["number", "block"]).where(part > 0)
+    used = _pieces(placed).join(slots.hint("merge"), ["number", "block"]).where(part > 0)
     begin = F.col("block") * BLOCK_WORDS + F.col("low") - F.col("at")
     ordered = Window.partitionBy("number", "at", "block").orderBy(F.desc(part), "pass")
     used = used.withColumn("turn", F.row_number().over(ordered))
@@ -167,13 +167,13 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     like = F.xxhash64("doc_id", "source", "copy").alias("__like")
     nth = F.row_number().over(Window.partitionBy("__like").orderBy("at")).alias("__nth")
     rows = placed.where("size > 0").select("number", "at", like).select("number", "at", "__like", nth)
-    turns = rows.join(turns, ["number", "at"]).drop("number", "at")
+    turns = rows.join(turns.hint("merge"), ["number", "at"]).drop("number", "at")
     names = {c: f"d{i}" for i, c in enumerate(docs.columns)}
     text = names["text"]
     plain = docs.withColumnsRenamed(names)
     plain = plain.withColumn("__like", F.xxhash64(names["doc_id"], names["source"], F.xxhash64(text)))
     plain = plain.withColumn("__nth", F.row_number().over(Window.partitionBy("__like").orderBy(F.lit(0))))
-    mixed = plain.join(turns, ["__like", "__nth"]).select(*names.values(), F.explode("__turns").alias("__turn"))
+    mixed = plain.join(turns.hint("merge"), ["__like", "__nth"]).select(*names.values(), F.explode("__turns").alias("__turn"))
     words = f"filter(split(`{text}`, r'{_SPACE}'), w -> w != '')"
     some = F.expr(f"array_join(flatten(transform(array({words}), ws -> flatten(transform(__turn.parts, p -> slice(ws, p.start + 1, p.n))))), ' ')")
     mixed = mixed.withColumn(text, F.when(F.col("__turn.whole"), F.col(text)).otherwise(some))

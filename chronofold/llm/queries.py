@@ -6,12 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chronofold.llm import fingerprint, mixing, packing, pii
+from chronofold.llm import fingerprint, language, mixing, near_dup, packing, pii, toxicity
 from chronofold.llm.storage import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identified(table(spark, sf_dir, "documents"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(table(spark, sf_dir, "documents"))
 
@@ -20,6 +28,10 @@ def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op7_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
@@ -29,7 +41,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_pii, op5_fingerprint, op8_packing, op10_mixing)}
+    return {f.__name__: f for f in (op2_language, op3_toxicity, op4_pii, op5_fingerprint, op7_near_dup, op8_packing, op10_mixing)}
 
 
 def llm_oracles() -> dict[str, str]:

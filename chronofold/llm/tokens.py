@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import unicodedata
 from functools import cache
 
@@ -17,9 +18,9 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-WORDS_KEPT = 1_000_000
+WORDS_KEPT = 2_000_000
 _ODD_SPACE = re.compile(r"\s\s|^\s|\s\Z|[^\S \n]")
-_TAIL = re.compile(r"[.,!?;:]+\Z")
+_TAIL = re.compile(rf"[{re.escape(string.punctuation)}]+\Z")
 
 
 def _letters(word: str) -> bool:
@@ -35,49 +36,49 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary))
         self.tokenizer.encode_special_tokens = True
         self.spaced = bool(self.tokenizer.encode(" a", add_special_tokens=False).ids != self.tokenizer.encode("a", add_special_tokens=False).ids)
-        self.known: dict[str, bytes] = {}
+        self.lower = self.tokenizer.encode("A", add_special_tokens=False).ids == self.tokenizer.encode("a", add_special_tokens=False).ids
+        self.known: dict[str, bytes] = {"": b""}
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: set[str]) -> None:
+    def _learn(self, words: list[str]) -> None:
         """Letters and the marks after them are separate words to either vocabulary; their ids are put together."""
         blank = " " if self.spaced else ""
         parts: dict[str, tuple[str, str]] = {}
         new = set()
-        for word in words:
+        for word in set(words):
             tail = _TAIL.search(word)
             stem = word[: tail.start()] if tail else word
             parts[word] = (stem, tail.group()) if tail and _letters(stem.removeprefix(blank)) and stem.startswith(blank) else (word, "")
             new.update(p for p in parts[word] if p and p not in self.known)
         fresh = list(new)
         self.known.update(zip(fresh, self._encoded(fresh), strict=True))
-        self.known[""] = b""
         self.known.update({word: self.known[a] + self.known[b] for word, (a, b) in parts.items()})
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text; none for a null or empty one."""
         if len(self.known) > WORDS_KEPT:
-            self.known.clear()
-        cut, whole = [], []
-        for at, text in enumerate(texts):
+            self.known = {"": b""}
+        known = self.known
+        out = []
+        for text in texts:
             if not text:
-                cut.append([""])
-            elif _ODD_SPACE.search(text):
-                cut.append(None)
-                whole.append(at)
-            elif self.spaced:
+                out.append(b"")
+                continue
+            if _ODD_SPACE.search(text):
+                out += self._encoded([text])
+                continue
+            if self.spaced:
                 words = text.split(" ")
-                cut.append([words[0], *(" " + w for w in words[1:])])
+                words[1:] = [" " + w for w in words[1:]]
             else:
-                cut.append(text.split())
-        needed = set().union(*(words for words in cut if words)) - self.known.keys()
-        if needed or "" not in self.known:
-            self._learn(needed)
-        known = self.known
-        out = [b"" if words is None else b"".join([known[w] for w in words]) for words in cut]
-        for at, ids in zip(whole, self._encoded([texts[at] for at in whole]), strict=True):
-            out[at] = ids
+                words = (text.lower() if self.lower and text.isascii() else text).split()
+            ids = list(map(known.get, words))
+            if None in ids:
+                self._learn([w for w, i in zip(words, ids, strict=True) if i is None])
+                ids = map(known.get, words)
+            out.append(b"".join(ids))
         return out
 
 
