@@ -203,6 +203,8 @@ def identified(docs: DataFrame) -> DataFrame:
 
 
 def in_a_known_language(docs: DataFrame) -> DataFrame:
-    """The rows whose text is in some language: those that are `und` go."""
-    judge = predictions(docs, training_text(docs))
-    return docs.where(judge("text")["lang_pred"] != UNKNOWN)
+    """The rows whose text is in some language: those that are `und` go. If no row is labelled, texts without a letter go."""
+    texts = training_text(docs)
+    if not texts:
+        return docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    return docs.where(predictions(docs, texts)("text")["lang_pred"] != UNKNOWN)

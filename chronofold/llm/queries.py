@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chronofold.llm import fingerprint, language, mixing, near_dup, packing, pii, toxicity
+from chronofold.llm import fingerprint, language, mixing, near_dup, packing, pii, token_store, toxicity, url_filter, vptree
+from chronofold.llm.oracles import ORACLES
 from chronofold.llm.storage import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.stored_documents(table(spark, sf_dir, "documents"))
+
+
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identified(table(spark, sf_dir, "documents"))
 
@@ -28,6 +33,10 @@ def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vptree.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op7_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -36,13 +45,19 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(table(spark, sf_dir, "pages"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(table(spark, sf_dir, "documents"))
 
 
 def llm_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_language, op3_toxicity, op4_pii, op5_fingerprint, op7_near_dup, op8_packing, op10_mixing)}
+    every = (op1_token_ids, op2_language, op3_toxicity, op4_pii, op5_fingerprint, op6_nearest, op7_near_dup, op8_packing, op9_url_filter, op10_mixing)
+    return {f.__name__: f for f in every}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    """Those that SQL can express over whole tables; see `oracles`."""
+    return dict(ORACLES)
