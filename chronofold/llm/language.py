@@ -106,20 +106,20 @@ class CrossParser:
             symbols[: len(stretches[i]), lane] = self.code[stretches[i]]
         languages = len(self.languages)
         roots = np.tile(self.roots[:, None], (1, len(order)))
-        state, count = roots.copy(), np.ones((languages, len(order)), dtype=np.int64)
+        state, count = roots.copy(), np.zeros((languages, len(order)), dtype=np.int64)
         for at, row in enumerate(symbols):
             lanes = int(np.searchsorted(-lengths, -at, side="left"))  # those of more than ``at`` symbols
             row, root = row[:lanes], roots[:, :lanes]
             to = self.moves[state[:, :lanes] * self.width + row]
             ended = to < 0
-            # a new phrase begins with this symbol, unless the one before is still empty; a symbol unknown is a phrase
+            # the phrase so far ends before this symbol, unless it is empty; an unknown symbol is a phrase of its own
             count[:, :lanes] += ended & (state[:, :lanes] != root)
             again = self.moves[root * self.width + row]
             alone = ended & (again < 0)
             count[:, :lanes] += alone
             state[:, :lanes] = np.where(ended, np.where(again < 0, root, again), to)
         out = np.empty_like(count)
-        out[:, order] = count
+        out[:, order] = count + (state != roots)
         return out
 
     def entropies(self, texts: list[str]) -> np.ndarray:

@@ -1,7 +1,7 @@
 """Near duplicates by bottom-k sketches of word shingles, confirmed on the full sets.
 
 Every document becomes the set of hashes of its shingles. Documents of equal sets are one class, of which the smallest
-doc_id stands for all. A class's sketch is the ``SKETCH`` smallest values of one hash of its set. Two sets of
+doc_id stands for all. A class's sketch is the ``SKETCH`` smallest hashes of its set. Two sets of
 similarity ``SIMILAR`` share about that part of the smallest values of their union; ``LEAST`` is five deviations below
 it, and a smaller overlap rules a pair out.
 
@@ -50,10 +50,8 @@ def sketches(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             for at in range(0, len(batch), _TEXTS):
                 part = batch.iloc[at : at + _TEXTS]
                 for doc_id, full in zip(part["doc_id"], shingle_sets(_texts(part), width), strict=True):
-                    hashed = mixed(full)
-                    low = np.sort(np.partition(hashed, SKETCH - 1)[:SKETCH] if len(hashed) > SKETCH else hashed)
-                    one, two = np.bitwise_xor.reduce(hashed) if len(full) else 0, np.add.reduce(mixed(hashed)) if len(full) else 0
-                    rows.append((doc_id, len(full), int(np.int64(np.uint64(one))) if len(full) else None, int(np.uint64(two).astype(np.int64)) if len(full) else None, low.view(np.int64)))
+                    one, two = np.bitwise_xor.reduce(full) if len(full) else 0, np.add.reduce(mixed(full)) if len(full) else 0
+                    rows.append((doc_id, len(full), int(np.int64(np.uint64(one))) if len(full) else None, int(np.uint64(two).astype(np.int64)) if len(full) else None, full[:SKETCH].view(np.int64)))
             out = pd.DataFrame(rows, columns=["doc_id", "n_shingles", "key1", "key2", "sketch"])
             yield out.astype({"doc_id": "Int64", "key1": "Int64", "key2": "Int64"})
 
@@ -73,36 +71,38 @@ def inverted_lists(classes: DataFrame) -> DataFrame:
     return lists.join(several, "value").select("value", "node", "n")
 
 
-def _overlaps(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
-    """For each pair of sketches the part of their union's smallest values that both hold."""
+def _held_by_both(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
+    """For each pair of sketches how many values both hold."""
     values = np.unique(np.concatenate([*one, *other]))
     a, b = (np.zeros((len(side), len(values)), dtype=np.float32) for side in (one, other))
     for matrix, side in ((a, one), (b, other)):
         for i, sketch in enumerate(side):
             matrix[i, np.searchsorted(values, sketch)] = 1
-    both = a @ b.T
-    sizes = np.array([len(s) for s in one])[:, None], np.array([len(s) for s in other])[None, :]
-    union = sizes[0] + sizes[1] - both
-    # at most SKETCH values of the union count: an upper bound of the estimate, which the last step makes exact
-    bound = both / np.minimum(union, SKETCH)
-    for i, j in zip(*np.nonzero((bound >= LEAST) & (union > SKETCH)), strict=True):
-        joint = np.union1d(one[i], other[j])[:SKETCH]
-        held = np.intersect1d(one[i], other[j], assume_unique=True)
-        bound[i, j] = np.searchsorted(held, joint[-1], side="right") / SKETCH
-    return bound
-
-
-def _candidates(group: pd.DataFrame, best_only: bool) -> pd.DataFrame:
+    return a @ b.T
+
+
+def _union_estimate(x: np.ndarray, y: np.ndarray) -> float:
+    """The part of the smallest values of two sets' union that both hold; x and y are the sets or their sketches, in rising order."""
+    x, y = x[:SKETCH], y[:SKETCH]
+    union = np.union1d(x, y)[:SKETCH]
+    return np.searchsorted(np.intersect1d(x, y, assume_unique=True), union[-1], side="right") / len(union)
+
+
+def _candidates(group: pd.DataFrame, best_only: bool, similar: int) -> pd.DataFrame:
     """Pairs of a list's classes, in different components, whose sketches allow a link."""
     empty = pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64")})
     if group["component"].nunique() < 2:
         return empty
     low, high = int(group["low"].iloc[0]), int(group["high"].iloc[0])
-    group = group.drop_duplicates("node").sort_values("node")
+    group = group.sort_values("node")
     one, other = group[group["chunk"] == low], group[group["chunk"] == high]
     if one.empty or other.empty:
         return empty
-    likeness = _overlaps([np.asarray(s) for s in one["sketch"]], [np.asarray(s) for s in other["sketch"]])
+    both = _held_by_both([np.asarray(s) for s in one["sketch"]], [np.asarray(s) for s in other["sketch"]])
+    sizes = np.minimum(one["n_shingles"].to_numpy()[:, None], SKETCH), np.minimum(other["n_shingles"].to_numpy()[None, :], SKETCH)
+    likeness = both / np.minimum(sizes[0] + sizes[1] - both, SKETCH)  # no less than the estimate on the union
+    near_sizes = 100 * np.minimum(one["n_shingles"].to_numpy()[:, None], other["n_shingles"].to_numpy()[None, :]) >= similar * np.maximum(one["n_shingles"].to_numpy()[:, None], other["n_shingles"].to_numpy()[None, :])
+    likeness = np.where(near_sizes, likeness, 0.0)
     apart = one["component"].to_numpy()[:, None] != other["component"].to_numpy()[None, :]
     likeness = np.where(apart, likeness, 0.0)
     allowed = likeness >= LEAST
@@ -116,8 +116,8 @@ def _candidates(group: pd.DataFrame, best_only: bool) -> pd.DataFrame:
     return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
 
 
-def _search(best_only: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    return lambda group: _candidates(group, best_only)
+def _search(best_only: bool, similar: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    return lambda group: _candidates(group, best_only, similar)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
@@ -128,7 +128,10 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
             linked = []
             for x, y in zip(batch["x"], batch["y"], strict=True):
                 x, y = np.frombuffer(x, dtype="<u8"), np.frombuffer(y, dtype="<u8")
-                both = len(np.intersect1d(x, y, assume_unique=True)) if 100 * min(len(x), len(y)) >= similar * max(len(x), len(y)) else 0
+                if 100 * min(len(x), len(y)) < similar * max(len(x), len(y)) or _union_estimate(x, y) < LEAST:
+                    linked.append(False)
+                    continue
+                both = len(np.intersect1d(x, y, assume_unique=True))
                 linked.append(100 * both >= similar * (len(x) + len(y) - both))
             yield batch.loc[linked, ["a", "b"]]
 
@@ -162,7 +165,7 @@ def _links(docs: DataFrame, lists: DataFrame, classes: DataFrame, width: int, si
     nodes = saved(lists.select("node").distinct())
     wanted = docs.select("doc_id", "text").join(nodes, F.col("doc_id") == F.col("node"), "left_semi")
     sets = saved(wanted.mapInPandas(full, "node long, full binary"))
-    held = saved(nodes.join(classes.select("node", "sketch"), "node"))
+    held = saved(nodes.join(classes.select("node", "sketch", "n_shingles"), "node"))
     state = nodes.select("node", F.col("node").alias("component"))
     tested = saved(_short_lists(lists.where(F.col("n") <= SHORT), held))
     links = saved(_confirmed(tested, sets, similar))
@@ -178,7 +181,8 @@ def _links(docs: DataFrame, lists: DataFrame, classes: DataFrame, width: int, si
         # each chunk meets itself and every other one once
         meets = F.transform(F.sequence(F.lit(0), chunks - 1), lambda other: F.struct(F.least("chunk", other).alias("low"), F.greatest("chunk", other).alias("high")))
         dealt = members.withColumn("meet", F.explode(meets)).select("value", "node", "component", "chunk", "meet.low", "meet.high").join(held, "node")
-        pairs = dealt.groupBy("value", "low", "high").applyInPandas(_search(best_only), "a long, b long").distinct()
+        dealt = dealt.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "value", "low", "high")  # little data, much work
+        pairs = dealt.groupBy("value", "low", "high").applyInPandas(_search(best_only, similar), "a long, b long").distinct()
         pairs = saved(pairs.join(tested, ["a", "b"], "left_anti"))
         tested = tested.unionByName(pairs)
         links = links.unionByName(saved(_confirmed(pairs, sets, similar)))
