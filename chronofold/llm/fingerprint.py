@@ -56,7 +56,7 @@ def sampled(texts: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     parts = texts.select(*keys, F.explode(sides).alias("part"))
     words = parts.select(*keys, "part.side", F.explode_outer(F.split("part.text", _SPLIT)).alias("word"))
     words = words.select(*keys, "side", F.when(F.col("word") != "", F.xxhash64("word")).alias("word"))
-    weights = [F.sum(F.when(F.col("side") == i, 1)).alias(f"w{i}") for i in range(len(columns))]
+    weights = [F.sum(F.when((F.col("side") == i) & F.col("word").isNotNull(), 1)).alias(f"w{i}") for i in range(len(columns))]
     terms = words.groupBy(*keys, "word").agg(*weights)
     logs = [F.log(f"w{i}").alias(f"ln_w{i}") for i in range(len(columns))]
     draws = terms.select(*keys, "word", *logs, F.explode(F.array(*(F.lit(k) for k in range(SAMPLES)))).alias("draw"))

@@ -1,0 +1,35 @@
+"""The registered queries of the text operators, and the pipeline."""
+
+import duckdb
+import pytest
+
+import corpus_pipeline
+from chronofold.llm.queries import llm_oracles, llm_queries
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_names():
+    import __spark_entry__ as contract
+
+    assert sorted(int(n[2:].split("_")[0]) for n in llm_queries()) == list(range(1, 11))
+    assert {*llm_queries(), "pipeline"} <= contract.queries().keys()
+
+
+@pytest.mark.parametrize("name", llm_oracles())
+def test_query_is_as_its_sql(shared, name):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    found = llm_queries()[name](shared, SF)
+    true = con.execute(llm_oracles()[name])
+    at = [found.columns.index(d[0]) for d in true.description]
+    assert sorted(tuple(r[i] for i in at) for r in found.collect()) == sorted(true.fetchall())
+
+
+def test_pipeline_runs_through_and_on_an_empty_table(shared):
+    docs = shared.read.parquet(f"{SF}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        left = stage(shared, docs, SF)
+        assert left.columns == docs.columns and left.schema["text"].dataType == docs.schema["text"].dataType, name
+        assert stage(shared, docs.where("false"), SF).count() == 0
+    assert corpus_pipeline.run(shared, SF).count() > 100
