@@ -7,8 +7,9 @@ it, and a smaller overlap rules a pair out.
 
 So many values are common to the sketches of a link that some of the rarest ``1 - LEAST`` of each must be among them:
 only those go into the inverted lists, and passages that many documents hold seldom do. The pairs of short lists are
-all compared. The long lists are worked off in rounds. In each, the pairs of a list that lie in different components are compared by their sketches; the first rounds
-pass on each class's most similar partner alone, the last one every pair that the sketches allow. All pairs passed on
+all compared. The long lists are worked off in rounds. In each, the pairs of a list that lie in different components are compared by their sketches. The first rounds
+pass on each class's most similar partner in its longest list alone, the last one every pair of any list that the
+sketches allow. All pairs passed on
 are confirmed by the exact Jaccard similarity of the full sets and joined to components. Pairs within a component need
 no comparison, so a large group of near copies costs little more than its members, and no link between components is
 lost. The longest lists are dealt out as pairs of chunks.
@@ -89,33 +90,63 @@ def _union_estimate(x: np.ndarray, y: np.ndarray) -> float:
 
 
 def _candidates(group: pd.DataFrame, best_only: bool, similar: int) -> pd.DataFrame:
-    """Pairs of a list's classes, in different components, whose sketches allow a link."""
+    """Pairs of a list's classes, in different components, whose sketches allow a link.
+
+    A pair that several lists hold is passed on by the one of the smallest value alone.
+    """
     empty = pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64")})
     if group["component"].nunique() < 2:
         return empty
     low, high = int(group["low"].iloc[0]), int(group["high"].iloc[0])
     group = group.sort_values("node")
-    one, other = group[group["chunk"] == low], group[group["chunk"] == high]
+    if high < 0:
+        one, other = group[~group["main"]], group[group["main"]]
+    else:
+        one, other = group[group["chunk"] == low], group[group["chunk"] == high]
     if one.empty or other.empty:
         return empty
-    both = _held_by_both([np.asarray(s) for s in one["sketch"]], [np.asarray(s) for s in other["sketch"]])
-    sizes = np.minimum(one["n_shingles"].to_numpy()[:, None], SKETCH), np.minimum(other["n_shingles"].to_numpy()[None, :], SKETCH)
-    likeness = both / np.minimum(sizes[0] + sizes[1] - both, SKETCH)  # no less than the estimate on the union
-    near_sizes = 100 * np.minimum(one["n_shingles"].to_numpy()[:, None], other["n_shingles"].to_numpy()[None, :]) >= similar * np.maximum(one["n_shingles"].to_numpy()[:, None], other["n_shingles"].to_numpy()[None, :])
-    likeness = np.where(near_sizes, likeness, 0.0)
+    arrays = [[np.asarray(x) for x in side[c]] for c in ("sketch", "lists") for side in (one, other)]
+    both = _held_by_both(arrays[0], arrays[1])
+    n, m = one["n_shingles"].to_numpy()[:, None], other["n_shingles"].to_numpy()[None, :]
+    union = np.minimum(n, SKETCH) + np.minimum(m, SKETCH) - both
+    likeness = both / np.minimum(union, SKETCH)  # no less than the estimate on the union
     apart = one["component"].to_numpy()[:, None] != other["component"].to_numpy()[None, :]
-    likeness = np.where(apart, likeness, 0.0)
+    likeness = np.where(apart & (100 * np.minimum(n, m) >= similar * np.maximum(n, m)), likeness, 0.0)
     allowed = likeness >= LEAST
     if best_only:
         best = np.zeros_like(allowed)
         best[np.arange(len(one)), likeness.argmax(axis=1)] = True
         best[likeness.argmax(axis=0), np.arange(len(other))] = True
         allowed &= best
+    else:
+        value = int(group["value"].iloc[0])
+        smaller = [[x[x < value] for x in side] for side in arrays[2:]]
+        allowed &= _held_by_both(*smaller) == 0
     i, j = np.nonzero(allowed)
     a, b = one["node"].to_numpy()[i], other["node"].to_numpy()[j]
     return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
 
 
+def _dealt(members: DataFrame) -> DataFrame:
+    """The members of the lists that hold several components, dealt so that all such pairs meet once.
+
+    The members of a list's largest component need not meet one another: they lie in chunks, one row each, and only
+    the others are repeated for each of these chunks. Those also meet among themselves, as pairs of chunks of their own.
+    """
+    parts = members.groupBy("value", "component").agg(F.count(F.lit(1)).alias("k"))
+    parts = parts.groupBy("value").agg(F.max(F.struct("k", "component")).alias("largest"), F.sum("k").alias("all"))
+    parts = parts.where(F.col("all") > F.col("largest.k"))
+    members = members.join(parts, "value").withColumn("main", F.col("component") == F.col("largest.component"))
+    mains, others = (F.ceil(k / CHUNK).cast("int") for k in (F.col("largest.k"), F.col("all") - F.col("largest.k")))
+    place = F.xxhash64("node")
+    members = members.withColumn("chunk", F.when(F.col("main"), F.pmod(place, mains)).otherwise(F.pmod(place, others)).cast("int"))
+    with_main = F.transform(F.sequence(F.lit(0), mains - 1), lambda c: F.struct(c.alias("low"), F.lit(-1).alias("high")))
+    among = F.transform(F.sequence(F.lit(0), others - 1), lambda c: F.struct(F.least("chunk", c).alias("low"), F.greatest("chunk", c).alias("high")))
+    own = F.array(F.struct(F.col("chunk").alias("low"), F.lit(-1).alias("high")))
+    meets = F.when(F.col("main"), own).otherwise(F.concat(with_main, among))
+    return members.withColumn("meet", F.explode(meets)).select("value", "node", "component", "main", "chunk", "meet.low", "meet.high")
+
+
 def _search(best_only: bool, similar: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     return lambda group: _candidates(group, best_only, similar)
 
@@ -172,16 +203,16 @@ def _links(docs: DataFrame, lists: DataFrame, classes: DataFrame, width: int, si
     lists = lists.where(F.col("n") > SHORT)
     if lists.isEmpty():
         return links
+    of_node = lists.groupBy("node").agg(F.sort_array(F.collect_list("value")).alias("lists"), F.max(F.struct("n", "value")).alias("longest"))
+    of_node = saved(of_node.join(held, "node"))
+    held = of_node.drop("longest")
+    # the best partners are looked for in the longest list of each class, where a group's members meet
+    longest = of_node.select("longest.value", "node")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     for round_ in range(BEST_ROUNDS + 1):
         best_only = round_ < BEST_ROUNDS
-        members = lists.join(state, "node")
-        open_lists = members.groupBy("value").agg((F.min("component") != F.max("component")).alias("open")).where("open").select("value")
-        chunks = F.ceil(F.col("n") / CHUNK).cast("int")
-        members = members.join(open_lists, "value").withColumn("chunk", F.pmod(F.xxhash64("node"), chunks))
-        # each chunk meets itself and every other one once
-        meets = F.transform(F.sequence(F.lit(0), chunks - 1), lambda other: F.struct(F.least("chunk", other).alias("low"), F.greatest("chunk", other).alias("high")))
-        dealt = members.withColumn("meet", F.explode(meets)).select("value", "node", "component", "chunk", "meet.low", "meet.high").join(held, "node")
-        dealt = dealt.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "value", "low", "high")  # little data, much work
+        members = (longest if best_only else lists.select("value", "node")).join(state, "node")
+        dealt = _dealt(members).join(held, "node").repartition(parts, "value", "low", "high")  # little data, much work
         pairs = dealt.groupBy("value", "low", "high").applyInPandas(_search(best_only, similar), "a long, b long").distinct()
         pairs = saved(pairs.join(tested, ["a", "b"], "left_anti"))
         tested = tested.unionByName(pairs)
