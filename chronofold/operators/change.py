@@ -48,8 +48,12 @@ def action_counts(classified: DataFrame) -> DataFrame:
 
 
 def duplicate_starts(rows: DataFrame, spec: HistorySpec) -> DataFrame:
-    """(key, start) pairs that occur more than once; a merge needs this to be empty."""
-    return (rows.groupBy(*spec.keys, spec.start).agg(F.count("*").alias("copies"))
+    """(key, start) pairs that occur more than once; a merge needs this to be empty.
+
+    A NULL in a key or start never matches in a merge, so such rows are no repetition.
+    """
+    complete = all_of(F.col(c).isNotNull() for c in (*spec.keys, spec.start))
+    return (rows.where(complete).groupBy(*spec.keys, spec.start).agg(F.count("*").alias("copies"))
             .where(F.col("copies") > 1))
 
 

@@ -16,19 +16,21 @@ from chronofold.operators.coverage import source_keys
 from chronofold.spec import HistorySpec
 
 _COPIES_PER_ROW = 10_000
-_DAY_SHIFT, _DAY_RANGE = 1_000_000, 10_000_000
+# Days are 32-bit numbers, so a start and an end fit into one long.
+_NO_DAY, _DAY_RANGE = -2**31, 2**32
 
 
 def _position(spec: HistorySpec) -> Column:
     """Place of a row in (start, end) order, NULLs first, as one number: its maximum needs no
-    sort. Days of the years 1 to 9999 lie between -719,162 and 2,932,896."""
-    start = F.coalesce(F.unix_date(spec.start), F.lit(-_DAY_SHIFT)).cast("long")
-    return start * _DAY_RANGE + F.coalesce(F.unix_date(spec.end) + _DAY_SHIFT, F.lit(0))
+    sort."""
+    start, end = (F.coalesce(F.unix_date(d), F.lit(_NO_DAY)).cast("long")
+                  for d in (spec.start, spec.end))
+    return start * _DAY_RANGE + (end - _NO_DAY)
 
 
 def _end_at(position: Column) -> Column:
     day = F.pmod(position, F.lit(_DAY_RANGE))
-    return F.when(day > 0, F.date_from_unix_date((day - _DAY_SHIFT).cast("int")))
+    return F.when(day > 0, F.date_from_unix_date((day + _NO_DAY).cast("int")))
 
 
 def _neighbours(table: DataFrame, spec: HistorySpec) -> DataFrame:

@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 from chronofold.functions.columns import all_of
 from chronofold.sources.history import SRC_END, SRC_START
 
-# Bounds of the calendar: a gap before the first or after the last source row reaches to these.
-FIRST_DAY, LAST_DAY = "0001-01-01", "9999-12-31"
-
-
 def source_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     return source.where(all_of(F.col(k).isNotNull() for k in keys)).select(*keys).distinct()
 
@@ -53,14 +49,17 @@ def coverage_steps(source: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def source_gaps(source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The windows no source row covers, for every key that has dated source rows."""
-    until = F.coalesce("_until", F.lit(LAST_DAY).cast("date"))
-    first_day = F.lit(FIRST_DAY).cast("date")
+    """The windows no source row covers, for every key that has dated source rows.
+
+    The one before the first source row has no start and the one after the last has no end: NULL
+    stands for all time on that side.
+    """
+    no_day = F.lit(None).cast("date")
     before = F.when(
-        F.col("_is_first") & (F.col("_from") > first_day),
-        F.struct(first_day.alias(SRC_START), F.col("_from").alias(SRC_END)))
+        F.col("_is_first"),
+        F.struct(no_day.alias(SRC_START), F.col("_from").alias(SRC_END)))
     after = F.when(
-        F.col("_covered_to") < until,
-        F.struct(F.col("_covered_to").alias(SRC_START), until.alias(SRC_END)))
+        F.col("_until").isNull() | (F.col("_covered_to") < F.col("_until")),
+        F.struct(F.col("_covered_to").alias(SRC_START), F.col("_until").alias(SRC_END)))
     return coverage_steps(source, keys).select(
         *keys, F.inline(F.filter(F.array(before, after), lambda gap: gap.isNotNull())))

@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronofold.functions.columns import all_of, content_hash, overlaps
-from chronofold.operators.coverage import LAST_DAY, coverage_steps
+from chronofold.functions.columns import all_of, content_hash
+from chronofold.operators.coverage import coverage_steps
 from chronofold.sources.history import SRC_END, SRC_START
 from chronofold.spec import HistorySpec, JoinTuning
 
@@ -89,13 +89,20 @@ def only_hot(rows: DataFrame, hot: HotKeys, spec: HistorySpec) -> DataFrame:
     return near.join(F.broadcast(hot.plan), _match(spec)).drop(*[f"_hot_{k}" for k in spec.keys])
 
 
-def _segment(day: Column) -> Column:
+def _first_segment(day: Column) -> Column:
+    """Days before the first segment, and no day at all, count to the first."""
     raw = F.floor((F.unix_date(day) - F.col("_lo")) / F.col("_width"))
-    return F.greatest(F.lit(0), F.least(F.col("_segments") - 1, raw)).cast("int")
+    return F.greatest(F.lit(0), F.least(F.col("_segments") - 1, F.coalesce(raw, F.lit(0)))).cast("int")
+
+
+def _last_segment(day: Column) -> Column:
+    """As ``_first_segment``, but no day at all counts to the last."""
+    return F.when(day.isNull(), F.col("_segments") - 1).otherwise(_first_segment(day)).cast("int")
 
 
 def _touched(first: Column, last: Column) -> Column:
-    return F.explode(F.sequence(_segment(first), F.greatest(_segment(first), _segment(last))))
+    begin = _first_segment(first)
+    return F.explode(F.sequence(begin, F.greatest(begin, _last_segment(last))))
 
 
 def _own_salt(rows: DataFrame, salts: str) -> Column:
@@ -108,13 +115,13 @@ def _all_salts(salts: str) -> Column:
 
 
 def hot_pairs(target: DataFrame, timeline: DataFrame, spec: HistorySpec,
-              extra: Column | None = None) -> DataFrame:
-    """Every overlapping (target, timeline) pair of the hot keys; both sides carry the key plan."""
+              meets: Column) -> DataFrame:
+    """Every (target, timeline) pair of the hot keys that ``meets``; both sides carry the key plan."""
     left = (
         target
         .withColumn("_t_salt", _own_salt(target, "_t_salts"))
         .withColumn("_s_salt", _all_salts("_s_salts"))
-        .withColumn("_first", _segment(F.col(spec.start)))
+        .withColumn("_first", _first_segment(F.col(spec.start)))
         .withColumn("_cell", _touched(F.col(spec.start), F.col(spec.end)))
         .drop(*_PLAN_COLS)
     )
@@ -122,7 +129,7 @@ def hot_pairs(target: DataFrame, timeline: DataFrame, spec: HistorySpec,
         timeline
         .withColumn("_src_s_salt", _own_salt(timeline, "_s_salts"))
         .withColumn("_src_t_salt", _all_salts("_t_salts"))
-        .withColumn("_src_first", _segment(F.col(SRC_START)))
+        .withColumn("_src_first", _first_segment(F.col(SRC_START)))
         .withColumn("_src_cell", _touched(F.col(SRC_START), F.col(SRC_END)))
         .drop(*_PLAN_COLS)
         .withColumnsRenamed({k: f"_src_key_{k}" for k in spec.keys})
@@ -131,10 +138,7 @@ def hot_pairs(target: DataFrame, timeline: DataFrame, spec: HistorySpec,
         [F.col(k) == F.col(f"_src_key_{k}") for k in spec.keys]
         + [F.col(c) == F.col(f"_src{c}") for c in ("_cell", "_t_salt", "_s_salt")])
     begins_here = F.greatest("_first", "_src_first") == F.col("_cell")
-    shared = overlaps(F.col(spec.start), F.col(spec.end), F.col(SRC_START), F.col(SRC_END))
-    on = same_cell & begins_here & shared
-    if extra is not None:
-        on = on & extra
+    on = same_cell & begins_here & meets
     helpers = ("_cell", "_t_salt", "_s_salt", "_first")
     return left.join(right, on).drop(
         *helpers, *[f"_src{c}" for c in helpers], *[f"_src_key_{k}" for k in spec.keys])
@@ -150,8 +154,7 @@ def hot_unmatched(target: DataFrame, source: DataFrame, hot: HotKeys,
     steps = (
         only_hot(coverage_steps(source, spec.keys), hot, spec)
         .withColumn("_src_t_salt", _all_salts("_t_salts"))
-        .withColumn("_src_cell", _touched(F.col("_from"), F.coalesce(
-            F.date_sub("_until", 1), F.lit(LAST_DAY).cast("date"))))
+        .withColumn("_src_cell", _touched(F.col("_from"), F.date_sub("_until", 1)))
         .select(*[F.col(k).alias(f"_src_key_{k}") for k in spec.keys],
                 "_src_t_salt", "_src_cell", "_from", "_until", "_reach")
     )
@@ -160,7 +163,7 @@ def hot_unmatched(target: DataFrame, source: DataFrame, hot: HotKeys,
         *spec.target_cols,
         _own_salt(target, "_t_salts").alias("_t_salt"),
         last_day.alias("_last_day"),
-        F.coalesce(_segment(last_day), F.lit(0)).alias("_cell"),
+        _first_segment(last_day).alias("_cell"),
     ).join(
         steps,
         all_of([F.col(k) == F.col(f"_src_key_{k}") for k in spec.keys]

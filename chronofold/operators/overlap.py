@@ -42,26 +42,41 @@ def _timeline(source: DataFrame, spec: HistorySpec, coverage: str) -> DataFrame:
     return rows.unionByName(extra, allowMissingColumns=True)
 
 
-def _join(target: DataFrame, timeline: DataFrame, spec: HistorySpec, how: str,
+def _meets(spec: HistorySpec, coverage: str) -> Column:
+    """When a target row and a row of the timeline belong together, in every way to join them.
+
+    A gap (whose NULL bounds are open) meets only target rows that hold time; a source row follows
+    the plain overlap rule; a key meets every target row of it.
+    """
+    start, end = F.col(spec.start), F.col(spec.end)
+    row = overlaps(start, end, F.col(SRC_START), F.col(SRC_END))
+    if coverage == "inner":
+        return F.when(F.col(KIND) == KEY, F.lit(True)).otherwise(row)
+    if coverage == "preserve":
+        gap = ((start < end) & F.coalesce(F.col(SRC_START) < end, F.lit(True))
+               & F.coalesce(F.col(SRC_END) > start, F.lit(True)))
+        return F.when(F.col(KIND) == GAP, gap).otherwise(row)
+    return row
+
+
+def _join(target: DataFrame, timeline: DataFrame, spec: HistorySpec, how: str, coverage: str,
           extra: Column | None = None) -> DataFrame:
-    """Equality on the keys with the overlap as residual; each side is shuffled at most once."""
+    """Equality on the keys with the overlap as residual; the target is shuffled at most once."""
     renamed = timeline.withColumnsRenamed({k: f"_src_key_{k}" for k in spec.keys})
-    shared = overlaps(F.col(spec.start), F.col(spec.end), F.col(SRC_START), F.col(SRC_END))
-    on = all_of(F.col(k) == F.col(f"_src_key_{k}") for k in spec.keys) & (
-        shared | (F.col(KIND) == KEY))
+    on = all_of(F.col(k) == F.col(f"_src_key_{k}") for k in spec.keys) & _meets(spec, coverage)
     if extra is not None:
         on = on & extra
     return target.join(renamed, on, how).drop(*[f"_src_key_{k}" for k in spec.keys])
 
 
 def _join_salted(target: DataFrame, timeline: DataFrame, spec: HistorySpec, how: str,
-                 buckets: int) -> DataFrame:
+                 coverage: str, buckets: int) -> DataFrame:
     """Target rows spread over buckets, the timeline repeated in each; the bucket is joined on."""
     salt = F.pmod(content_hash(target), F.lit(buckets)).cast("int")
     spread = target.withColumn("_salt", salt)
     repeated = timeline.withColumn(
         "_src_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    return _join(spread, repeated, spec, how,
+    return _join(spread, repeated, spec, how, coverage,
                  F.col("_salt") == F.col("_src_salt")).drop("_salt", "_src_salt")
 
 
@@ -71,14 +86,14 @@ def _attach_hot(target: DataFrame, source: DataFrame, hot: HotKeys, spec: Histor
     big_target, big_source = only_hot(target, hot, spec), only_hot(source, hot, spec)
     rows = big_source.withColumn(KIND, F.lit(ROW))
     if coverage in ("pairs", "inner"):
-        return hot_pairs(big_target, rows, spec)
+        return hot_pairs(big_target, rows, spec, _meets(spec, "pairs"))
     if coverage == "left":
-        pairs, rest = hot_pairs(big_target, rows, spec), big_target
+        pairs, rest = hot_pairs(big_target, rows, spec, _meets(spec, "left")), big_target
     else:
         dated = F.col(spec.start) < F.col(spec.end)
         gaps = only_hot(source_gaps(big_source, spec.keys), hot, spec).withColumn(KIND, F.lit(GAP))
         pairs = hot_pairs(big_target, rows.unionByName(gaps, allowMissingColumns=True), spec,
-                          extra=(F.col(KIND) == ROW) | dated)
+                          _meets(spec, coverage))
         rest = big_target.where(~F.coalesce(dated, F.lit(False)))
     unmatched = hot_unmatched(rest, big_source, hot, spec)
     return pairs.unionByName(unmatched, allowMissingColumns=True)
@@ -96,15 +111,15 @@ def _attach(target: DataFrame, source: DataFrame, spec: HistorySpec, coverage: s
     hot = hot_keys(target, source, spec, tuning) if strategy == "split" else None
     if hot is not None:
         usual = _timeline(without_hot(source, hot, spec), spec, coverage)
-        cold = _join(without_hot(target, hot, spec), usual, spec, how)
+        cold = _join(without_hot(target, hot, spec), usual, spec, how, coverage)
         joined = cold.unionByName(_attach_hot(target, source, hot, spec, coverage))
     elif strategy == "salted":
-        joined = _join_salted(target, _timeline(source, spec, coverage), spec, how,
+        joined = _join_salted(target, _timeline(source, spec, coverage), spec, how, coverage,
                               tuning.salt_buckets)
     else:
         timeline = _timeline(source, spec, coverage)
         joined = _join(target, F.broadcast(timeline) if strategy == "broadcast" else timeline,
-                       spec, how)
+                       spec, how, coverage)
     return joined.where(F.col(KIND).isNull() | (F.col(KIND) != KEY))
 
 
@@ -122,8 +137,10 @@ def _clipped(joined: DataFrame, spec: HistorySpec, keep_unmatched: bool) -> Data
         flag = F.when(stored, F.col(spec.active)).otherwise(flag)
         values = {c: F.when(stored, F.col(c)).otherwise(v) for c, v in values.items()}
     computed = {spec.start: start, spec.end: end, spec.active: flag, **values}
+    # the output has the target's types, whatever the source's are
     return joined.select(*[
-        computed[c].alias(c) if c in computed else F.col(c) for c in spec.target_cols])
+        computed[c].cast(joined.schema[c].dataType).alias(c) if c in computed else F.col(c)
+        for c in spec.target_cols])
 
 
 def overlap_pairs(target: DataFrame, source: DataFrame, spec: HistorySpec, how: str = "inner",

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from chronofold.functions.columns import divisible_only_by, sphere_volume, swapped_name
 from chronofold.operators import change, checks, coverage, summaries
 from chronofold.operators.overlap import expand_history, overlap_pairs, overlap_rows
+from chronofold.plans.jobs import ValidationFailed, run_merge, run_overwrite
 from chronofold.plans.pairs import PAIRS
 from chronofold.plans.sql_form import backfill_sql, insert_overwrite_sql
 from chronofold.session import work_folder
@@ -81,11 +82,13 @@ def _sql_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     pair.target(spark, sf_dir).write.parquet(f"{folder}/tgt")
     pair.source_table(spark, sf_dir).write.parquet(f"{folder}/src")
     spark.read.parquet(f"{folder}/tgt").limit(0).write.parquet(f"{folder}/out")
-    for role, name in names.items():
-        spark.catalog.createTable(name, path=f"{folder}/{role}", source="parquet")
-    insert_overwrite_sql(spark, names["out"], names["tgt"], names["src"], pair.spec)
-    for name in names.values():
-        spark.sql("DROP TABLE IDENTIFIER(:t)", args={"t": name})
+    try:
+        for role, name in names.items():
+            spark.catalog.createTable(name, path=f"{folder}/{role}", source="parquet")
+        insert_overwrite_sql(spark, names["out"], names["tgt"], names["src"], pair.spec)
+    finally:
+        for name in names.values():
+            spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:t)", args={"t": name})
     return spark.read.parquet(f"{folder}/out")
 
 
@@ -143,6 +146,28 @@ def _partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).select(*spec.target_cols)
 
 
+def _whole_job(spark: SparkSession, sf_dir: str, f: str, run: Callable, *args) -> DataFrame:
+    """A whole job (stage, check, publish) and the content that readers then see.
+
+    The ``check_*`` queries show what the checks find in these data; here they do not stop it.
+    """
+    store = _store(spark)
+    run(*_load(f, spark, sf_dir), store, *args, ignore=checks.CHECKS)
+    return store.current()
+
+
+def _refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job whose run does not pass its checks leaves the content that was published before."""
+    target, source, spec = _load("f1", spark, sf_dir)
+    store = _store(spark)
+    store.publish(store.stage(target))
+    try:
+        run_overwrite(target.unionByName(target), source, spec, store, "inner")
+    except ValidationFailed:
+        return store.current()
+    raise AssertionError("a run with overlapping windows was published")
+
+
 def _modular_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per block of 1,201 consecutive order keys: those divisible by 7 and not by 5, as one list.
 
@@ -152,7 +177,7 @@ def _modular_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         read_parquet(spark, sf_dir, "orders")
         .where(divisible_only_by(key, 7, 5))
-        .select(F.floor(key / 1201).cast("long").alias("block"), key).distinct()
+        .select(F.expr("o_orderkey div 1201").alias("block"), key).distinct()
         .groupBy("block")
         .agg(F.expr("listagg(CAST(o_orderkey AS STRING), ',') WITHIN GROUP (ORDER BY o_orderkey)")
              .alias("numbers"))
@@ -260,6 +285,14 @@ def all_queries() -> dict[str, Query]:
     q["partition_overwrite_f1"] = _partition_overwrite
     q["run_history_f1"] = _run_history
 
+    q["job_overwrite_inner_f1"] = lambda spark, sf_dir: _whole_job(
+        spark, sf_dir, "f1", run_overwrite, "inner")
+    q["job_overwrite_preserve_f3"] = lambda spark, sf_dir: _whole_job(
+        spark, sf_dir, "f3", run_overwrite, "preserve")
+    q["job_merge_f1"] = lambda spark, sf_dir: _whole_job(
+        spark, sf_dir, "f1", run_merge)
+    q["job_refused_f1"] = _refused
+
     q["modular_filter_list"] = _modular_list
     q["reverse_text"] = _reversed_text
     q["swap_name"] = _swapped_names

@@ -35,6 +35,7 @@ def _check_and_publish(run_id: str, target: DataFrame, source: DataFrame, spec:
     counts = verdict_counts(target, store.read(run_id), source, spec).first()
     failed = [c for c in CHECKS if counts[c] and c not in ignore]
     if failed:
+        store.discard(run_id)
         raise ValidationFailed(f"run {run_id} not published, failed: {', '.join(failed)}")
     store.publish(run_id, operation, rows=counts.rows_after)
     return JobResult(run_id, counts.rows_before, counts.rows_after,
@@ -67,6 +68,7 @@ def run_merge(target: DataFrame, source: DataFrame, spec: HistorySpec, store: Ru
     work = store.stage(overlap_rows(target, source, spec, "left", tuning))
     expanded = store.read(work)
     if not duplicate_starts(expanded, spec).isEmpty():
+        store.discard(work)
         raise ValidationFailed("staged rows repeat a key and start date; the merge is ambiguous")
     run_id = store.stage(backfilled_state(expanded, target, spec))
     store.discard(work)

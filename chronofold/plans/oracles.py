@@ -50,10 +50,9 @@ _F1 = _Pair(
         "CAST(NULL AS DOUBLE) AS salary, CAST(NULL AS VARCHAR) AS status")
     + ") w JOIN customer ON c_custkey = id",
     _windows("SELECT o_custkey AS id, CAST(l_shipdate AS DATE) AS d, "
-             "MIN(l_extendedprice) AS salary, MIN(l_linestatus) AS status "
+             "MIN(l_extendedprice) AS salary, MIN((l_extendedprice, l_linestatus))[2] AS status "
              "FROM lineitem JOIN orders ON l_orderkey = o_orderkey "
-             "JOIN customer ON c_custkey = o_custkey WHERE l_returnflag = 'R' "
-             "AND c_mktsegment IN ('AUTOMOBILE', 'FURNITURE', 'HOUSEHOLD') GROUP BY 1, 2",
+             "WHERE l_returnflag = 'R' GROUP BY 1, 2",
              "id", "id, salary, status", "f", "e", _OPEN),
 )
 
@@ -69,9 +68,8 @@ _F2 = _Pair(
         "valid_to", "is_current", "DATE '9999-12-31'", "CAST(NULL AS VARCHAR) AS city"),
     "SELECT customer_id, city, f, LEAST(e, CAST(f + INTERVAL 6 DAY AS DATE)) AS e FROM ("
     + _windows("SELECT user_id AS customer_id, CAST(ts AS DATE) AS d, MIN(props) AS city "
-             "FROM events WHERE event_type = 'purchase' AND value >= 100 "
-             "AND ts < TIMESTAMP '2024-01-24 00:00:00' GROUP BY 1, 2",
-             "customer_id", "customer_id, city", "f", "e", "DATE '2024-01-25'") + ")",
+             "FROM events WHERE event_type = 'purchase' GROUP BY 1, 2",
+             "customer_id", "customer_id, city", "f", "e", "DATE '9999-12-31'") + ")",
 )
 
 _F3 = _Pair(
@@ -87,7 +85,7 @@ _F3 = _Pair(
     _windows("SELECT l_suppkey AS policy_id, l_returnflag AS product_code, "
              "CAST(o_orderdate AS DATE) AS d, MIN(l_extendedprice) AS premium_amount "
              "FROM lineitem JOIN orders ON l_orderkey = o_orderkey "
-             "JOIN supplier ON s_suppkey = l_suppkey WHERE s_acctbal > 2500 GROUP BY 1, 2, 3",
+             "WHERE o_orderstatus = 'F' GROUP BY 1, 2, 3",
              "policy_id, product_code", "policy_id, product_code, premium_amount", "f", "e",
              _OPEN),
 )
@@ -105,10 +103,10 @@ _F4 = _Pair(
         "CAST(NULL AS VARCHAR) AS designation")
     + ") w JOIN part ON p_partkey = employee_id",
     _windows("SELECT l_partkey AS employee_id, CAST(o_orderdate AS DATE) AS d, "
-             "MIN(o_orderpriority) AS grade, MIN(o_orderstatus) AS band, "
-             "MIN(l_returnflag) AS designation FROM lineitem "
-             "JOIN orders ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey "
-             "WHERE o_orderstatus = 'F' AND p_size <= 35 GROUP BY 1, 2",
+             "MIN(o_orderpriority) AS grade, 'F' AS band, "
+             "MIN((o_orderpriority, l_returnflag))[2] AS designation FROM lineitem "
+             "JOIN orders ON l_orderkey = o_orderkey "
+             "WHERE o_orderstatus = 'F' GROUP BY 1, 2",
              "employee_id", "employee_id, grade, band, designation", "f", "e",
              "DATE '2099-12-31'"),
 )
@@ -274,15 +272,18 @@ def all_oracles() -> dict[str, str]:
     put("source_gaps_f2", "f2", """
 , w AS (SELECT customer_id, f, e, MAX(e) OVER (PARTITION BY customer_id ORDER BY f
           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM s)
-SELECT customer_id, COALESCE(before, DATE '0001-01-01') AS _src_start, f AS _src_end
-FROM w WHERE COALESCE(before, DATE '0001-01-01') < f
-UNION ALL SELECT customer_id, MAX(e), DATE '9999-12-31' FROM s GROUP BY customer_id""")
+SELECT customer_id, before AS _src_start, f AS _src_end FROM w WHERE before IS NULL OR before < f
+UNION ALL SELECT customer_id, MAX(e), CAST(NULL AS DATE) FROM s GROUP BY customer_id""")
 
     for name in ("backfill_sql_f1", "backfill_plain_f1", "backfill_broadcast_f1",
                  "backfill_salted_f1", "hot_keys_inner_f1", "publish_readback_f1",
-                 "publish_rollback_f1", "clustered_rewrite_f1", "final_listing_f1"):
+                 "publish_rollback_f1", "clustered_rewrite_f1", "final_listing_f1",
+                 "job_overwrite_inner_f1"):
         put(name, "f1", rows("f1", "inner_state"))
     put("insert_overwrite_f3", "f3", rows("f3", "inner_state"))
+    put("job_overwrite_preserve_f3", "f3", rows("f3", "preserved"))
+    put("job_merge_f1", "f1", rows("f1", "merge_kept"))
+    put("job_refused_f1", "f1", rows("f1", "t"))
     put("hot_keys_inner_f3", "f3", rows("f3", "inner_state"))
     put("backfill_salted_preserve_f3", "f3", rows("f3", "preserved"))
     for f in ("f1", "f3"):

@@ -27,8 +27,10 @@ def local_session(cores: int = 8, name: str = "chronofold", **conf) -> SparkSess
 def work_folder(spark: SparkSession) -> str:
     """A fresh folder under the shared folder of ``spark.checkpoint.dir``.
 
-    Only where that setting is missing, as in tests, is a local temporary folder used.
+    Only where a local session does not name one, as in tests, is a temporary folder used.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     root = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="chronofold-")
     return f"{root}/chronofold-{uuid.uuid4().hex}"

@@ -21,12 +21,24 @@ def read_parquet(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def target_history(table: DataFrame, spec: HistorySpec) -> DataFrame:
-    """Configured target columns only, in output order, with both bounds as dates."""
-    return table.select(*[
-        F.col(c).cast("date").alias(c) if c in (spec.start, spec.end) else F.col(c)
-        for c in spec.target_cols
-    ])
+def target_history(table: DataFrame, spec: HistorySpec,
+                   source: DataFrame | None = None) -> DataFrame:
+    """Configured target columns only, in output order, with both bounds as dates.
+
+    New columns that the table does not have yet are added as NULL, in the type that the raw
+    ``source`` table has them in.
+    """
+    there = {c.lower() for c in table.columns}
+    types = {f.name.lower(): f.dataType for f in source.schema} if source is not None else {}
+
+    def column(c: str) -> Column:
+        if c in spec.new_cols and c.lower() not in there:
+            if c.lower() not in types:
+                raise ValueError(f"the target has no column {c}; pass the source to add it")
+            return F.lit(None).cast(types[c.lower()]).alias(c)
+        return F.col(c).cast("date").alias(c) if c in (spec.start, spec.end) else F.col(c)
+
+    return table.select(*[column(c) for c in spec.target_cols])
 
 
 def lower_names(table: DataFrame) -> DataFrame:
@@ -62,11 +74,13 @@ def windows_from_events(
 
     With ``max_days`` a row is valid for at most that long, which leaves gaps.
 
-    Events of one key and day are combined (smallest value) before the shuffle by key, so a
-    window group holds at most one row per calendar day however many events its key has.
+    Of the events of one key and day the smallest (compared value by value, in the given order)
+    stands for the day, as a whole. They are combined before the shuffle by key, so a window group
+    holds at most one row per calendar day however many events its key has.
     """
-    daily = events.groupBy(*keys, day.cast("date").alias(start)).agg(
-        *[F.min(value).alias(name) for name, value in values.items()])
+    whole = F.struct(*[value.alias(name) for name, value in values.items()])
+    daily = events.groupBy(*keys, day.cast("date").alias(start)).agg(F.min(whole).alias("_event"))
+    daily = daily.select(*keys, start, *[F.col(f"_event.{name}").alias(name) for name in values])
     following = F.lead(start).over(Window.partitionBy(*keys).orderBy(start))
     until = F.coalesce(following, F.lit(last_end).cast("date"))
     if max_days is not None:

@@ -61,3 +61,8 @@ def test_duplicate_starts(spark):
     t = target(spark, (1, "A", "2020-01-01", "H"), (1, "B", "2020-01-01", "H"),
                (2, "C", "2020-01-01", "H"))
     assert [(r.id, r.copies) for r in change.duplicate_starts(t, SPEC).collect()] == [(1, 2)]
+
+
+def test_null_keys_are_no_repetition(spark):
+    t = target(spark, (None, "a", "2000-01-01", "H"), (None, "b", "2000-01-01", "H"), (1, "c", None, "H"), (1, "d", None, "H"))
+    assert change.duplicate_starts(t, SPEC).isEmpty()

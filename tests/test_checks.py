@@ -160,3 +160,10 @@ def test_summaries(spark):
     assert summaries.expansion_ratio(t, t.union(t)).first().expansion_ratio == 2.0
     assert summaries.expansion_ratio(t.limit(0), t).first().expansion_ratio is None
     assert [r.place for r in summaries.listing(t, SPEC).collect()] == ["A", "B", "C"]
+
+
+def test_far_dates_are_neighbours_like_any(spark):
+    """Five adjoining windows of four million days each."""
+    days = spark.range(5).selectExpr("1L AS id", "'p' AS place", "date_from_unix_date(int(id * 4000000 - 9000000)) AS eff_start_date",
+                                     "date_from_unix_date(int((id + 1) * 4000000 - 9000000)) AS eff_end_date", "0 AS active", "'s' AS status")
+    assert checks.date_gaps(days, SPEC).isEmpty() and checks.date_overlaps(days, SPEC, strict=True).isEmpty()

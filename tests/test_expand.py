@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from chronofold.operators.coverage import covered_rows, source_gaps, uncovered_rows
 from chronofold.operators.overlap import (
     expand_history, measured_bytes, overlap_pairs, overlap_rows)
-from small import EVERY_TUNING, H, SOURCE, SPEC, SPLIT_ALL, TARGET, rows, source, target
+from small import EVERY_TUNING, d, H, SOURCE, SPEC, SPLIT_ALL, TARGET, rows, source, target
 from chronofold.sources.history import source_history, target_history
 from chronofold.spec import HistorySpec
 
@@ -110,8 +110,7 @@ def test_gaps_complete_the_source_to_the_calendar(spark):
     s = source(spark, (1, "X", "2000-01-01", "2010-01-01"), (1, "Y", "2005-01-01", "2006-01-01"),
                (1, "Z", "2011-01-01", "2012-01-01"))
     found = sorted((str(r._src_start), str(r._src_end)) for r in source_gaps(s, ["id"]).collect())
-    assert found == [("0001-01-01", "2000-01-01"), ("2010-01-01", "2011-01-01"),
-                     ("2012-01-01", "9999-12-31")]
+    assert found == [("2010-01-01", "2011-01-01"), ("2012-01-01", "None"), ("None", "2000-01-01")]
 
 
 def test_measured_bytes_counts_text(spark):
@@ -239,3 +238,38 @@ def test_bad_arguments(spark):
         expand_history(t, s, SPEC, "outer")
     with pytest.raises(ValueError):
         overlap_rows(t, s, SPEC, "right")
+
+
+@pytest.mark.parametrize("tuning", EVERY_TUNING)
+def test_empty_windows_in_a_gap_keep_what_is_stored(spark, tuning):
+    """A window without time in it meets no gap, whatever the way to join."""
+    full = [(1, "a", d("2005-01-01"), d("2005-01-01"), 1, "OLD"), (1, "b", d("2006-01-01"), d("2005-01-01"), 1, "OLD"),
+            (1, "c", d("2005-01-01"), d("2006-01-01"), 1, "OLD"), (1, "d", None, d("2006-01-01"), 1, "OLD")]
+    t = target_history(spark.createDataFrame(full, TARGET), SPEC)
+    s = source(spark, (1, "new", "2010-01-01", "2011-01-01"))
+    found = {r[1]: r[2:] for r in rows(expand_history(t, s, SPEC, "preserve", EVERY_TUNING[tuning]))}
+    assert found == {"a": ("2005-01-01", "2005-01-01", 1, "OLD"), "b": ("2006-01-01", "2005-01-01", 1, "OLD"),
+                     "c": ("2005-01-01", "2006-01-01", 0, None), "d": (None, "2006-01-01", 1, "OLD")}
+
+
+@pytest.mark.parametrize("tuning", ["plain", "split, all hot", "salted 5"])
+def test_no_day_is_lost_beyond_the_year_9999(spark, tuning):
+    t = target(spark, (1, "a", "2000-01-01", "9999-12-31")).withColumn(
+        "eff_end_date", F.expr("date_add(eff_end_date, 400)"))
+    s = source(spark, (1, "x", "2001-01-01", "2002-01-01"))
+    days = F.sum(F.datediff("eff_end_date", "eff_start_date"))
+    kept = expand_history(t, s, SPEC, "preserve", EVERY_TUNING[tuning])
+    assert kept.agg(days).first() == t.agg(days).first() and kept.count() == 3
+
+
+def test_absent_new_columns_are_added_and_types_are_the_targets(spark):
+    raw = spark.createDataFrame([(1, "a", d("2000-01-01"), H, 1)], TARGET.rsplit(",", 1)[0])
+    new = spark.createDataFrame([(1, "x", d("2001-01-01"), H)], SOURCE)
+    t = target_history(raw, SPEC, new)
+    assert t.schema["status"].dataType.simpleString() == "string"
+    assert rows(expand_history(t, source_history(new, SPEC), SPEC, "inner")) == [(1, "a", "2001-01-01", "H", 1, "x")]
+    with pytest.raises(ValueError):
+        target_history(raw, SPEC)
+    other = source_history(new.withColumn("status", F.lit(7)), SPEC)
+    for mode in ("inner", "left", "preserve"):
+        assert expand_history(t, other, SPEC, mode).schema["status"].dataType.simpleString() == "string"

@@ -9,14 +9,15 @@ import __spark_entry__ as contract
 from chronofold.operators.overlap import expand_history, overlap_rows
 from chronofold.operators.coverage import covered_rows, uncovered_rows
 from chronofold.operators import change
-from chronofold.plans.catalogue import EVERY_KEY_HOT
+from chronofold.plans.catalogue import EVERY_KEY_HOT, all_queries
+from chronofold.plans.oracles import all_oracles
 from chronofold.sources.history import source_history, target_history
 from chronofold.spec import JoinTuning
 from compare import TABLES, difference, duck
 from fixture_sql import FIXTURES
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 
 @functools.cache
@@ -28,6 +29,10 @@ def test_every_query_has_an_oracle():
     assert QUERIES.keys() == ORACLES.keys()
 
 
+def test_every_query_is_registered():
+    assert QUERIES.keys() <= contract.queries().keys() and ORACLES.keys() <= contract.oracle_sql().keys()
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() > 1499
 
