@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from chronofold.llm.ordering import BLOCK, in_blocks, next_blocks
 from chronofold.llm.storage import saved
 
-SAMPLES = 16
+#: ROWS: of a block of neighbouring documents; many small blocks fill the partitions evenly.
+SAMPLES, ROWS = 16, 128
 _26_BITS = (1 << 26) - 1
 _SPLIT = r"[\x20\x09-\x0D]+"
 
@@ -87,7 +88,7 @@ def with_next_text(docs: DataFrame) -> DataFrame:
 
     The first row of each block is also put at the end of the block before, so that one shuffle of the texts is enough.
     """
-    blocked = in_blocks(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "doc_id")
+    blocked = in_blocks(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "doc_id", ROWS)
     order = Window.partitionBy(BLOCK).orderBy("doc_id", "text")
     heads = blocked.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
     before = next_blocks(blocked.select("doc_id", "__group", BLOCK)).withColumnsRenamed({BLOCK: "__home", "following": BLOCK})
