@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import time
+from statistics import median
 
 from chronofold.operators.change import backfilled_state, classify_changes
 from chronofold.operators.checks import verdict
@@ -33,19 +34,18 @@ def consume(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = local_session(cores, "chronofold-bench")
     folder = work_folder(spark)
     seconds: dict[str, float] = {}
 
     def timed(name: str, run, times: int = repeat) -> None:
-        best = None
+        took = []
         for _ in range(times):
             began = time.perf_counter()
             run()
-            took = time.perf_counter() - began
-            best = took if best is None else min(best, took)
-        seconds[name] = round(best, 3)
+            took.append(time.perf_counter() - began)
+        seconds[name] = round(median(took), 3)
 
     consume(all_queries()["backfill_inner_f1"](spark, sf_dir))
 

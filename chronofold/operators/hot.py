@@ -31,6 +31,19 @@ class HotKeys:
     scan_filter: Column | None
 
 
+def _may_have_hot_keys(target: DataFrame, source: DataFrame, spec: HistorySpec,
+                       tuning: JoinTuning) -> bool:
+    """Whether the largest source key could be hot if all target rows were its own.
+
+    Reads the source's keys and counts the target, which tables answer from their footers.
+    """
+    most = source.groupBy(*spec.keys).agg(F.count("*").alias("_s")).agg(F.max("_s")).first()[0]
+    if not most:
+        return False
+    rows = target.count()
+    return rows * most > tuning.hot_pairs or max(rows, most) > tuning.hot_rows
+
+
 def hot_keys(target: DataFrame, source: DataFrame, spec: HistorySpec,
              tuning: JoinTuning) -> HotKeys | None:
     """The largest source keys with their segments and salts; None if no key is large.
@@ -39,6 +52,8 @@ def hot_keys(target: DataFrame, source: DataFrame, spec: HistorySpec,
     most ``max_hot_keys`` rows, so it may pass the driver and be broadcast; keys beyond it stay in
     the ordinary join, which is exact too.
     """
+    if not _may_have_hot_keys(target, source, spec, tuning):
+        return None
     keys = [f"`{k}`" for k in spec.keys]
     found = (
         target.selectExpr(*keys, f"`{spec.start}` AS _day", "1L AS _t", "0L AS _s")

@@ -9,11 +9,13 @@ per store is assumed.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chronofold.functions.columns import all_of, any_of, content_hash, differs
 from chronofold.spec import HistorySpec
@@ -47,7 +49,8 @@ def clustered(df: DataFrame, sort_cols: Sequence[str], rows_per_file: int, rows:
 
 
 class RunStore:
-    """Runs of one table under ``base``: data in ``run/<id>``, the log in ``runlog``."""
+    """Runs of one table under ``base``: data in ``run/<id>``, its schema in ``schema/<id>``, the log
+    in ``runlog``."""
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
@@ -58,7 +61,13 @@ class RunStore:
         return f"{self.base}/run/{run_id}"
 
     def read(self, run_id: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(run_id))
+        """A run with the columns, their order and types that it was staged with: partition values
+        are text in the folder names, and would otherwise be guessed."""
+        schema = T.StructType.fromJson(json.loads(self.spark.read.text(self._schema(run_id)).first()[0]))
+        return self.spark.read.schema(schema).parquet(self.path(run_id)).select(*schema.names)
+
+    def _schema(self, run_id: str) -> str:
+        return f"{self.base}/schema/{run_id}"
 
     def stage(self, df: DataFrame, rows_per_file: int = 500_000,
               partition_by: Sequence[str] = ()) -> str:
@@ -68,6 +77,8 @@ class RunStore:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(self.path(run_id))
+        (self.spark.createDataFrame([(df.schema.json(),)], "value string").coalesce(1)
+         .write.text(self._schema(run_id)))
         return run_id
 
     def _hadoop_path(self, path: str):
@@ -82,8 +93,9 @@ class RunStore:
 
     def discard(self, run_id: str) -> None:
         """Delete the files of a run that is not published (any more)."""
-        path = self._hadoop_path(self.path(run_id))
-        path.getFileSystem(self._hadoop_conf()).delete(path, True)
+        for name in (self.path(run_id), self._schema(run_id)):
+            path = self._hadoop_path(name)
+            path.getFileSystem(self._hadoop_conf()).delete(path, True)
 
     def history(self) -> DataFrame:
         """One row per publish, roll-back, rewrite and expiry."""

@@ -179,3 +179,10 @@ def test_work_folder_is_under_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     a, b = work_folder(spark), work_folder(spark)
     assert a.startswith(shared) and a != b
+
+
+def test_partition_values_keep_their_type_and_place(spark, tmp_path):
+    store = RunStore(spark, str(tmp_path / "typed"))
+    df = spark.createDataFrame([("007", 1), ("8", 2), (None, 3)], "place string, id long")
+    found = store.read(store.stage(df, partition_by=["place"]))
+    assert found.schema == df.schema and sorted(found.collect(), key=str) == sorted(df.collect(), key=str)
