@@ -18,7 +18,7 @@ from chronofold.plans.jobs import ValidationFailed, run_merge, run_overwrite
 from chronofold.plans.pairs import PAIRS
 from chronofold.plans.sql_form import backfill_sql, insert_overwrite_sql
 from chronofold.session import work_folder
-from chronofold.sinks.publish import RunStore, write_partitions
+from chronofold.sinks.publish import RunStore, colocated, write_partitions
 from chronofold.sources.history import read_parquet
 from chronofold.spec import HistorySpec, JoinTuning
 
@@ -121,6 +121,14 @@ def _rewritten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.current()
 
 
+def _colocated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published with the rows of a key in few files of even size."""
+    target, source, spec = _load("f1", spark, sf_dir)
+    store = _store(spark)
+    store.publish(store.stage(colocated(_inner_state(target, source, spec), spec.keys)))
+    return store.current()
+
+
 def _run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log after two publishes, a roll-back, a rewrite and an expiry, newest five first."""
     target, source, spec = _load("f1", spark, sf_dir)
@@ -282,6 +290,7 @@ def all_queries() -> dict[str, Query]:
     q["publish_readback_f1"] = _readback
     q["publish_rollback_f1"] = _rolled_back
     q["clustered_rewrite_f1"] = _rewritten
+    q["colocated_rewrite_f1"] = _colocated
     q["partition_overwrite_f1"] = _partition_overwrite
     q["run_history_f1"] = _run_history
 
