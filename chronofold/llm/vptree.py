@@ -110,12 +110,12 @@ def nearest(vectors: DataFrame, every: int = EVERY, k: int = NEAREST, factor: fl
     """
     usable = saved(_usable(vectors).withColumn("dim", F.size("vector")))
     shards = max(1, math.ceil(usable.count() / SHARD))
-    dealt = usable.withColumn("shard", F.pmod(F.xxhash64("vec_id", "vector"), F.lit(shards)))
+    dealt = usable.withColumn("shard", F.pmod(F.xxhash64("vec_id", "vector"), F.lit(shards)).cast("int"))
     queries = usable.where(F.col("vec_id") % every == 0).groupBy("vec_id", "dim").agg(F.min("vector").alias("vector"))
     one = Window.partitionBy("vec_id").orderBy("vector")
     queries = saved(queries.withColumn("__n", F.row_number().over(one)).where("__n = 1").drop("__n"))
     blocks = max(1, math.ceil(queries.count() / QUERIES))
-    asked = queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks))).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    asked = queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     to_all = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def search(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:

@@ -144,7 +144,9 @@ def test_fingerprints(docs, none):
     assert one.near_edited == one.near_next == 1.0
 
 
-def test_nearest_vectors(shared):
+def test_nearest_vectors(shared, monkeypatch):
+    monkeypatch.setattr(vptree, "SHARD", 70)
+    monkeypatch.setattr(vptree, "QUERIES", 3)
     rng = np.random.default_rng(4)
     vectors = [(k, [float(x) for x in rng.normal(size=6)]) for k in range(300)]
     vectors += [(k + 300, v) for k, v in vectors[:20]]  # ties
