@@ -130,8 +130,9 @@ def _candidates(group: pd.DataFrame, best_only: bool, similar: int) -> pd.DataFr
 def _dealt(members: DataFrame) -> DataFrame:
     """The members of the lists that hold several components, dealt so that all such pairs meet once.
 
-    The members of a list's largest component need not meet one another: they lie in chunks, one row each, and only
-    the others are repeated for each of these chunks. Those also meet among themselves, as pairs of chunks of their own.
+    The members of a list's largest component need not meet one another: their chunks meet only those of the others,
+    as groups (chunk, -1 - chunk of the others). The others also meet among themselves, as pairs of chunks of their own.
+    No group holds more than two chunks.
     """
     parts = members.groupBy("value", "component").agg(F.count(F.lit(1)).alias("k"))
     parts = parts.groupBy("value").agg(F.max(F.struct("k", "component")).alias("largest"), F.sum("k").alias("all"))
@@ -140,10 +141,10 @@ def _dealt(members: DataFrame) -> DataFrame:
     mains, others = (F.ceil(k / CHUNK).cast("int") for k in (F.col("largest.k"), F.col("all") - F.col("largest.k")))
     place = F.xxhash64("node")
     members = members.withColumn("chunk", F.when(F.col("main"), F.pmod(place, mains)).otherwise(F.pmod(place, others)).cast("int"))
-    with_main = F.transform(F.sequence(F.lit(0), mains - 1), lambda c: F.struct(c.alias("low"), F.lit(-1).alias("high")))
+    with_main = F.transform(F.sequence(F.lit(0), mains - 1), lambda c: F.struct(c.alias("low"), (-1 - F.col("chunk")).alias("high")))
     among = F.transform(F.sequence(F.lit(0), others - 1), lambda c: F.struct(F.least("chunk", c).alias("low"), F.greatest("chunk", c).alias("high")))
-    own = F.array(F.struct(F.col("chunk").alias("low"), F.lit(-1).alias("high")))
-    meets = F.when(F.col("main"), own).otherwise(F.concat(with_main, among))
+    with_others = F.transform(F.sequence(F.lit(0), others - 1), lambda c: F.struct(F.col("chunk").alias("low"), (-1 - c).alias("high")))
+    meets = F.when(F.col("main"), with_others).otherwise(F.concat(with_main, among))
     return members.withColumn("meet", F.explode(meets)).select("value", "node", "component", "main", "chunk", "meet.low", "meet.high")
 
 

@@ -277,3 +277,19 @@ def test_mixing(shared, docs, none):
     assert words == Counter({i: r.taken for i, r in got.items() if r.taken})
     assert mixing.mixed_documents(docs).columns == docs.columns
     assert mixing.taken_words(none).count() == mixing.mixed_documents(none).count() == 0
+
+
+def test_a_list_is_dealt_in_small_groups_where_all_components_meet_once(shared, monkeypatch):
+    monkeypatch.setattr(near_dup, "CHUNK", 16)
+    for largest in (1, 100):
+        component = {k: 0 if k < largest else k for k in range(300)}
+        members = shared.createDataFrame([(7, k, c) for k, c in component.items()], "value long, node long, component long")
+        groups = defaultdict(list)
+        for r in near_dup._dealt(members).collect():
+            groups[r.low, r.high].append(r)
+        assert max(map(len, groups.values())) <= 5 * near_dup.CHUNK
+        met = Counter()
+        for (low, high), held in groups.items():
+            one, other = ([r.node for r in held if not r.main], [r.node for r in held if r.main]) if high < 0 else ([r.node for r in held if r.chunk == low], [r.node for r in held if r.chunk == high])
+            met.update({(min(a, b), max(a, b)) for a in one for b in other if component[a] != component[b]})
+        assert set(met.values()) == {1} and len(met) == sum(component[a] != component[b] for a in component for b in range(a))
