@@ -4,8 +4,10 @@ On vectors of length 1 the Euclidean distance orders like the cosine and obeys t
 dealt into shards of about ``SHARD`` by a hash of their id; each shard's tree splits at the median distance from a
 vantage point down to leaves of ``LEAF``. Queries go through a tree in blocks of ``QUERIES``, each visiting the nearer
 side first; the other side is left out for the queries whose best distance so far, times ``factor``, does not reach
-the border. Factor 1 is exact, a smaller one leaves out more. The shards' best are merged, and scores are computed on
-the original vectors in double precision.
+the border. Factor 1 is exact, a smaller one leaves out more. Rounding may order vectors of like distance otherwise
+than their scores do, so a shard's candidates are all vectors within the rounding of its k-th distance, however many
+copies there are. Their scores are computed on the original vectors in double precision, the k best by score and then
+by the smaller vec_id are a shard's, and the shards' best are merged.
 
 Vectors that are null, empty, zero, or hold a null or a non-finite component take no part, neither as queries nor as
 candidates; nor do vectors of another length than the query's. Rows that repeat a vec_id stand for themselves as candidates under their id, but never for a
@@ -34,6 +36,8 @@ class VantagePointTree:
 
     def __init__(self, vectors: np.ndarray, ids: np.ndarray, leaf: int = LEAF):
         self.vectors, self.ids, self.leaf = vectors, ids, leaf
+        #: A cosine is off by (dimensions + 4) last bits at most; a distance by the root of twice that, and up to three of them meet.
+        self.rounding = 5 * math.sqrt((vectors.shape[1] + 4) * np.finfo(np.float64).eps)
         self.nodes: list[tuple] = []
         self.root = self._build(np.arange(len(ids)))
 
@@ -53,12 +57,24 @@ class VantagePointTree:
 
     def search(self, queries: np.ndarray, own: np.ndarray, k: int, factor: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
         """Row numbers and distances of the k nearest of each query, without those of its own id; -1 where there are fewer."""
+        return self._search(queries, own, k, factor)[:2]
+
+    def candidates(self, queries: np.ndarray, own: np.ndarray, k: int, factor: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (query, row), in the order of the queries, of all rows that may be among the k nearest, whatever rounding did to the distances."""
+        _, away, near = self._search(queries, own, k, factor)
+        at, rows, d = (np.concatenate(x) for x in zip(*near, strict=True)) if near else (np.zeros(0, dtype=np.int64),) * 3
+        some = np.flatnonzero(d <= away[at, -1] + self.rounding)
+        some = some[np.argsort(at[some], kind="stable")]
+        return at[some], rows[some]
+
+    def _search(self, queries: np.ndarray, own: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray, list[tuple]]:
         found = np.full((len(queries), k), -1, dtype=np.int64)
         away = np.full((len(queries), k), np.inf)
-        self._visit(self.root, np.arange(len(queries)), queries, own, found, away, factor)
-        return found, away
+        near: list[tuple] = []
+        self._visit(self.root, np.arange(len(queries)), queries, own, found, away, near, factor)
+        return found, away, near
 
-    def _visit(self, node: int, active: np.ndarray, queries: np.ndarray, own: np.ndarray, found: np.ndarray, away: np.ndarray, factor: float) -> None:
+    def _visit(self, node: int, active: np.ndarray, queries: np.ndarray, own: np.ndarray, found: np.ndarray, away: np.ndarray, near: list[tuple], factor: float) -> None:
         if not len(active):
             return
         if len(self.nodes[node]) == 1:
@@ -71,16 +87,18 @@ class VantagePointTree:
             best = np.lexsort((ids, everything), axis=1)[:, : found.shape[1]]
             away[active] = np.take_along_axis(everything, best, axis=1)
             found[active] = np.where(np.isfinite(away[active]), np.take_along_axis(names, best, axis=1), -1)
+            i, j = np.nonzero(np.isfinite(d) & (d <= away[active, -1:] + self.rounding))
+            near.append((active[i], rows[j], d[i, j]))
             return
         point, border, inside, outside = self.nodes[node]
         d = _distance(queries[active] @ point)
         within = d < border
-        self._visit(inside, active[within], queries, own, found, away, factor)
-        self._visit(outside, active[~within], queries, own, found, away, factor)
-        # rounding of a distance is below 1e-7; ties on the border are visited
-        reach = np.abs(d - border) <= away[active, -1] * factor + 1e-7
-        self._visit(outside, active[within & reach], queries, own, found, away, factor)
-        self._visit(inside, active[~within & reach], queries, own, found, away, factor)
+        self._visit(inside, active[within], queries, own, found, away, near, factor)
+        self._visit(outside, active[~within], queries, own, found, away, near, factor)
+        # ties on the border are visited
+        reach = np.abs(d - border) <= away[active, -1] * factor + self.rounding
+        self._visit(outside, active[within & reach], queries, own, found, away, near, factor)
+        self._visit(inside, active[~within & reach], queries, own, found, away, near, factor)
 
 
 def _distance(cosine: np.ndarray) -> np.ndarray:
@@ -102,6 +120,20 @@ def _unit(matrix: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
+def _scores(queries: np.ndarray, vectors: np.ndarray, at: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The cosine of each pair; a row's sum does not hang on its place, so equal vectors have equal scores."""
+
+    def dot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return (a * b).sum(axis=1)
+
+    out, some = np.empty(len(at)), max(1, (1 << 21) // vectors.shape[1])
+    one, other = np.sqrt(dot(queries, queries)), np.sqrt(dot(vectors, vectors))
+    for k in range(0, len(at), some):
+        i, j = at[k : k + some], rows[k : k + some]
+        out[k : k + some] = dot(queries[i], vectors[j]) / (one[i] * other[j])
+    return out
+
+
 def nearest(vectors: DataFrame, every: int = EVERY, k: int = NEAREST, factor: float = FACTOR) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest vectors of each vector whose id ``every`` divides.
 
@@ -123,12 +155,11 @@ def nearest(vectors: DataFrame, every: int = EVERY, k: int = NEAREST, factor: fl
             return pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
         asked, held = asked.sort_values("vec_id"), held.sort_values("vec_id")
         own, ids, theirs, originals = asked["vec_id"].to_numpy(), held["vec_id"].to_numpy(), _matrix(asked["vector"]), _matrix(held["vector"])
-        # one neighbour more than asked for: rounding may order the last two of a shard otherwise than their scores
-        found, _ = VantagePointTree(_unit(originals), ids).search(_unit(theirs), own, k + 3, factor)
-        at, to = np.nonzero(found >= 0)
-        a, b = theirs[at], originals[found[at, to]]
-        score = np.einsum("ij,ij->i", a, b) / (np.sqrt(np.einsum("ij,ij->i", a, a)) * np.sqrt(np.einsum("ij,ij->i", b, b)))
-        return pd.DataFrame({"query_id": own[at], "vec_id": ids[found[at, to]], "score": score})
+        at, rows = VantagePointTree(_unit(originals), ids).candidates(_unit(theirs), own, k, factor)
+        score = _scores(theirs, originals, at, rows)
+        order = np.lexsort((ids[rows], -score, at))
+        best = order[np.arange(len(at)) - np.searchsorted(at, at) < k]  # ``at`` is in rising order, before and after
+        return pd.DataFrame({"query_id": own[at[best]], "vec_id": ids[rows[best]], "score": score[best]})
 
     keys = ["shard", "block", "dim"]
     found = asked.groupBy(*keys).cogroup(to_all.groupBy(*keys)).applyInPandas(search, "query_id long, vec_id long, score double")

@@ -151,3 +151,16 @@ def test_estimate_on_the_union_is_exact_for_small_sets_and_near_for_large():
         rng.shuffle(values)
         estimates.append(near_dup._union_estimate(np.sort(values[:4500]), np.sort(values[500:5000])))
     assert abs(np.mean(estimates) - 0.8) < 0.03 and min(estimates) > near_dup.LEAST
+
+
+def test_candidates_hold_the_smallest_ids_of_many_equal_vectors():
+    rng = np.random.default_rng(9)
+    for size, width in ((40, 16), (300, 64)):
+        originals = np.repeat(rng.normal(size=(1200 // size, width)), size, axis=0)[rng.permutation(1200)]
+        tree, ids = vptree.VantagePointTree(vptree._unit(originals), np.arange(1200)), np.arange(1200)
+        at, rows = tree.candidates(vptree._unit(originals), ids, 5)
+        score = vptree._scores(originals, originals, at, rows)
+        for q in range(1200):
+            mine = rows[at == q]
+            true = [i for i in range(1200) if i != q and np.array_equal(originals[i], originals[q])][:5]
+            assert sorted(mine, key=dict(zip(mine, zip(-score[at == q], mine, strict=True), strict=True)).get)[:5] == true
