@@ -235,6 +235,10 @@ def _short_lists(lists: DataFrame, held: DataFrame) -> DataFrame:
 
 
 def without_near_copies(docs: DataFrame, width: int = WIDTH, similar: int = SIMILAR) -> DataFrame:
-    """The rows of one document of each component, the one of the smallest doc_id; of rows that repeat it, one."""
-    kept = near_duplicates(docs, width, similar).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi").dropDuplicates(["doc_id"])
+    """The rows of one document of each component, the one of the smallest doc_id; of rows that repeat it, one.
+
+    Rows of null doc_id have no place in that order: they are compared with nothing, and every one of them stays.
+    """
+    kept = near_duplicates(docs, width, similar).where("kept and doc_id is not null").select(F.col("doc_id").alias("__kept")).distinct()
+    named = docs.join(kept, F.col("doc_id") == F.col("__kept"), "left_semi").dropDuplicates(["doc_id"])
+    return named.unionByName(docs.where("doc_id is null"))

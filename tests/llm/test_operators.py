@@ -293,3 +293,9 @@ def test_a_list_is_dealt_in_small_groups_where_all_components_meet_once(shared,
             one, other = ([r.node for r in held if not r.main], [r.node for r in held if r.main]) if high < 0 else ([r.node for r in held if r.chunk == low], [r.node for r in held if r.chunk == high])
             met.update({(min(a, b), max(a, b)) for a in one for b in other if component[a] != component[b]})
         assert set(met.values()) == {1} and len(met) == sum(component[a] != component[b] for a in component for b in range(a))
+
+
+def test_rows_of_null_doc_id_all_stay(shared):
+    texts = [(1, "a b c d e f"), (2, "a b c d e f"), (None, "a b c d e f"), (None, "g h i j k l"), (None, None), (3, "m"), (3, "m")]
+    kept = near_dup.without_near_copies(shared.createDataFrame(texts, "doc_id long, text string").coalesce(1))
+    assert Counter(map(tuple, kept.collect())) == Counter([texts[0], *texts[2:6]])
