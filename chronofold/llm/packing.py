@@ -4,9 +4,11 @@ Documents longer than a sequence are cut into full pieces and a rest; nothing el
 partitions of about ``PART`` by a hash. Each partition is packed best-fit decreasing, and dual feasible functions give
 a number of sequences that no packing of its pieces can go below. A partition that needs exactly so many is certified.
 Those with a gap give their loosest sequences back; the pieces of several such partitions meet in one and are packed
-again, for ``ROUNDS`` rounds or until no gap is left. At the end the sequences that are less than ``LOOSE`` full, a few
-from each partition, meet in groups of partitions and are packed once more. A repacking that needs no fewer sequences
-than before changes nothing.
+again, for ``ROUNDS`` rounds or until no gap is left. At the end the loosest sequences of all partitions meet in a tree:
+``MEET`` groups at a time are packed into one, which passes its own loosest on, until one group is left. Loose are
+sequences that are less than ``LOOSE`` full; of these a group gives the loosest that hold about ``PART`` / ``MEET``
+pieces, so that no group has many more than ``PART``, whatever the pieces' lengths. A repacking that needs no fewer
+sequences than before leaves them as they are.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronofold.llm.storage import saved
@@ -101,10 +103,17 @@ def _packed(group: pd.DataFrame, capacity: int) -> pd.DataFrame:
 
 
 def _repacked(group: pd.DataFrame, capacity: int, part: int) -> pd.DataFrame:
-    """The group as it is, or packed anew if that saves a bin."""
-    old = len(group[["part", "bin"]].drop_duplicates())
+    """The group as one partition: packed anew if that saves a bin, else in the bins it had."""
+    old = group.groupby(["part", "bin"]).ngroup()
     new = _packed(group, capacity)
-    return new.assign(part=part) if new["bin"].max() + 1 < old else group
+    bins, least = int(old.max()) + 1, int(new["bin"].max()) + 1 - int(new["gap"].iloc[0])
+    return new.assign(part=part) if new["bin"].max() + 1 < bins else group.assign(part=part, bin=old, gap=bins - least)
+
+
+def _loosest(bins: DataFrame, meet: int) -> DataFrame:
+    """Of the bins (part, bin, fill, n) of each partition the loosest that hold about PART / meet pieces."""
+    before = F.sum("n").over(Window.partitionBy("part").orderBy("fill", "bin").rowsBetween(Window.unboundedPreceding, -1))
+    return bins.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < max(1, PART // meet)).select("part", "bin")
 
 
 def pack(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
@@ -115,23 +124,31 @@ def pack(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     state = saved(dealt.groupBy("part").applyInPandas(lambda g: _packed(g.assign(bin=0, gap=0), capacity)[columns], _STATE))
     names = parts
 
-    def again(state: DataFrame, open_bins: DataFrame, meet: int) -> DataFrame:
-        """Pack the open bins again, those of ``meet`` neighbouring partitions together."""
+    def loose(state: DataFrame) -> DataFrame:
+        bins = state.groupBy("part", "bin").agg(F.sum("length").alias("fill"), F.count(F.lit(1)).alias("n"))
+        return bins.where(F.col("fill") < LOOSE * capacity)
+
+    def again(state: DataFrame, open_bins: DataFrame, groups: int) -> DataFrame:
+        """Pack the open bins again, those of every ``groups``-th partition together."""
         nonlocal names
-        base, names = names, names + parts
-        chosen = state.join(open_bins, ["part", "bin"], "left_semi").withColumn("meet", F.pmod("part", F.lit(max(1, math.ceil(parts / meet)))))
+        base, names = names, names + groups
+        chosen = state.join(open_bins, ["part", "bin"], "left_semi").withColumn("meet", F.pmod("part", F.lit(groups)))
         moved = chosen.groupBy("meet").applyInPandas(lambda g: _repacked(g.drop(columns="meet"), capacity, base + int(g["meet"].iloc[0]))[columns], _STATE)
         return saved(state.join(open_bins, ["part", "bin"], "left_anti").unionByName(moved))
 
     if parts > 1:
         for k in range(ROUNDS):
-            open_parts = state.where("gap > 0").groupBy("part", "bin").agg(F.sum("length").alias("fill"))
-            loose = open_parts.where(F.col("fill") < LOOSE * capacity).select("part", "bin")
-            if loose.isEmpty():
+            meet = MEET * (k + 1)
+            open_bins = loose(state.where("gap > 0"))
+            if open_bins.isEmpty():
                 break
-            state = again(state, loose, MEET * (k + 1))
-        loose = state.groupBy("part", "bin").agg(F.sum("length").alias("fill")).where(F.col("fill") < LOOSE * capacity).select("part", "bin")
-        state = again(state, loose, PART)
+            groups = math.ceil(names / meet)
+            state = again(state, _loosest(open_bins, math.ceil(names / groups)), groups)
+        first = 0  # the partitions from here on are those of the tree's level
+        while names - first > 1:
+            members = names - first
+            groups = math.ceil(members / MEET)
+            first, state = names, again(state, _loosest(loose(state.where(F.col("part") >= first)), math.ceil(members / groups)), groups)
     return state.groupBy("part").applyInPandas(_placed, _PIECES + ", sequence_id long, offset long")
 
 

@@ -299,3 +299,23 @@ def test_rows_of_null_doc_id_all_stay(shared):
     texts = [(1, "a b c d e f"), (2, "a b c d e f"), (None, "a b c d e f"), (None, "g h i j k l"), (None, None), (3, "m"), (3, "m")]
     kept = near_dup.without_near_copies(shared.createDataFrame(texts, "doc_id long, text string").coalesce(1))
     assert Counter(map(tuple, kept.collect())) == Counter([texts[0], *texts[2:6]])
+
+
+def test_bins_that_stay_loose_meet_in_small_groups(shared, monkeypatch):
+    monkeypatch.setattr(packing, "PART", 32)
+    repacked = packing._repacked
+
+    def watched(group, capacity, part):
+        assert len(group) <= 100
+        return repacked(group, capacity, part)
+
+    monkeypatch.setattr(packing, "_repacked", watched)
+    schema = "doc_id long, copy int, piece int, start long, length long, ids_crc32 long"
+    for lengths in ([60] * 800, [60, 41, 30, 7] * 200):
+        table = shared.createDataFrame([(k, 0, 0, 0, n, k) for k, n in enumerate(lengths)], schema)
+        got = packing.pack(table, 100).collect()
+        fill = Counter()
+        for r in got:
+            fill[r.sequence_id] += r.length
+        assert sorted(r.doc_id for r in got) == list(range(800)) and max(fill.values()) <= 100
+        assert len(fill) <= 1.03 * (packing.best_fit(np.sort(lengths)[::-1], 100).max() + 1)  # all in one group
