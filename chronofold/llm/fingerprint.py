@@ -19,7 +19,7 @@ from chronofold.llm.ordering import BLOCK, in_blocks, next_blocks
 from chronofold.llm.storage import saved
 
 #: ROWS: of a block of neighbouring documents; many small blocks fill the partitions evenly.
-SAMPLES, ROWS = 16, 128
+SAMPLES, ROWS = 64, 128
 _26_BITS = (1 << 26) - 1
 _SPLIT = r"[\x20\x09-\x0D]+"
 
@@ -63,11 +63,12 @@ def sampled(texts: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     draws = terms.select(*keys, "word", *logs, F.explode(F.array(*(F.lit(k) for k in range(SAMPLES)))).alias("draw"))
     least = [F.min(_draw(F.col("word"), F.col(f"ln_w{i}"), F.col("draw"))).alias(f"m{i}") for i in range(len(columns))]
     drawn = draws.groupBy(*keys, "draw").agg(*least)
-    drawn = drawn.groupBy(*keys).agg(*(F.max(F.when(F.col("draw") == k, F.col(f"m{i}"))).alias(f"m{i}_{k}") for i in range(len(columns)) for k in range(SAMPLES)))
+    values = F.struct("draw", *(f"m{i}" for i in range(len(columns))))
+    drawn = drawn.groupBy(*keys).agg(F.sort_array(F.collect_list(values)).alias("drawn"))
 
     def signature(i: int) -> Column:
-        low = [F.col(f"m{i}_{k}").bitwiseAND(F.lit((1 << 31) - 1)) for k in range(SAMPLES)]
-        return F.when(F.col(f"m{i}_0").isNull(), F.array().cast("array<long>")).otherwise(F.array(*low)).alias(columns[i])
+        low = F.transform("drawn", lambda d: d[f"m{i}"].bitwiseAND(F.lit((1 << 31) - 1)).cast("int"))
+        return F.when(F.col("drawn")[0][f"m{i}"].isNull(), F.array().cast("array<int>")).otherwise(low).alias(columns[i])
 
     return drawn.select(*keys, *(signature(i) for i in range(len(columns))))
 

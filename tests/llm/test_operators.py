@@ -319,3 +319,14 @@ def test_bins_that_stay_loose_meet_in_small_groups(shared, monkeypatch):
             fill[r.sequence_id] += r.length
         assert sorted(r.doc_id for r in got) == list(range(800)) and max(fill.values()) <= 100
         assert len(fill) <= 1.03 * (packing.best_fit(np.sort(lengths)[::-1], 100).max() + 1)  # all in one group
+
+
+def test_fingerprints_tell_near_copies_from_related_texts(shared):
+    rng = random.Random(11)
+    texts = []
+    for k in range(60):
+        words = [f"{k}w{i}" for i in range(90)]
+        texts += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words[:80] + [f"{k}x{i}" for i in range(10)]))]  # likeness 0.8
+        rng.shuffle(words)
+    got = [r.near_next for r in fingerprint.fingerprints(shared.createDataFrame(texts, "doc_id long, text string")).where("doc_id % 2 = 0").collect()]
+    assert abs(np.mean(got) - 0.8) < 0.02 and np.std(got) < 0.07 and max(got) < 1
