@@ -16,6 +16,7 @@ their texts' hashes. Everything hangs on ``SEED`` and the table alone.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -63,13 +64,21 @@ def targets(sizes: DataFrame) -> DataFrame:
 
 def _half(counts: np.ndarray, slots: int, seed: tuple[int, ...]) -> np.ndarray:
     """How many of each source's slots fall to the first part of a run of shards."""
-    total = int(counts.sum())
-    if total >= 10**9:  # beyond the generator's range the noise of a draw is below 1 in 10,000: in proportion, then
-        first = (counts.astype(object) * slots // total).astype(np.int64)
-        short = np.flatnonzero(counts > first)[: slots - int(first.sum())]
-        first[short] += 1
-        return first
-    return np.random.default_rng(seed).multivariate_hypergeometric(counts, slots, method="marginals")
+    rng, n, left = np.random.default_rng(seed), int(counts.sum()), slots
+    if n < 10**9:
+        return rng.multivariate_hypergeometric(counts, slots, method="marginals")
+    # beyond the generator's range one source after the other: small ones binomially, large ones normally, within what is left
+    first = np.zeros_like(counts)
+    for k, count in enumerate(counts.tolist()):
+        share = left / n if n else 0.0
+        if count < n / 1000:
+            drawn = int(rng.binomial(count, share))
+        else:
+            drawn = round(rng.normal(count * share, math.sqrt(max(0.0, count * share * (1 - share) * (1 - count / n))))) if n else 0
+        n -= count
+        first[k] = min(max(drawn, left - n, 0), count, left)
+        left -= int(first[k])
+    return first
 
 
 def shard_counts(shard: int, shards: int, counts: np.ndarray, seed: int = SEED, slots: int = SHARD_SLOTS) -> tuple[np.ndarray, np.ndarray]:

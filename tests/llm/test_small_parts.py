@@ -164,3 +164,14 @@ def test_candidates_hold_the_smallest_ids_of_many_equal_vectors():
             mine = rows[at == q]
             true = [i for i in range(1200) if i != q and np.array_equal(originals[i], originals[q])][:5]
             assert sorted(mine, key=dict(zip(mine, zip(-score[at == q], mine, strict=True), strict=True)).get)[:5] == true
+
+
+def test_large_runs_of_shards_are_drawn_too():
+    counts = np.array([2 * 10**9, 0, 500, 3 * 10**9, 7])
+    slots = 25 * 10**8
+    drawn = np.array([mixing._half(counts, slots, (1, 0, k)) for k in range(300)])
+    assert (drawn.sum(axis=1) == slots).all() and (drawn >= 0).all() and (drawn <= counts).all()
+    share = slots / counts.sum()
+    true = np.sqrt(counts * share * (1 - share) * (1 - counts / counts.sum()))
+    assert np.allclose(drawn.mean(axis=0), counts * share, atol=5 * true.max() / 17) and abs(drawn[:, 2].mean() - 250) < 4
+    assert np.allclose(drawn.std(axis=0), true, rtol=0.2)
