@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chronofold.llm import fingerprint, language, mixing, near_dup, packing, pii, token_store, toxicity, url_filter, vptree
+from chronofold.llm import best_position, fingerprint, language, mixing, near_dup, packing, pii, prefix_trie, threshold, token_store, toxicity, url_filter, vptree
 from chronofold.llm.oracles import ORACLES
 from chronofold.llm.storage import table
 
@@ -53,8 +53,21 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(table(spark, sf_dir, "documents"))
 
 
+def op11_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return threshold.top_products(table(spark, sf_dir, "embeddings"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_nodes(table(spark, sf_dir, "conversations"))
+
+
+def op13_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_position.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def llm_queries() -> dict[str, Query]:
-    every = (op1_token_ids, op2_language, op3_toxicity, op4_pii, op5_fingerprint, op6_nearest, op7_near_dup, op8_packing, op9_url_filter, op10_mixing)
+    every = (op1_token_ids, op2_language, op3_toxicity, op4_pii, op5_fingerprint, op6_nearest, op7_near_dup, op8_packing, op9_url_filter, op10_mixing,
+             op11_threshold, op12_prefix_trie, op13_ranked)
     return {f.__name__: f for f in every}
 
 

@@ -12,14 +12,15 @@ SF = "/root/testdata/sf0.001"
 def test_names():
     import __spark_entry__ as contract
 
-    assert sorted(int(n[2:].split("_")[0]) for n in llm_queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in llm_queries()) == list(range(1, 14))
     assert {*llm_queries(), "pipeline"} <= contract.queries().keys()
 
 
 @pytest.mark.parametrize("name", llm_oracles())
 def test_query_is_as_its_sql(shared, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for t in ("documents", "benchmark", "embeddings", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     found = llm_queries()[name](shared, SF)
     true = con.execute(llm_oracles()[name])
     at = [found.columns.index(d[0]) for d in true.description]
