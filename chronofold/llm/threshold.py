@@ -13,7 +13,7 @@ their bound falls below it, they stop too, often before the first row.
 Null vectors and those that hold a null or a component x for which 256 * x is not finite take no part, nor do rows of
 null vec_id, nor vectors of another length than the query's (the empty vector meets empty ones, with score 0). Rows
 that repeat a vec_id are candidates each, but never for a query of that id; a repeated query id is asked once, with
-its smallest vector. Scores beyond 64 bits are ordered exactly and returned as the largest or smallest long.
+its smallest vector. Scores beyond 64 bits count as the largest or smallest long.
 """
 
 from __future__ import annotations
@@ -72,13 +72,13 @@ class SortedLists:
 
     def _bound(self, dims: np.ndarray, weights: np.ndarray, ways: np.ndarray, depth: int, narrow: bool) -> int:
         last = self.vectors[self.orders[ways, dims, depth], dims]
-        return int(last @ weights) if narrow else sum(int(a) * int(b) for a, b in zip(last, weights, strict=True))
+        return int(last @ weights) if narrow else _product(last, weights)
 
     def _scores(self, rows: np.ndarray, query: np.ndarray, narrow: bool) -> np.ndarray | list[int]:
         """Sums of whole numbers below 2^53 are exact in doubles; larger ones are summed as Python's integers."""
         if narrow:
             return (self.vectors[rows] @ query).astype(np.int64)
-        return [sum(int(a) * int(b) for a, b in zip(self.vectors[r], query, strict=True)) for r in rows]
+        return [_product(self.vectors[r], query) for r in rows]
 
     def _merged(self, best: list, rows: np.ndarray, scores, k: int, narrow: bool) -> list[tuple[int, int]]:
         if narrow and len(rows) > k:
@@ -88,6 +88,10 @@ class SortedLists:
         return sorted(found, key=lambda x: (-x[0], x[1]))[:k]
 
 
+def _product(a: np.ndarray, b: np.ndarray) -> int:
+    return min(max(sum(int(x) * int(y) for x, y in zip(a, b, strict=True)), -_LONG), _LONG - 1)
+
+
 def _whole_numbers(vectors: pa.ChunkedArray) -> np.ndarray:
     some = vectors.combine_chunks()
     flat = some.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
@@ -108,7 +112,7 @@ def _search(asked: DataFrame, held: DataFrame, k: int) -> DataFrame:
     def answer(lists: SortedLists, rows: pa.Table) -> dict:
         found = []
         for query, own, floor in zip(_whole_numbers(rows["embedding"]), rows["vec_id"].to_pylist(), rows["floor"].to_pylist(), strict=True):
-            found += [(own, vec_id, min(max(score, -_LONG), _LONG - 1)) for score, vec_id in lists.top(query, own, k, floor)]
+            found += [(own, vec_id, score) for score, vec_id in lists.top(query, own, k, floor)]
         return {name: pa.array([f[i] for f in found], pa.int64()) for i, name in enumerate(("query_id", "vec_id", "score"))}
 
     columns = ["shard", "dim", "vec_id", "embedding"]
