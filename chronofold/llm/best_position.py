@@ -120,14 +120,16 @@ def _terms(text: str) -> Column:
 
 
 def _hits(documents: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """doc_id, words, copies, hits: one row per different (doc_id, text), with the counts of the vocabulary's terms in one copy."""
+    """doc_id, words, copies, hits: one row per different (doc_id, text), with the counts of the vocabulary's terms in one copy.
+
+    The vocabulary is a written table, so its size is known: words meet it where they are read, unless it is large.
+    """
     words = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), _terms("text").alias("terms"))
     words = words.withColumn("words", F.size("terms").cast("long"))
     # the empty word, which is no term, stands for the document itself
     flat = _exploded(words, F.concat(F.array(F.lit("")), "terms"), "doc_id", "text_hash", "words")
-    known = vocabulary.unionByName(vocabulary.sparkSession.createDataFrame([("", _MARK)], "term string, term_id long"))
     document = ["doc_id", "text_hash", "words"]
-    counted = flat.join(known, "term").groupBy(*document, "term_id").agg(F.count(F.lit(1)).alias("n"))
+    counted = flat.join(vocabulary, "term").groupBy(*document, "term_id").agg(F.count(F.lit(1)).alias("n"))
     whole = counted.groupBy(*document).agg(
         F.max(F.when(F.col("term_id") == _MARK, F.col("n"))).alias("copies"),
         F.collect_list(F.when(F.col("term_id") != _MARK, F.struct("term_id", "n"))).alias("hits"))
@@ -153,7 +155,8 @@ def _flat_hits(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def ranked(documents: DataFrame, items: DataFrame, k: int = RANKS, shard_docs: int = SHARD_DOCS, shard_words: int = SHARD_WORDS) -> DataFrame:
     """item_id, rank, doc_id, score: each item's k highest-scoring documents with a score above 0."""
     asked = _exploded(items.where("item_id is not null"), _terms("text"), "item_id").distinct()
-    vocabulary = saved(asked.select("term").distinct().withColumn("term_id", F.monotonically_increasing_id()))
+    terms = asked.select("term").distinct().withColumn("term_id", F.monotonically_increasing_id())
+    vocabulary = saved(terms.unionByName(items.sparkSession.range(1).select(F.lit("").alias("term"), F.lit(_MARK).cast("long").alias("term_id"))))
     hits = saved(_hits(documents, vocabulary))
     some = F.when(F.col("words") > 0, F.col("copies"))
     n_docs, n_words, rows = hits.agg(F.coalesce(F.sum(some), F.lit(0)), F.coalesce(F.sum(F.col("words") * F.col("copies")), F.lit(0)), F.count(F.lit(1))).first()
