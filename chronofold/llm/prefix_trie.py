@@ -169,6 +169,12 @@ def ends(lengths: DataFrame, members: DataFrame) -> DataFrame:
     return members.join(lengths, "conv_id").where("depth = length").select(*_KEY, "conv_id")
 
 
+def _digests(rows: list[tuple]) -> pa.RecordBatch:
+    *key, digests = zip(*rows, strict=True) if rows else ((),) * 4
+    columns = [*(pa.array(k, pa.int64()) for k in key), pa.array(digests, pa.string())]
+    return pa.RecordBatch.from_arrays(columns, names=[*_KEY, "ends_sha256"])
+
+
 def ends_digest(ended: DataFrame) -> DataFrame:
     """Key, ends_sha256: SHA-256 of the conv_ids that end at a node, in rising order and joined by commas.
 
@@ -179,21 +185,20 @@ def ends_digest(ended: DataFrame) -> DataFrame:
         F.concat_ws(",", F.transform(F.sort_array(F.collect_list("conv_id")), lambda x: x.cast("string"))).alias("ids"))
 
     def hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def row(key: tuple[int, ...], digest) -> pa.RecordBatch:
-            named = zip((*_KEY, "ends_sha256"), (*key, digest.hexdigest()), strict=True)
-            return pa.RecordBatch.from_pydict({name: pa.array([value]) for name, value in named})
-
         now, digest = None, hashlib.sha256()
-        for key, part in runs(batches, list(_KEY)):
-            if key != now:
-                if now is not None:
-                    yield row(now, digest)
-                now, digest = key, hashlib.sha256()
-            else:
-                digest.update(b",")
-            digest.update(",".join(part.column(part.schema.get_field_index("ids")).to_pylist()).encode())
+        for batch in batches:
+            done: list[tuple] = []
+            for key, part in runs([batch], list(_KEY)):
+                if key != now:
+                    if now is not None:
+                        done.append((*now, digest.hexdigest()))
+                    now, digest = key, hashlib.sha256()
+                else:
+                    digest.update(b",")
+                digest.update(",".join(part.column(part.schema.get_field_index("ids")).to_pylist()).encode())
+            yield _digests(done)
         if now is not None:
-            yield row(now, digest)
+            yield _digests([(*now, digest.hexdigest())])
 
     return pieces.repartition(*_KEY).sortWithinPartitions(*_KEY, "piece").mapInArrow(hashed, "depth long, a long, b long, ends_sha256 string")
 
