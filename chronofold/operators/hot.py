@@ -24,14 +24,15 @@ _PLAN_COLS = ("_lo", "_width", "_segments", "_t_salts", "_s_salts")
 
 @dataclass(frozen=True)
 class HotKeys:
-    """``plan`` has one row per hot key; ``scan_filter`` is a filter on the key columns that keeps
-    all hot keys and that a scan can use to skip row groups, if the keys are few."""
+    """``plan`` has one row per hot key, and is marked for broadcast if it is bounded; ``scan_filter``
+    is a filter on the key columns that keeps all hot keys and that a scan can use to skip row
+    groups, if the keys are few."""
 
     plan: DataFrame
     scan_filter: Column | None
 
 
-def _may_have_hot_keys(target: DataFrame, source: DataFrame, spec: HistorySpec,
+def may_have_hot_keys(target: DataFrame, source: DataFrame, spec: HistorySpec,
                        tuning: JoinTuning) -> bool:
     """Whether the largest source key could be hot if all target rows were its own.
 
@@ -44,18 +45,14 @@ def _may_have_hot_keys(target: DataFrame, source: DataFrame, spec: HistorySpec,
     return rows * most > tuning.hot_pairs or max(rows, most) > tuning.hot_rows
 
 
-def hot_keys(target: DataFrame, source: DataFrame, spec: HistorySpec,
-             tuning: JoinTuning) -> HotKeys | None:
-    """The largest source keys with their segments and salts; None if no key is large.
+def counted_keys(target: DataFrame, source: DataFrame, spec: HistorySpec,
+                 tuning: JoinTuning) -> DataFrame:
+    """Keys that are hot: rows of both sides (``_t``, ``_s``), first day and number of days.
 
-    One job that reads key and start columns only and combines them map-side. The result has at
-    most ``max_hot_keys`` rows, so it may pass the driver and be broadcast; keys beyond it stay in
-    the ordinary join, which is exact too.
+    Reads key and start columns only and combines them map-side.
     """
-    if not _may_have_hot_keys(target, source, spec, tuning):
-        return None
     keys = [f"`{k}`" for k in spec.keys]
-    found = (
+    return (
         target.selectExpr(*keys, f"`{spec.start}` AS _day", "1L AS _t", "0L AS _s")
         .unionAll(source.selectExpr(*keys, SRC_START, "0L", "1L"))
         .where(" AND ".join(f"{k} IS NOT NULL" for k in keys))
@@ -65,6 +62,20 @@ def hot_keys(target: DataFrame, source: DataFrame, spec: HistorySpec,
              F.expr("coalesce(datediff(max(_day), min(_day)) + 1, 1) AS _days"))
         .where("_s > 0")
         .where(f"double(_t) * _s > {tuning.hot_pairs} OR greatest(_t, _s) > {tuning.hot_rows}")
+    )
+
+
+def hot_keys(target: DataFrame, source: DataFrame, spec: HistorySpec,
+             tuning: JoinTuning) -> HotKeys | None:
+    """The largest source keys with their segments and salts; None if no key is large.
+
+    The result has at most ``max_hot_keys`` rows, so it may pass the driver and be broadcast; keys
+    beyond it stay in the ordinary join, which is exact too.
+    """
+    if not may_have_hot_keys(target, source, spec, tuning):
+        return None
+    found = (
+        counted_keys(target, source, spec, tuning)
         .orderBy(F.expr("double(_t) * _s").desc(), *spec.keys)
         .limit(tuning.max_hot_keys)
     )
@@ -77,7 +88,7 @@ def hot_keys(target: DataFrame, source: DataFrame, spec: HistorySpec,
     plan = target.sparkSession.createDataFrame(
         [tuple(row[k] for k in spec.keys) + _layout(row, tuning) for row in rows], schema)
     few = len(rows) <= _FEW_KEYS
-    return HotKeys(plan, all_of(
+    return HotKeys(F.broadcast(plan), all_of(
         F.col(k).isin(list({row[k] for row in rows})) for k in spec.keys) if few else None)
 
 
@@ -95,29 +106,29 @@ def _match(spec: HistorySpec) -> Column:
 
 
 def without_hot(rows: DataFrame, hot: HotKeys, spec: HistorySpec) -> DataFrame:
-    return rows.join(F.broadcast(hot.plan), _match(spec), "left_anti")
+    return rows.join(hot.plan, _match(spec), "left_anti")
 
 
 def only_hot(rows: DataFrame, hot: HotKeys, spec: HistorySpec) -> DataFrame:
     """Rows of hot keys, with the plan of their key."""
     near = rows if hot.scan_filter is None else rows.where(hot.scan_filter)
-    return near.join(F.broadcast(hot.plan), _match(spec)).drop(*[f"_hot_{k}" for k in spec.keys])
+    return near.join(hot.plan, _match(spec)).drop(*[f"_hot_{k}" for k in spec.keys])
 
 
-def _first_segment(day: Column) -> Column:
+def first_segment(day: Column) -> Column:
     """Days before the first segment, and no day at all, count to the first."""
     raw = F.floor((F.unix_date(day) - F.col("_lo")) / F.col("_width"))
     return F.greatest(F.lit(0), F.least(F.col("_segments") - 1, F.coalesce(raw, F.lit(0)))).cast("int")
 
 
-def _last_segment(day: Column) -> Column:
-    """As ``_first_segment``, but no day at all counts to the last."""
-    return F.when(day.isNull(), F.col("_segments") - 1).otherwise(_first_segment(day)).cast("int")
+def last_segment(day: Column) -> Column:
+    """As ``first_segment``, but no day at all counts to the last."""
+    return F.when(day.isNull(), F.col("_segments") - 1).otherwise(first_segment(day)).cast("int")
 
 
 def _touched(first: Column, last: Column) -> Column:
-    begin = _first_segment(first)
-    return F.explode(F.sequence(begin, F.greatest(begin, _last_segment(last))))
+    begin = first_segment(first)
+    return F.explode(F.sequence(begin, F.greatest(begin, last_segment(last))))
 
 
 def _own_salt(rows: DataFrame, salts: str) -> Column:
@@ -136,7 +147,7 @@ def hot_pairs(target: DataFrame, timeline: DataFrame, spec: HistorySpec,
         target
         .withColumn("_t_salt", _own_salt(target, "_t_salts"))
         .withColumn("_s_salt", _all_salts("_s_salts"))
-        .withColumn("_first", _first_segment(F.col(spec.start)))
+        .withColumn("_first", first_segment(F.col(spec.start)))
         .withColumn("_cell", _touched(F.col(spec.start), F.col(spec.end)))
         .drop(*_PLAN_COLS)
     )
@@ -144,7 +155,7 @@ def hot_pairs(target: DataFrame, timeline: DataFrame, spec: HistorySpec,
         timeline
         .withColumn("_src_s_salt", _own_salt(timeline, "_s_salts"))
         .withColumn("_src_t_salt", _all_salts("_t_salts"))
-        .withColumn("_src_first", _first_segment(F.col(SRC_START)))
+        .withColumn("_src_first", first_segment(F.col(SRC_START)))
         .withColumn("_src_cell", _touched(F.col(SRC_START), F.col(SRC_END)))
         .drop(*_PLAN_COLS)
         .withColumnsRenamed({k: f"_src_key_{k}" for k in spec.keys})
@@ -178,7 +189,7 @@ def hot_unmatched(target: DataFrame, source: DataFrame, hot: HotKeys,
         *spec.target_cols,
         _own_salt(target, "_t_salts").alias("_t_salt"),
         last_day.alias("_last_day"),
-        _first_segment(last_day).alias("_cell"),
+        first_segment(last_day).alias("_cell"),
     ).join(
         steps,
         all_of([F.col(k) == F.col(f"_src_key_{k}") for k in spec.keys]

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronofold.functions.columns import all_of, content_hash, is_open, overlaps
 from chronofold.operators.coverage import source_gaps, source_keys
+from chronofold.operators.dyadic import dyadic_keys, dyadic_pairs
 from chronofold.operators.hot import (
     HotKeys, hot_keys, hot_pairs, hot_unmatched, only_hot, without_hot)
 from chronofold.sources.history import SRC_END, SRC_START, src_value
@@ -81,7 +85,7 @@ def _join_salted(target: DataFrame, timeline: DataFrame, spec: HistorySpec, how:
 
 
 def _attach_hot(target: DataFrame, source: DataFrame, hot: HotKeys, spec: HistorySpec,
-                coverage: str) -> DataFrame:
+                coverage: str, hot_pairs: Callable[..., DataFrame]) -> DataFrame:
     """Hot keys occur in the source, so no row of theirs is passed through by key."""
     big_target, big_source = only_hot(target, hot, spec), only_hot(source, hot, spec)
     rows = big_source.withColumn(KIND, F.lit(ROW))
@@ -108,11 +112,17 @@ def _attach(target: DataFrame, source: DataFrame, spec: HistorySpec, coverage: s
         size = measured_bytes(_timeline(source, spec, coverage))
         strategy = "broadcast" if size <= tuning.broadcast_bytes else "split"
 
-    hot = hot_keys(target, source, spec, tuning) if strategy == "split" else None
+    hot, pairs_of_hot = None, hot_pairs
+    if strategy == "split":
+        hot = hot_keys(target, source, spec, tuning)
+    elif strategy == "dyadic":
+        hot = dyadic_keys(target, source, spec, tuning)
+        pairs_of_hot = partial(dyadic_pairs, tuning=tuning)
     if hot is not None:
         usual = _timeline(without_hot(source, hot, spec), spec, coverage)
         cold = _join(without_hot(target, hot, spec), usual, spec, how, coverage)
-        joined = cold.unionByName(_attach_hot(target, source, hot, spec, coverage))
+        joined = cold.unionByName(
+            _attach_hot(target, source, hot, spec, coverage, pairs_of_hot))
     elif strategy == "salted":
         joined = _join_salted(target, _timeline(source, spec, coverage), spec, how, coverage,
                               tuning.salt_buckets)

@@ -27,6 +27,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Low limits, so that many keys of the test tables take the hot-key way.
 EVERY_KEY_HOT = JoinTuning("split", hot_pairs=20, hot_rows=20, segment_rows=2, cell_rows=4)
 
+EVERY_KEY_DYADIC = JoinTuning("dyadic", hot_pairs=20, hot_rows=20, segment_rows=2, cell_rows=4,
+                              cell_pairs=8)
+
 
 def _load(pair: str, spark: SparkSession, sf_dir: str):
     p = PAIRS[pair]
@@ -239,6 +242,12 @@ def all_queries() -> dict[str, Query]:
         q[f"hot_keys_preserve_{f}"] = _on(
             f, partial(expand_history, coverage="preserve", tuning=EVERY_KEY_HOT))
 
+    for f in PAIRS:
+        q[f"overlap_dyadic_{f}"] = _on(f, partial(overlap_rows, tuning=EVERY_KEY_DYADIC))
+    for f, mode in (("f1", "inner"), ("f3", "left"), ("f2", "preserve"), ("f3", "preserve")):
+        q[f"dyadic_{mode}_{f}"] = _on(
+            f, partial(expand_history, coverage=mode, tuning=EVERY_KEY_DYADIC))
+
     q["cdc_classify_f1"] = _on("f1", _classified)
     q["cdc_classify_strict_f1"] = _on("f1", partial(_classified, with_end=True))
     q["cdc_counts_f1"] = _on("f1", lambda *a: change.action_counts(_classified(*a)))

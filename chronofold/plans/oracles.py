@@ -261,6 +261,7 @@ def all_oracles() -> dict[str, str]:
         "AND s.f < t.eff_end_date AND s.e > t.eff_start_date")
     for f in _PAIRS:
         put(f"overlap_inner_{f}", f, rows(f, "pairs"))
+        put(f"overlap_dyadic_{f}", f, rows(f, "pairs"))
         put(f"overlap_left_{f}", f, rows(f, "left_rows"))
         put(f"backfill_inner_{f}", f, rows(f, "inner_state"))
         put(f"backfill_preserve_{f}", f, rows(f, "preserved"))
@@ -290,6 +291,11 @@ UNION ALL SELECT customer_id, MAX(e), CAST(NULL AS DATE) FROM s GROUP BY custome
         put(f"hot_keys_left_{f}", f, rows(f, "left_rows"))
         put(f"hot_keys_preserve_{f}", f, rows(f, "preserved"))
 
+    put("dyadic_inner_f1", "f1", rows("f1", "inner_state"))
+    put("dyadic_left_f3", "f3", rows("f3", "left_rows"))
+    put("dyadic_preserve_f2", "f2", rows("f2", "preserved"))
+    put("dyadic_preserve_f3", "f3", rows("f3", "preserved"))
+
     new = _F1.new
     put("cdc_classify_f1", "f1", _classified(_F1, new))
     put("cdc_classify_strict_f1", "f1", _classified(_F1, (_F1.end, *new)))

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 _IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 
 COVERAGE_MODES = ("inner", "left", "preserve")
-STRATEGIES = ("split", "plain", "broadcast", "salted")
+STRATEGIES = ("split", "dyadic", "plain", "broadcast", "salted")
 
 
 def _names(value) -> tuple[str, ...]:
@@ -78,6 +78,9 @@ class JoinTuning:
 
     split      plain join for ordinary keys; a key whose candidate pairs exceed ``hot_pairs`` or
                whose rows exceed ``hot_rows`` is cut into time segments and salted (default)
+    dyadic     as split, but a window is put on the few nodes of a tree that make it up instead of
+               on every segment that it touches, cells are divided by their counted rows and pairs,
+               and any number of keys may be hot (``max_hot_keys`` does not apply)
     plain      one equi + range join, left to Catalyst and AQE
     broadcast  the source is broadcast if what would be sent, measured, is within
                ``broadcast_bytes``; otherwise the split form is used
@@ -91,6 +94,7 @@ class JoinTuning:
     segment_rows: int = 256
     max_segments: int = 4_096
     cell_rows: int = 1_000_000
+    cell_pairs: int = 100_000_000
     salt_buckets: int = 50
     broadcast_bytes: int = 256 * 1024 * 1024
 
@@ -98,6 +102,6 @@ class JoinTuning:
         if self.strategy not in STRATEGIES:
             raise ValueError(f"strategy must be one of {STRATEGIES}")
         counts = (self.max_hot_keys, self.segment_rows, self.max_segments, self.cell_rows,
-                  self.salt_buckets)
+                  self.cell_pairs, self.salt_buckets)
         if min(counts) < 1:
             raise ValueError("tuning counts must be at least 1")

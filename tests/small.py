@@ -12,10 +12,15 @@ TARGET = "id long, place string, eff_start_date date, eff_end_date date, active
 SOURCE = "id long, status string, eff_start_date date, eff_end_date date"
 
 SPLIT_ALL = JoinTuning("split", hot_pairs=-1, hot_rows=0, segment_rows=1, cell_rows=1)
+DYADIC_ALL = JoinTuning("dyadic", hot_pairs=-1, hot_rows=0, segment_rows=1, cell_rows=1,
+                        cell_pairs=1)
 EVERY_TUNING = {
     "plain": JoinTuning("plain"),
     "split, nothing hot": JoinTuning(),
     "split, all hot": SPLIT_ALL,
+    "dyadic, nothing hot": JoinTuning("dyadic"),
+    "dyadic, all hot": DYADIC_ALL,
+    "dyadic, few segments": JoinTuning("dyadic", hot_pairs=3, segment_rows=2, max_segments=3),
     "broadcast": JoinTuning("broadcast"),
     "broadcast refused": JoinTuning("broadcast", broadcast_bytes=0, hot_pairs=-1),
     "salted 1": JoinTuning("salted", salt_buckets=1),
