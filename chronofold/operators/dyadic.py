@@ -51,7 +51,7 @@ def dyadic_keys(target: DataFrame, source: DataFrame, spec: HistorySpec,
         F.ceil(F.least("_t", "_s") / tuning.segment_rows), F.col("_days"),
         F.lit(tuning.max_segments)))
     leaves = _shifted("left", F.lit(1), F.ceil(F.log2(wanted.cast("double"))).cast("int"))
-    rows_per_task = F.col("_segments") * tuning.cell_rows
+    rows_per_task = F.col("_segments") * F.lit(float(tuning.cell_rows))
     plan = (
         counted_keys(target, source, spec, tuning)
         .withColumn("_segments", leaves)
@@ -131,14 +131,17 @@ def heavy_cells(target: DataFrame, timeline: DataFrame, spec: HistorySpec,
         .join(_cell_rows(timeline, spec, SRC_START, SRC_END, False, "_s"), [*spec.keys, _CELL])
         .withColumn(_T_CELLS, t_salts.cast("int"))
         .withColumn(_S_CELLS, s_salts.cast("int"))
-        .where(F.col(_T_CELLS) * F.col(_S_CELLS) > 1)
+        .where((F.col(_T_CELLS) > 1) | (F.col(_S_CELLS) > 1))
         .select(*spec.keys, _CELL, _T_CELLS, _S_CELLS)
     )
 
 
-def _salted(rows: DataFrame, cells: DataFrame, spec: HistorySpec, own: str, other: str,
+def _salted(rows: DataFrame, cells: DataFrame | None, spec: HistorySpec, own: str, other: str,
             own_salt: str, other_salt: str, salt: Column) -> DataFrame:
     """One own salt, by content, and every salt of the other side; cells that are not divided have one."""
+    if cells is None:
+        return rows.withColumns({own_salt: F.lit(0), other_salt: F.lit(0)})
+
     def salts(name: str) -> Column:
         return F.coalesce(F.col(name), F.lit(1))
 
@@ -154,6 +157,7 @@ def dyadic_pairs(target: DataFrame, timeline: DataFrame, spec: HistorySpec, meet
                  tuning: JoinTuning) -> DataFrame:
     """Every (target, timeline) pair of the large keys that ``meets``; both sides carry the key plan."""
     cells = _written(heavy_cells(target, timeline, spec, tuning))
+    cells = None if cells.isEmpty() else cells
     plan = ("_lo", "_width", "_segments", _T_CELLS, _S_CELLS)
     left = on_nodes(target, spec.start, spec.end, "_first", True).drop(*plan)
     left = _salted(left, cells, spec, _T_CELLS, _S_CELLS, "_t_salt", "_s_salt",

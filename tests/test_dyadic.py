@@ -56,6 +56,8 @@ def test_open_windows_on_both_sides_are_copied_on_few_nodes(spark):
         copies = placed.groupBy(F.xxhash64(*side.columns), F.col("_cell") > 0).count()
         assert copies.agg(F.max("count")).first()[0] <= 2 * math.log2(segments)
     assert overlap_pairs(t, s, SPEC, tuning=tuning).count() == 300 * 300
+    wide = JoinTuning("dyadic", hot_pairs=1, hot_rows=1, segment_rows=1, cell_rows=2**31)
+    assert dyadic.dyadic_keys(t, s, SPEC, wide).plan.first()["_t_salts"] == 1
 
 
 def test_cells_of_many_pairs_are_divided(spark):
