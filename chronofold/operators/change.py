@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronofold.functions.columns import all_of, any_of, differs
+from chronofold.operators.membership import not_in
 from chronofold.spec import HistorySpec
 
 
@@ -97,11 +98,29 @@ def _staged_starts(staged: DataFrame, spec: HistorySpec):
     return starts, all_of(F.col(c).eqNullSafe(F.col(f"_cur_{c}")) for c in row_id)
 
 
-def stale_parents(target: DataFrame, staged: DataFrame, spec: HistorySpec) -> DataFrame:
-    """Stored rows whose (key, start) no staged row has. NULLs compare as equal."""
+def stale_parents(target: DataFrame, staged: DataFrame, spec: HistorySpec,
+                  null_aware: bool = False) -> DataFrame:
+    """Stored rows whose (key, start) no staged row has.
+
+    NULLs compare as equal; with ``null_aware`` they compare as SQL's NOT IN does, so a NULL on
+    either side keeps a row from being stale.
+    """
+    if null_aware:
+        row_id = (*spec.keys, spec.start)
+        return not_in(target, row_id, staged, row_id)
     return target.join(*_staged_starts(staged, spec), "left_anti")
 
 
-def without_stale_parents(table: DataFrame, staged: DataFrame, spec: HistorySpec) -> DataFrame:
-    """Rows of ``table`` whose (key, start) is staged: what a delete of stale parents leaves."""
+def without_stale_parents(table: DataFrame, staged: DataFrame, spec: HistorySpec,
+                          null_aware: bool = False) -> DataFrame:
+    """Rows of ``table`` whose (key, start) is staged: what a delete of stale parents leaves.
+
+    With ``null_aware`` also those that a NULL keeps from being stale.
+    """
+    if null_aware:
+        row_id = (*spec.keys, spec.start)
+        found = stale_parents(table, staged, spec, null_aware=True).select(
+            *[F.col(c).alias(f"_cur_{c}") for c in row_id]).distinct()
+        return table.join(found, all_of(F.col(c).eqNullSafe(F.col(f"_cur_{c}")) for c in row_id),
+                          "left_anti")
     return table.join(*_staged_starts(staged, spec), "left_semi")

@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 from chronofold.functions.columns import divisible_only_by, sphere_volume, swapped_name
 from chronofold.operators import change, checks, coverage, summaries
+from chronofold.operators.membership import not_in
 from chronofold.operators.overlap import expand_history, overlap_pairs, overlap_rows
 from chronofold.plans.jobs import ValidationFailed, run_merge, run_overwrite
-from chronofold.plans.pairs import PAIRS
+from chronofold.plans.pairs import NOT_IN_CASES, PAIRS
 from chronofold.plans.sql_form import backfill_sql, insert_overwrite_sql
 from chronofold.session import work_folder
 from chronofold.sinks.publish import RunStore, colocated, write_partitions
@@ -179,6 +180,30 @@ def _refused(spark: SparkSession, sf_dir: str) -> DataFrame:
     raise AssertionError("a run with overlapping windows was published")
 
 
+def _with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by (customer, day): no customer on urgent ones, no day where the status is open."""
+    return read_parquet(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice",
+        "if(o_orderpriority = '1-URGENT', NULL, o_custkey) AS cust",
+        "if(o_orderstatus = 'O', NULL, CAST(o_orderdate AS DATE)) AS day")
+
+
+def _not_in(others: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders whose (customer, day) is NOT IN those of the orders that ``others`` selects."""
+    rows = _with_nulls(spark, sf_dir)
+    return not_in(rows, ("cust", "day"), rows.where(others), ("cust", "day"))
+
+
+def _not_in_three(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three columns: lines that agree with no cheap returned line."""
+    lines = read_parquet(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice",
+        "nullif(l_suppkey, 1) AS supp", "nullif(l_linestatus, 'O') AS status",
+        "nullif(CAST(l_quantity AS INT), 7) AS quantity")
+    return not_in(lines, ("supp", "status", "quantity"), lines.where("l_returnflag = 'R' AND l_extendedprice < 20000"),
+                  ("supp", "status", "quantity"))
+
+
 def _modular_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per block of 1,201 consecutive order keys: those divisible by 7 and not by 5, as one list.
 
@@ -311,6 +336,12 @@ def all_queries() -> dict[str, Query]:
         spark, sf_dir, "f1", run_merge)
     q["job_refused_f1"] = _refused
 
+    for name, others in NOT_IN_CASES.items():
+        q[f"not_in_null_aware_{name}"] = partial(_not_in, others)
+    q["not_in_null_aware_three"] = _not_in_three
+    q["stale_parents_null_aware_f1"] = _on("f1", lambda t, s, spec: change.stale_parents(
+        t, _left(t, s, spec), spec, null_aware=True))
+
     q["modular_filter_list"] = _modular_list
     q["reverse_text"] = _reversed_text
     q["swap_name"] = _swapped_names

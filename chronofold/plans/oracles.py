@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from chronofold.plans.pairs import NOT_IN_CASES
+
 _OPEN = "DATE '3499-12-31'"
 
 
@@ -351,6 +353,23 @@ SELECT CAST(1 AS BIGINT) AS commit_no, 'overwrite' AS operation, i AS rows FROM
 UNION ALL SELECT 2, 'merge', l FROM n UNION ALL SELECT 3, 'rollback', NULL
 UNION ALL SELECT 4, 'rewrite', i FROM n UNION ALL SELECT 5, 'expire', NULL""")
 
+    orders = ("(SELECT o_orderkey, o_orderstatus, o_orderpriority, o_totalprice, "
+              "CASE WHEN o_orderpriority = '1-URGENT' THEN NULL ELSE o_custkey END AS cust, "
+              "CASE WHEN o_orderstatus = 'O' THEN NULL ELSE CAST(o_orderdate AS DATE) END AS day FROM orders)")
+    for name, others in NOT_IN_CASES.items():
+        o[f"not_in_null_aware_{name}"] = (
+            f"SELECT * FROM {orders} r WHERE (cust, day) NOT IN "
+            f"(SELECT cust, day FROM {orders} WHERE {others})")
+    lines = ("(SELECT l_orderkey, l_linenumber, l_returnflag, l_extendedprice, NULLIF(l_suppkey, 1) AS supp, "
+             "NULLIF(l_linestatus, 'O') AS status, NULLIF(CAST(l_quantity AS INTEGER), 7) AS quantity "
+             "FROM lineitem)")
+    o["not_in_null_aware_three"] = (
+        f"SELECT * FROM {lines} r WHERE (supp, status, quantity) NOT IN "
+        f"(SELECT supp, status, quantity FROM {lines} WHERE l_returnflag = 'R' "
+        "AND l_extendedprice < 20000)")
+    put("stale_parents_null_aware_f1", "f1", rows("f1", "t")
+        + " WHERE (id, eff_start_date) NOT IN (SELECT id, eff_start_date FROM left_rows)")
+
     o["modular_filter_list"] = (
         "SELECT CAST(FLOOR(o_orderkey / 1201) AS BIGINT) AS block, "
         "string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS numbers "

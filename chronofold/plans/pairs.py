@@ -162,3 +162,14 @@ PAIRS = {
     "f3": HistoryPair(F3, _f3_target, _f3_source),
     "f4": HistoryPair(F4, _f4_target, _f4_source),
 }
+
+#: Which orders stand on the right: none that is NULL, NULL customers, NULL days, both apart, rows
+#: of NULL in both columns, and none at all.
+NOT_IN_CASES = {
+    "complete": "o_orderstatus = 'P' AND o_orderpriority <> '1-URGENT'",
+    "null_first": "o_orderstatus = 'P'",
+    "null_second": "o_orderstatus = 'O' AND o_orderpriority = '5-LOW' AND o_totalprice > 400000",
+    "null_either": "o_totalprice > 400000 AND (o_orderstatus = 'O') <> (o_orderpriority = '1-URGENT')",
+    "null_both": "o_orderpriority = '1-URGENT'",
+    "nothing": "o_orderstatus = 'X'",
+}
