@@ -133,6 +133,18 @@ def _colocated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.current()
 
 
+def _compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published in many files, whose small ones are then merged."""
+    target, source, spec = _load("f1", spark, sf_dir)
+    store = _store(spark)
+    rows = _inner_state(target, source, spec).repartition(16, *spec.keys)
+    store.publish(store.stage(rows, rows_per_file=2_000, partition_by=[spec.active]))
+    sizes = store.census().agg(F.percentile_approx("file_size", 0.8).alias("most"))
+    most = sizes.first().most
+    store.compact(most, 4 * most, [*spec.keys, spec.start])
+    return store.current()
+
+
 def _run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log after two publishes, a roll-back, a rewrite and an expiry, newest five first."""
     target, source, spec = _load("f1", spark, sf_dir)
@@ -325,6 +337,7 @@ def all_queries() -> dict[str, Query]:
     q["publish_rollback_f1"] = _rolled_back
     q["clustered_rewrite_f1"] = _rewritten
     q["colocated_rewrite_f1"] = _colocated
+    q["compacted_files_f1"] = _compacted
     q["partition_overwrite_f1"] = _partition_overwrite
     q["run_history_f1"] = _run_history
 

@@ -281,7 +281,7 @@ UNION ALL SELECT customer_id, MAX(e), CAST(NULL AS DATE) FROM s GROUP BY custome
     for name in ("backfill_sql_f1", "backfill_plain_f1", "backfill_broadcast_f1",
                  "backfill_salted_f1", "hot_keys_inner_f1", "publish_readback_f1",
                  "publish_rollback_f1", "clustered_rewrite_f1", "final_listing_f1",
-                 "job_overwrite_inner_f1", "colocated_rewrite_f1"):
+                 "job_overwrite_inner_f1", "colocated_rewrite_f1", "compacted_files_f1"):
         put(name, "f1", rows("f1", "inner_state"))
     put("insert_overwrite_f3", "f3", rows("f3", "inner_state"))
     put("job_overwrite_preserve_f3", "f3", rows("f3", "preserved"))

@@ -12,12 +12,15 @@ import datetime as dt
 import json
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronofold.functions.columns import all_of, any_of, content_hash, differs
+from chronofold.sinks.compaction import (
+    GROUP, file_census, merged_rows, path_of, small_file_groups, with_file)
 from chronofold.spec import HistorySpec
 
 LOG_SCHEMA = ("run_id string, committed_at timestamp, commit_no long, operation string, "
@@ -50,7 +53,8 @@ def clustered(df: DataFrame, sort_cols: Sequence[str], rows_per_file: int, rows:
 
 class RunStore:
     """Runs of one table under ``base``: data in ``run/<id>``, its schema in ``schema/<id>``, the log
-    in ``runlog``."""
+    in ``runlog``. A compacted run also has a list, in ``kept/<id>``, of the files of earlier runs
+    that are part of it."""
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
@@ -63,8 +67,27 @@ class RunStore:
     def read(self, run_id: str) -> DataFrame:
         """A run with the columns, their order and types that it was staged with: partition values
         are text in the folder names, and would otherwise be guessed."""
-        schema = T.StructType.fromJson(json.loads(self.spark.read.text(self._schema(run_id)).first()[0]))
-        return self.spark.read.schema(schema).parquet(self.path(run_id)).select(*schema.names)
+        return reduce(DataFrame.unionByName, self._scans(run_id))
+
+    def _scans(self, run_id: str, largest: int | None = None) -> list[DataFrame]:
+        """The scans that make up a run, one per run folder; with ``largest`` of smaller files only.
+
+        The names of kept files pass the driver, which lists the files of any table it reads.
+        """
+        text = self.spark.read.text(self._schema(run_id)).first()[0]
+        schema = T.StructType.fromJson(json.loads(text))
+        files = {self.path(run_id): [self.path(run_id)]} if self._exists(self.path(run_id)) else {}
+        if self._exists(self._kept(run_id)):
+            for row in self.spark.read.parquet(self._kept(run_id)).toLocalIterator():
+                files.setdefault(self.path(row.run_id), []).append(row.file_path)
+        scans = [self.spark.read.schema(schema).option("basePath", folder).parquet(*paths)
+                 for folder, paths in files.items()]
+        if largest is not None:
+            scans = [scan.where(F.col("_metadata.file_size") < largest) for scan in scans]
+        return [scan.select(*schema.names) for scan in scans]
+
+    def _kept(self, run_id: str) -> str:
+        return f"{self.base}/kept/{run_id}"
 
     def _schema(self, run_id: str) -> str:
         return f"{self.base}/schema/{run_id}"
@@ -72,8 +95,13 @@ class RunStore:
     def stage(self, df: DataFrame, rows_per_file: int = 500_000,
               partition_by: Sequence[str] = ()) -> str:
         """Write a run that nobody reads yet."""
-        run_id = uuid.uuid4().hex
-        writer = df.write.option("maxRecordsPerFile", rows_per_file)
+        return self._stage_as(uuid.uuid4().hex, df, rows_per_file, partition_by)
+
+    def _stage_as(self, run_id: str, df: DataFrame, rows_per_file: int | None,
+                  partition_by: Sequence[str]) -> str:
+        writer = df.write
+        if rows_per_file:
+            writer = writer.option("maxRecordsPerFile", rows_per_file)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(self.path(run_id))
@@ -93,9 +121,12 @@ class RunStore:
 
     def discard(self, run_id: str) -> None:
         """Delete the files of a run that is not published (any more)."""
-        for name in (self.path(run_id), self._schema(run_id)):
-            path = self._hadoop_path(name)
-            path.getFileSystem(self._hadoop_conf()).delete(path, True)
+        for name in (self.path(run_id), self._schema(run_id), self._kept(run_id)):
+            self._remove(name)
+
+    def _remove(self, name: str) -> None:
+        path = self._hadoop_path(name)
+        path.getFileSystem(self._hadoop_conf()).delete(path, True)
 
     def history(self) -> DataFrame:
         """One row per publish, roll-back, rewrite and expiry."""
@@ -154,10 +185,14 @@ class RunStore:
             .where("not gone")
         )
         newest = runs.orderBy(F.desc("commit_no")).limit(retain_last)
-        return runs.join(newest, "run_id", "left_anti").where(
+        old = runs.join(newest, "run_id", "left_anti").where(
             (F.col("committed_at") < F.lit(older_than))
             & (F.col("run_id") != F.lit(head.run_id if head else None))
         ).select("run_id", "committed_at")
+        # a run stays as long as a run that is not expired has files of it
+        needed = self.history().where("summary['keeps'] IS NOT NULL").join(runs, "run_id", "left_semi")
+        return old.join(needed.select(F.explode(F.split(F.col("summary")["keeps"], ",")).alias("run_id")),
+                        "run_id", "left_anti")
 
     def expire(self, older_than: dt.datetime, retain_last: int = 2) -> list[str]:
         """Delete the files of expirable runs; the log keeps their entries."""
@@ -175,9 +210,67 @@ class RunStore:
         self.publish(run_id, "rewrite", rows=rows)
         return run_id
 
+    def census(self) -> DataFrame:
+        """file_path, file_size and row_count of the files of the current content."""
+        return reduce(DataFrame.unionAll, map(file_census, self._scans(self._head().run_id)))
+
+    def compact(self, min_bytes: int, target_bytes: int,
+                sort_cols: Sequence[str] = ()) -> str | None:
+        """Publish the current content with its small files merged, and all other files as they are.
+
+        Files below ``min_bytes`` are merged into ones of about ``target_bytes``, partition by
+        partition; only they are read. The new run holds the merged files and the list of the files
+        it keeps of earlier runs. Returns the new run, or None if there is nothing to merge. Rows
+        are counted before publishing.
+        """
+        head = self._head()
+        if head is None:
+            raise ValueError("nothing has been published yet")
+        run_id = uuid.uuid4().hex
+        census = self._work(run_id, "census", self.census())
+        partition = F.regexp_extract("file_path", "/run/[^/]+/(.*/)?[^/]*$", 1)
+        grouped = small_file_groups(census, min_bytes, target_bytes, partition)
+        numbers = grouped.select(GROUP).distinct().withColumn(
+            "number", F.row_number().over(Window.orderBy(GROUP)) - 1)
+        groups = self._work(run_id, "groups", grouped.join(numbers, GROUP).drop(GROUP))
+        n_groups = groups.agg(F.count_distinct("number")).first()[0]
+        if n_groups == 0:
+            self._remove(f"{self.base}/work/{run_id}")
+            return None
+
+        small = reduce(DataFrame.unionByName, [
+            with_file(scan) for scan in self._scans(head.run_id, min_bytes)])
+        folder = census.select(partition.alias("folder")).first().folder
+        self._stage_as(run_id, merged_rows(small, groups, n_groups, sort_cols), None,
+                       [part.split("=")[0] for part in folder.split("/") if part])
+        untouched = census.join(groups, "file_path", "left_anti")
+        of_run = F.regexp_extract("file_path", "/run/([^/]+)/", 1)
+        untouched.select(of_run.alias("run_id"), path_of("file_path").alias("file_path")).write.parquet(self._kept(run_id))
+
+        wanted = census.join(groups, "file_path", "left_semi").agg(F.sum("row_count")).first()[0]
+        written = self.spark.read.parquet(self.path(run_id)).count()
+        if wanted != written:
+            self.discard(run_id)
+            raise RuntimeError(f"{written} rows were merged instead of {wanted}; nothing published")
+        keeps = [r.run_id for r in self.spark.read.parquet(self._kept(run_id)).select("run_id")
+                 .distinct().toLocalIterator()]
+        rows = census.agg(F.sum("row_count")).first()[0]
+        self.publish(run_id, "compact", rows=rows, merged_files=groups.count(), new_files=n_groups,
+                     **({"keeps": ",".join(keeps)} if keeps else {}))
+        self._remove(f"{self.base}/work/{run_id}")
+        return run_id
+
+    def _work(self, run_id: str, name: str, rows: DataFrame) -> DataFrame:
+        path = f"{self.base}/work/{run_id}/{name}"
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
     def point_table(self, table: str) -> None:
         """Let a catalog table read the current run."""
-        location = self.path(self._head().run_id)
+        run_id = self._head().run_id
+        if self._exists(self._kept(run_id)) and not self.spark.read.parquet(self._kept(run_id)).isEmpty():
+            raise ValueError("a compacted run lies in several folders; rewrite it for a catalog table")
+        location = self.path(run_id)
         if self.spark.catalog.tableExists(table):
             self.spark.sql("ALTER TABLE IDENTIFIER(:t) SET LOCATION '" + location + "'",
                            args={"t": table})
