@@ -20,6 +20,7 @@ from chronofold.plans.pairs import NOT_IN_CASES, PAIRS
 from chronofold.plans.sql_form import backfill_sql, insert_overwrite_sql
 from chronofold.session import work_folder
 from chronofold.sinks.publish import RunStore, colocated, write_partitions
+from chronofold.sinks.touched import merge_touched
 from chronofold.sources.history import read_parquet
 from chronofold.spec import HistorySpec, JoinTuning
 
@@ -170,6 +171,16 @@ def _partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).select(*spec.target_cols)
 
 
+def _merge_touched(partition: str, remove_stale: bool, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The expansion of urgent and high orders laid over a folder that holds the orders of all kinds."""
+    target, source, spec = _load("f1", spark, sf_dir)
+    path = work_folder(spark)
+    write_partitions(target, path, [partition])
+    feed = _left(target.where("place IN ('1-URGENT', '2-HIGH')"), source, spec)
+    merge_touched(feed, path, spec, [partition], remove_stale)
+    return spark.read.schema(target.schema).parquet(path).select(*spec.target_cols)
+
+
 def _whole_job(spark: SparkSession, sf_dir: str, f: str, run: Callable, *args) -> DataFrame:
     """A whole job (stage, check, publish) and the content that readers then see.
 
@@ -340,6 +351,9 @@ def all_queries() -> dict[str, Query]:
     q["compacted_files_f1"] = _compacted
     q["partition_overwrite_f1"] = _partition_overwrite
     q["run_history_f1"] = _run_history
+    q["merge_touched_f1"] = partial(_merge_touched, "place", False)
+    q["merge_touched_moving_f1"] = partial(_merge_touched, "active", False)
+    q["merge_touched_stale_f1"] = partial(_merge_touched, "place", True)
 
     q["job_overwrite_inner_f1"] = lambda spark, sf_dir: _whole_job(
         spark, sf_dir, "f1", run_overwrite, "inner")

@@ -370,6 +370,18 @@ UNION ALL SELECT 4, 'rewrite', i FROM n UNION ALL SELECT 5, 'expire', NULL""")
     put("stale_parents_null_aware_f1", "f1", rows("f1", "t")
         + " WHERE (id, eff_start_date) NOT IN (SELECT id, eff_start_date FROM left_rows)")
 
+    feed = """, feed AS (
+  SELECT n.id, COALESCE(t.name, n.name) AS name, COALESCE(t.place, n.place) AS place, n.eff_start_date, n.eff_end_date,
+    CASE WHEN t.id IS NULL OR n.eff_end_date IS DISTINCT FROM t.eff_end_date OR n.salary IS DISTINCT FROM t.salary
+      OR n.status IS DISTINCT FROM t.status THEN n.active ELSE t.active END AS active, n.salary, n.status
+  FROM left_rows n LEFT JOIN t ON t.id = n.id AND t.eff_start_date = n.eff_start_date
+  WHERE n.place IN ('1-URGENT', '2-HIGH'))
+SELECT * FROM feed UNION ALL SELECT id, name, place, eff_start_date, eff_end_date, active, salary, status FROM t
+WHERE NOT EXISTS (SELECT 1 FROM feed f WHERE f.id = t.id AND f.eff_start_date = t.eff_start_date)"""
+    put("merge_touched_f1", "f1", feed)
+    put("merge_touched_moving_f1", "f1", feed)
+    put("merge_touched_stale_f1", "f1", feed + " AND t.id NOT IN (SELECT id FROM feed)")
+
     o["modular_filter_list"] = (
         "SELECT CAST(FLOOR(o_orderkey / 1201) AS BIGINT) AS block, "
         "string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS numbers "

@@ -33,6 +33,12 @@ def write_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> N
      .partitionBy(*partition_by).parquet(path))
 
 
+def remove_path(spark: SparkSession, name: str) -> None:
+    """Delete a file or a folder with all it holds; nothing happens if there is none."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def colocated(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of one key in few files of about the advisory size: small partitions are merged and
     a partition that a hot key inflates is split, both by measured size."""
@@ -125,8 +131,7 @@ class RunStore:
             self._remove(name)
 
     def _remove(self, name: str) -> None:
-        path = self._hadoop_path(name)
-        path.getFileSystem(self._hadoop_conf()).delete(path, True)
+        remove_path(self.spark, name)
 
     def history(self) -> DataFrame:
         """One row per publish, roll-back, rewrite and expiry."""
