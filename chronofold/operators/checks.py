@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from chronofold.functions.columns import any_null
 from chronofold.operators.coverage import source_keys
+from chronofold.session import written
 from chronofold.spec import HistorySpec
 
 _COPIES_PER_ROW = 10_000
@@ -35,9 +36,14 @@ def _end_at(position: Column) -> Column:
 
 def _neighbours(table: DataFrame, spec: HistorySpec) -> DataFrame:
     """Key, start, the end of the row before, the furthest end of all rows before, and how often."""
+    return _linked(table.groupBy(*spec.keys, spec.start, spec.end).agg(
+        F.count("*").alias("_copies")), spec)
+
+
+def _linked(windows: DataFrame, spec: HistorySpec) -> DataFrame:
+    """``_neighbours`` of rows that are already combined by key, start and end, with ``_copies``."""
     keys, end = spec.keys, F.col(spec.end)
-    windows = (table.groupBy(*keys, spec.start, spec.end).agg(F.count("*").alias("_copies"))
-               .withColumn("_year", F.year(spec.start)))
+    windows = windows.withColumn("_year", F.year(spec.start))
 
     by_year = Window.partitionBy(*keys).orderBy("_year")
     years = windows.groupBy(*keys, "_year").agg(
@@ -146,21 +152,25 @@ def verdict_counts(before: DataFrame, after: DataFrame, source: DataFrame, spec:
                    exactly_one_active: bool = False) -> DataFrame:
     """One row with the row counts and the number of findings of every check.
 
-    One job that reads ``after`` twice: once combined per key (rows, NULLs and flags together) and
-    once for the chain of dates. Keys meet the source keys as one row each.
+    ``after`` is read once, when this is called: its rows, NULLs and flags are combined by key and
+    window, and this narrow table is written to the shared folder for the checks per key and for
+    the chain of dates. Keys meet the source keys as one row each.
     """
     active = F.col("_active")
-    per_key = after.groupBy(*spec.keys).agg(
-        F.count("*").alias("_rows"),
+    windows = written(after.groupBy(*spec.keys, spec.start, spec.end).agg(
+        F.count("*").alias("_copies"),
         F.count(F.when(any_null(spec.new_cols), 1)).alias("_nulls"),
-        F.sum(spec.active).alias("_active"))
+        F.sum(spec.active).alias("_active")))
+    per_key = windows.groupBy(*spec.keys).agg(
+        F.sum("_copies").alias("_rows"), F.sum("_nulls").alias("_nulls"),
+        F.sum("_active").alias("_active"))
     known = source_keys(source, spec.keys).withColumn("_known", F.lit(True))
     content = per_key.join(known, list(spec.keys), "left").agg(
         F.sum("_rows").alias("rows_after"),
         F.sum(F.when(F.col("_known"), F.col("_nulls"))).alias("unexpected_nulls"),
         F.count(F.when(active != 1 if exactly_one_active else active > 1, 1))
         .alias("active_flags"))
-    chain = _neighbours(after, spec).agg(
+    chain = _linked(windows.select(*spec.keys, spec.start, spec.end, "_copies"), spec).agg(
         F.sum(F.when(_is_gap(spec), F.col("_times"))).alias("date_gaps"),
         F.sum(F.when(_is_overlap(spec, "_prev_end"), F.col("_times"))).alias("date_overlaps"))
     counts = (

@@ -24,20 +24,13 @@ from pyspark.sql import functions as F
 from chronofold.functions.columns import all_of, content_hash
 from chronofold.operators.hot import (
     HotKeys, counted_keys, first_segment, last_segment, may_have_hot_keys)
-from chronofold.session import work_folder
+from chronofold.session import written
 from chronofold.sources.history import SRC_END, SRC_START
 from chronofold.spec import HistorySpec, JoinTuning
 
 _CELL, _T_CELLS, _S_CELLS = "_cell", "_t_salts", "_s_salts"
 
 
-def _written(rows: DataFrame) -> DataFrame:
-    """Through the shared folder: computed once, and of known size when it is joined."""
-    path = work_folder(rows.sparkSession)
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
-
-
 def _shifted(way: str, number: Column, bits: Column) -> Column:
     return F.call_function(f"shift{way}", number, bits)
 
@@ -61,7 +54,7 @@ def dyadic_keys(target: DataFrame, source: DataFrame, spec: HistorySpec,
         .withColumn(_S_CELLS, F.ceil(F.col("_s") / rows_per_task).cast("int"))
     )
     columns = [F.col(k).alias(f"_hot_{k}") for k in spec.keys]
-    return HotKeys(_written(plan.select(
+    return HotKeys(written(plan.select(
         *columns, "_lo", "_width", "_segments", _T_CELLS, _S_CELLS)), None)
 
 
@@ -156,7 +149,7 @@ def _salted(rows: DataFrame, cells: DataFrame | None, spec: HistorySpec, own: st
 def dyadic_pairs(target: DataFrame, timeline: DataFrame, spec: HistorySpec, meets: Column,
                  tuning: JoinTuning) -> DataFrame:
     """Every (target, timeline) pair of the large keys that ``meets``; both sides carry the key plan."""
-    cells = _written(heavy_cells(target, timeline, spec, tuning))
+    cells = written(heavy_cells(target, timeline, spec, tuning))
     cells = None if cells.isEmpty() else cells
     plan = ("_lo", "_width", "_segments", _T_CELLS, _S_CELLS)
     left = on_nodes(target, spec.start, spec.end, "_first", True).drop(*plan)

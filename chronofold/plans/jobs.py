@@ -6,7 +6,9 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from chronofold.functions.columns import any_null
 from chronofold.operators.change import backfilled_state, duplicate_starts
 from chronofold.operators.checks import CHECKS, verdict_counts
 from chronofold.operators.overlap import expand_history, overlap_rows
@@ -24,22 +26,37 @@ class JobResult:
     input_rows: int
     output_rows: int
     findings: dict[str, int]
+    #: rows without a value in some new column, and current rows, counted while writing
+    null_rows: int = 0
+    active_rows: int = 0
 
     @property
     def expansion_ratio(self) -> float | None:
         return self.output_rows / self.input_rows if self.input_rows else None
 
 
-def _check_and_publish(run_id: str, target: DataFrame, source: DataFrame, spec: HistorySpec,
-                       store: RunStore, operation: str, ignore: Sequence[str]) -> JobResult:
+def _stage(final: DataFrame, spec: HistorySpec, store: RunStore) -> tuple[str, dict]:
+    """Write a run, and count its rows on the way."""
+    return store.stage_observed(final, {
+        "rows": F.count(F.lit(1)),
+        "null_rows": F.count(F.when(any_null(spec.new_cols), 1)),
+        "active_rows": F.coalesce(F.sum(spec.active), F.lit(0))})
+
+
+def _check_and_publish(run_id: str, seen: dict, target: DataFrame, source: DataFrame,
+                       spec: HistorySpec, store: RunStore, operation: str,
+                       ignore: Sequence[str]) -> JobResult:
+    """Checks read the run once. The rows that they find must be those that were written."""
     counts = verdict_counts(target, store.read(run_id), source, spec).first()
     failed = [c for c in CHECKS if counts[c] and c not in ignore]
+    if counts.rows_after != seen["rows"]:
+        failed.append(f"{seen['rows']} rows written, {counts.rows_after} read")
     if failed:
         store.discard(run_id)
         raise ValidationFailed(f"run {run_id} not published, failed: {', '.join(failed)}")
-    store.publish(run_id, operation, rows=counts.rows_after)
+    store.publish(run_id, operation, **seen)
     return JobResult(run_id, counts.rows_before, counts.rows_after,
-                     {c: counts[c] for c in CHECKS})
+                     {c: counts[c] for c in CHECKS}, seen["null_rows"], seen["active_rows"])
 
 
 def run_overwrite(target: DataFrame, source: DataFrame, spec: HistorySpec, store: RunStore,
@@ -54,8 +71,8 @@ def run_overwrite(target: DataFrame, source: DataFrame, spec: HistorySpec, store
     final = expand_history(target, source, spec, coverage, tuning)
     if coverage == "preserve":
         ignore = (*ignore, "unexpected_nulls")
-    run_id = store.stage(colocated(final, spec.keys) if colocate else final)
-    return _check_and_publish(run_id, target, source, spec, store, "overwrite", ignore)
+    run_id, seen = _stage(colocated(final, spec.keys) if colocate else final, spec, store)
+    return _check_and_publish(run_id, seen, target, source, spec, store, "overwrite", ignore)
 
 
 def run_merge(target: DataFrame, source: DataFrame, spec: HistorySpec, store: RunStore,
@@ -70,7 +87,7 @@ def run_merge(target: DataFrame, source: DataFrame, spec: HistorySpec, store: Ru
     if not duplicate_starts(expanded, spec).isEmpty():
         store.discard(work)
         raise ValidationFailed("staged rows repeat a key and start date; the merge is ambiguous")
-    run_id = store.stage(backfilled_state(expanded, target, spec))
+    run_id, seen = _stage(backfilled_state(expanded, target, spec), spec, store)
     store.discard(work)
-    return _check_and_publish(run_id, target, source, spec, store, "merge",
+    return _check_and_publish(run_id, seen, target, source, spec, store, "merge",
                               (*ignore, "unexpected_nulls"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int = 8, name: str = "chronofold", **conf) -> SparkSession:
@@ -34,3 +34,10 @@ def work_folder(spark: SparkSession) -> str:
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     root = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="chronofold-")
     return f"{root}/chronofold-{uuid.uuid4().hex}"
+
+
+def written(rows: DataFrame) -> DataFrame:
+    """Through the shared folder: computed once, of known size when joined, and safe from lost executors."""
+    path = work_folder(rows.sparkSession)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

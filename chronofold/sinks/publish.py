@@ -11,10 +11,10 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -103,6 +103,18 @@ class RunStore:
         """Write a run that nobody reads yet."""
         return self._stage_as(uuid.uuid4().hex, df, rows_per_file, partition_by)
 
+    def stage_observed(self, df: DataFrame, metrics: Mapping[str, Column],
+                       rows_per_file: int = 500_000) -> tuple[str, dict]:
+        """As ``stage``, and aggregates of the rows, taken while they are written.
+
+        They are part of the stage that writes, whose tasks Spark counts once each: a task that is
+        run again, or twice, adds nothing.
+        """
+        observation = Observation()
+        run_id = self.stage(df.observe(observation, *[c.alias(n) for n, c in metrics.items()]),
+                            rows_per_file)
+        return run_id, observation.get
+
     def _stage_as(self, run_id: str, df: DataFrame, rows_per_file: int | None,
                   partition_by: Sequence[str]) -> str:
         writer = df.write
