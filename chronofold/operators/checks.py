@@ -145,6 +145,42 @@ def row_count_check(before: DataFrame, after: DataFrame) -> DataFrame:
     )
 
 
+def covered_days(before: DataFrame, after: DataFrame, spec: HistorySpec) -> DataFrame:
+    """Per key: days that the windows cover before and after, and those covered before only.
+
+    The days lost are those of both tables together less those of ``after``. One sweep per key over the starts, which
+    are combined map-side, so a group holds at most one row per calendar day. Rows without dates, or
+    whose end is not after their start, cover nothing.
+    """
+    def windows(table: DataFrame, here: str, there: str) -> DataFrame:
+        return table.where(F.col(spec.start) < F.col(spec.end)).select(
+            *spec.keys, spec.start, F.col(spec.end).alias(here),
+            F.lit(None).cast("date").alias(there))
+
+    starts = (
+        windows(before, "_before", "_after").unionByName(windows(after, "_after", "_before"))
+        .groupBy(*spec.keys, spec.start).agg(F.max("_before").alias("_before"),
+                                             F.max("_after").alias("_after"))
+        .withColumn("_either", F.greatest("_before", "_after")))
+    earlier = (Window.partitionBy(*spec.keys).orderBy(spec.start)
+               .rowsBetween(Window.unboundedPreceding, -1))
+
+    def new_days(end: str) -> Column:
+        first = F.greatest(F.col(spec.start), F.max(end).over(earlier))
+        return F.greatest(F.coalesce(F.date_diff(end, first), F.lit(0)), F.lit(0)).cast("long")
+
+    swept = starts.select(*spec.keys, *[new_days(f"_{n}").alias(f"_{n}") for n in ("before", "after", "either")])
+    days = swept.groupBy(*spec.keys).agg(
+        F.sum("_before").alias("days_before"), F.sum("_after").alias("days_after"),
+        (F.sum("_either") - F.sum("_after")).alias("days_lost"))
+    return days
+
+
+def lost_days(before: DataFrame, after: DataFrame, spec: HistorySpec) -> DataFrame:
+    """Keys with days that were covered before and no longer are."""
+    return covered_days(before, after, spec).where("days_lost > 0")
+
+
 CHECKS = ("row_count", "date_gaps", "date_overlaps", "unexpected_nulls", "active_flags")
 
 

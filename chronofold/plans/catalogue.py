@@ -15,7 +15,7 @@ from chronofold.functions.columns import divisible_only_by, sphere_volume, swapp
 from chronofold.operators import change, checks, coverage, summaries
 from chronofold.operators.membership import not_in
 from chronofold.operators.overlap import expand_history, overlap_pairs, overlap_rows
-from chronofold.plans.jobs import ValidationFailed, run_merge, run_overwrite
+from chronofold.plans.jobs import LOST_DAYS, ValidationFailed, run_merge, run_overwrite
 from chronofold.plans.pairs import NOT_IN_CASES, PAIRS
 from chronofold.plans.sql_form import backfill_sql, insert_overwrite_sql
 from chronofold.session import work_folder
@@ -187,7 +187,7 @@ def _whole_job(spark: SparkSession, sf_dir: str, f: str, run: Callable, *args) -
     The ``check_*`` queries show what the checks find in these data; here they do not stop it.
     """
     store = _store(spark)
-    run(*_load(f, spark, sf_dir), store, *args, ignore=checks.CHECKS)
+    run(*_load(f, spark, sf_dir), store, *args, ignore=(*checks.CHECKS, LOST_DAYS))
     return store.current()
 
 
@@ -328,8 +328,14 @@ def all_queries() -> dict[str, Query]:
     for f in PAIRS:
         q[f"check_rowcount_{f}"] = _on(
             f, lambda t, s, spec: checks.row_count_check(t, _inner_state(t, s, spec)))
+        q[f"check_days_{f}"] = _on(
+            f, lambda t, s, spec: checks.covered_days(t, _inner_state(t, s, spec), spec))
         q[f"check_verdict_{f}"] = _on(
             f, lambda t, s, spec: checks.verdict(t, _inner_state(t, s, spec), s, spec))
+    q["check_lost_days_f2"] = _on(
+        "f2", lambda t, s, spec: checks.lost_days(t, _inner_state(t, s, spec), spec))
+    q["check_lost_days_preserve_f2"] = _on(
+        "f2", lambda t, s, spec: checks.lost_days(t, expand_history(t, s, spec), spec))
     q["check_verdict_merge_f1"] = _on(
         "f1", lambda t, s, spec: checks.verdict(t, _merged(t, s, spec), s, spec, True))
 

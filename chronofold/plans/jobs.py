@@ -10,12 +10,16 @@ from pyspark.sql import functions as F
 
 from chronofold.functions.columns import any_null
 from chronofold.operators.change import backfilled_state, duplicate_starts
-from chronofold.operators.checks import CHECKS, verdict_counts
+from chronofold.operators.checks import CHECKS, lost_days, verdict_counts
 from chronofold.operators.overlap import expand_history, overlap_rows
 from chronofold.sinks.publish import RunStore, colocated
 from chronofold.spec import HistorySpec, JoinTuning
 
 
+#: A check of overwriting jobs, beside ``CHECKS``: no day that a key covered may be lost.
+LOST_DAYS = "lost_days"
+
+
 class ValidationFailed(RuntimeError):
     """A staged run did not pass; it was not published."""
 
@@ -47,10 +51,16 @@ def _check_and_publish(run_id: str, seen: dict, target: DataFrame, source: DataF
                        spec: HistorySpec, store: RunStore, operation: str,
                        ignore: Sequence[str]) -> JobResult:
     """Checks read the run once. The rows that they find must be those that were written."""
-    counts = verdict_counts(target, store.read(run_id), source, spec).first()
+    written = store.read(run_id)
+    counts = verdict_counts(target, written, source, spec).first()
     failed = [c for c in CHECKS if counts[c] and c not in ignore]
     if counts.rows_after != seen["rows"]:
         failed.append(f"{seen['rows']} rows written, {counts.rows_after} read")
+    if operation == "overwrite" and LOST_DAYS not in ignore:
+        keys, days = lost_days(target, written, spec).agg(
+            F.count(F.lit(1)), F.coalesce(F.sum("days_lost"), F.lit(0))).first()
+        if keys:
+            failed.append(f"{LOST_DAYS}: {days} of {keys} keys")
     if failed:
         store.discard(run_id)
         raise ValidationFailed(f"run {run_id} not published, failed: {', '.join(failed)}")
@@ -64,7 +74,8 @@ def run_overwrite(target: DataFrame, source: DataFrame, spec: HistorySpec, store
                   ignore: Sequence[str] = (), colocate: bool = False) -> JobResult:
     """Back-fill by replacing the whole content.
 
-    ``ignore`` names checks that may fail. The added uncovered pieces of ``preserve`` have NULL
+    ``ignore`` names checks that may fail. Without "lost_days" there, a run by which a key loses
+    days (as ``inner`` and ``left`` do, where the source does not cover them) is refused. The added uncovered pieces of ``preserve`` have NULL
     values by design, so ``unexpected_nulls`` is ignored there. A shuffled join leaves the rows of
     a key together already; ``colocate`` adds a shuffle that ensures it after other joins as well.
     """

@@ -238,6 +238,21 @@ def _verdict(p: _Pair, table: str, rule: str) -> str:
     return f"SELECT *, findings = 0 AS passed FROM ({rows})"
 
 
+def _days(p: _Pair, table: str) -> str:
+    """Time cut at every bound of a key; a piece is covered if some window holds it."""
+    keys = ", ".join(p.keys)
+    cuts = " UNION ".join(f"SELECT {keys}, {c} AS d FROM {x}" for c in (p.start, p.end) for x in ("t", table))
+    inside = f"WHERE {_equal(p, 'x', 'c')} AND x.{p.start} <= c.d AND x.{p.end} >= c.until"
+    return f""", cuts AS ({cuts}),
+cut_pieces AS (SELECT * FROM (SELECT *, LEAD(d) OVER (PARTITION BY {keys} ORDER BY d) AS until FROM cuts) WHERE until IS NOT NULL),
+held AS (SELECT c.*, CAST(c.until - c.d AS BIGINT) AS days, EXISTS (SELECT 1 FROM t x {inside}) AS b,
+  EXISTS (SELECT 1 FROM {table} x {inside}) AS a FROM cut_pieces c),
+day_counts AS (SELECT {keys}, CAST(SUM(CASE WHEN b THEN days ELSE 0 END) AS BIGINT) AS days_before,
+  CAST(SUM(CASE WHEN a THEN days ELSE 0 END) AS BIGINT) AS days_after,
+  CAST(SUM(CASE WHEN b AND NOT a THEN days ELSE 0 END) AS BIGINT) AS days_lost FROM held GROUP BY {keys})
+SELECT * FROM day_counts"""
+
+
 def _classified(p: _Pair, compare: tuple[str, ...]) -> str:
     differs = " OR ".join(f"n.{c} IS DISTINCT FROM t.{c}" for c in compare)
     same = f"{_equal(p, 'n', 't')} AND n.{p.start} = t.{p.start}"
@@ -268,6 +283,7 @@ def all_oracles() -> dict[str, str]:
         put(f"backfill_inner_{f}", f, rows(f, "inner_state"))
         put(f"backfill_preserve_{f}", f, rows(f, "preserved"))
         put(f"check_rowcount_{f}", f, _row_count("inner_state"))
+        put(f"check_days_{f}", f, _days(_PAIRS[f], "inner_state"))
         put(f"check_verdict_{f}", f, _verdict(_PAIRS[f], "inner_state", "> 1"))
     put("covered_rows_f1", "f1",
         rows("f1", "t") + " WHERE EXISTS (SELECT 1 FROM s WHERE s.id = t.id)")
@@ -322,6 +338,8 @@ UNION ALL SELECT customer_id, MAX(e), CAST(NULL AS DATE) FROM s GROUP BY custome
         "SELECT policy_id, CAST(SUM(active) AS BIGINT) AS active_count FROM t "
         "GROUP BY policy_id HAVING SUM(active) > 1")
     put("check_active_exact_f2", "f2", _active(_F2, "inner_state", "<> 1"))
+    for name, table in (("check_lost_days_f2", "inner_state"), ("check_lost_days_preserve_f2", "preserved")):
+        put(name, "f2", _days(_F2, table) + " WHERE days_lost > 0")
     put("check_verdict_merge_f1", "f1", _verdict(_F1, "merged", "<> 1"))
 
     for f in ("f1", "f3"):
