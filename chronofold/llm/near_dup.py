@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from chronofold.llm.components import components
 from chronofold.llm.shingles import mixed, shingle_sets
-from chronofold.llm.storage import saved
+from chronofold.llm.storage import fresh, saved
 
 WIDTH, SIMILAR, SKETCH, LEAST = 4, 80, 64, 0.55
 #: Rounds that pass on the best partners only, the classes of a chunk of a list, and those of a list that is joined
@@ -239,6 +239,7 @@ def without_near_copies(docs: DataFrame, width: int = WIDTH, similar: int = SIMI
 
     Rows of null doc_id have no place in that order: they are compared with nothing, and every one of them stays.
     """
-    kept = near_duplicates(docs, width, similar).where("kept and doc_id is not null").select(F.col("doc_id").alias("__kept")).distinct()
-    named = docs.join(kept, F.col("doc_id") == F.col("__kept"), "left_semi").dropDuplicates(["doc_id"])
+    name = fresh(docs, "__kept")
+    kept = near_duplicates(docs, width, similar).where("kept and doc_id is not null").select(F.col("doc_id").alias(name)).distinct()
+    named = docs.join(kept, F.col("doc_id") == F.col(name), "left_semi").dropDuplicates(["doc_id"])
     return named.unionByName(docs.where("doc_id is null"))

@@ -166,8 +166,10 @@ def packed_documents(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 def sequences(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """(sequence_id, n_tokens, ids): the packed sequences themselves, as bytes of little-endian 32-bit ids."""
-    keys = ["doc_id", "copy", "piece", "start", "length", "ids_crc32"]
+    keys = ["doc_id", "piece", "start", "length", "ids_crc32"]
     with_ids = saved(pieces(docs, capacity, ids=True))
-    placed = pack(with_ids.drop("ids"), capacity).join(with_ids.withColumnsRenamed({k: f"_{k}" for k in keys}), F.expr(" and ".join(f"{k} <=> _{k}" for k in keys)))
+    # equal pieces of rows that repeat a doc_id have equal ids, whichever row they come from
+    one_each = with_ids.drop("copy").dropDuplicates(keys).withColumnsRenamed({k: f"_{k}" for k in keys})
+    placed = pack(with_ids.drop("ids"), capacity).join(one_each, F.expr(" and ".join(f"{k} <=> _{k}" for k in keys)))
     joined = placed.groupBy("sequence_id").agg(F.array_sort(F.collect_list(F.struct("offset", "ids"))).alias("parts"), F.sum("length").alias("n_tokens"))
     return joined.select("sequence_id", "n_tokens", F.expr("aggregate(parts, cast('' as binary), (a, p) -> concat(a, p.ids))").alias("ids"))

@@ -7,10 +7,11 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 from chronofold.llm import fingerprint, language, mixing, near_dup, packing, pii, token_store, toxicity, url_filter, vptree
-from chronofold.llm.tokens import encoder
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, block string, size int, number int"
@@ -28,6 +29,11 @@ def rows(seed=1, n=40):
     return out
 
 
+def library(vocabulary):
+    """The tokenizer as the library loads it."""
+    return Tokenizer.from_file(public_tokenizers.path(vocabulary))
+
+
 @pytest.fixture(scope="module")
 def docs(shared):
     return shared.createDataFrame(rows(), DOCS).cache()
@@ -42,7 +48,7 @@ def test_store_keeps_every_id(docs, none):
     got = {r.doc_id: r for r in token_store.stored_documents(docs).collect()}
     start = 0
     for doc_id, text in sorted((r[0], r[1]) for r in rows()):
-        ids = [*encoder(token_store.VOCABULARY).tokenizer.encode(text or "", add_special_tokens=False).ids, token_store.END]
+        ids = [*library(token_store.VOCABULARY).encode(text or "", add_special_tokens=False).ids, token_store.END]
         r = got[doc_id]
         assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         start += len(ids)
@@ -207,7 +213,7 @@ def test_near_duplicates(shared, docs, none):
 def test_packing(docs, none, monkeypatch):
     monkeypatch.setattr(packing, "PART", 10)
     got = packing.packed_documents(docs, 256).collect()
-    ids = {r[0]: [*encoder(packing.VOCABULARY).tokenizer.encode(r[1] or "", add_special_tokens=False).ids, packing.END] for r in rows()}
+    ids = {r[0]: [*library(packing.VOCABULARY).encode(r[1] or "", add_special_tokens=False).ids, packing.END] for r in rows()}
     pieces, sequences = defaultdict(list), defaultdict(list)
     for r in got:
         pieces[r.doc_id].append((r.piece, r.start, r.length, r.ids_crc32))
@@ -330,3 +336,20 @@ def test_fingerprints_tell_near_copies_from_related_texts(shared):
         rng.shuffle(words)
     got = [r.near_next for r in fingerprint.fingerprints(shared.createDataFrame(texts, "doc_id long, text string")).where("doc_id % 2 = 0").collect()]
     assert abs(np.mean(got) - 0.8) < 0.02 and np.std(got) < 0.07 and max(got) < 1
+
+
+def test_rows_that_repeat_a_doc_id_are_packed_and_stored_once_each(shared, monkeypatch):
+    texts = [(1, "one two <|endoftext|> three"), (1, "one two <|endoftext|> three"), (None, "a b"), (None, "a b"), (2, None), (1, "other")]
+    frame = shared.createDataFrame(texts, "doc_id long, text string").repartition(6)
+    ids = {t: [*library(packing.VOCABULARY).encode(t or "", add_special_tokens=False).ids, packing.END] for _, t in texts}
+    made = packing.sequences(frame, 8).collect()
+    assert sum(r.n_tokens for r in made) == sum(len(r.ids) // 4 for r in made) == sum(len(ids[t]) for _, t in texts)
+    stored = token_store.stored_documents(frame.where("doc_id is not null")).collect()
+    lengths = [len(library(token_store.VOCABULARY).encode(t or "", add_special_tokens=False).ids) + 1 for i, t in texts if i]
+    assert sorted(r.n_tokens for r in stored) == sorted(lengths)
+
+
+def test_a_table_with_a_column_of_the_operators_own_name(shared):
+    frame = shared.createDataFrame([(1, "a b c d e f", 1), (2, "a b c d e f", 2), (3, "x", 3)], "doc_id long, text string, __kept int")
+    left = near_dup.without_near_copies(frame, 5)
+    assert left.columns == frame.columns and sorted(r.doc_id for r in left.collect()) == [1, 3]

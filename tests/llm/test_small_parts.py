@@ -7,7 +7,9 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 from chronofold.llm import language, mixing, near_dup, packing, range_coder, shingles, tokens, toxicity, vptree
 from chronofold.llm.token_store import joined_crc
@@ -43,10 +45,12 @@ def test_shingle_sets_are_as_those_of_the_words():
 @pytest.mark.parametrize("vocabulary", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_looked_up_words_give_the_ids_of_the_whole_text(vocabulary):
     rng = random.Random(2)
-    bits = ["a", "Word", " ", "  ", "\n", "\t", "é", "́", "'s", "don't", "Ünï", "12", "!?", "。", "漢字", " ", ".", ",", "Σ", "\x1c", "<|endoftext|>", "😀", "z", "İ", "ﬁ", "#", "***"]
+    bits = ["a", "Word", " ", "  ", "\n", "\t", "é", "́", "'s", "don't", "Ünï", "12", "!?", "。", "漢字", " ", ".", ",", "Σ", "\x1c", "<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "😀", "z", "İ", "ﬁ", "#", "***"]
     texts = [None, "", *("".join(rng.choices(bits, k=rng.randint(1, 25))) for _ in range(3000)), "long " * 5000]
     own = tokens.WordEncoder(vocabulary)
-    whole = [e.ids for e in own.tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
+    library = Tokenizer.from_file(public_tokenizers.path(vocabulary))
+    texts += ["hello <|endoftext|> world", "a<|startoftext|>", "<|endoftext|>"]
+    whole = [e.ids for e in library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
     for _ in range(2):
         assert [np.frombuffer(i, dtype="<u4").tolist() for i in own.encode(texts)] == whole
 
