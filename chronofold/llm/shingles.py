@@ -26,6 +26,8 @@ _LOWER[65:91] += 32
 _BYTE_LOWER = _BYTE[_LOWER]
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, *range(9, 14)]] = True
+#: Bytes whose words are hashed at once.
+PIECE = 1 << 20
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -35,18 +37,42 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-def words_of(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and hash of every word in UTF-8 bytes; A-Z count as a-z, white space is 0x20 and 0x09-0x0D."""
+def _piece_end(raw: np.ndarray, at: int) -> int:
+    """Where a piece that begins at ``at`` ends: behind the first white space after ``PIECE`` bytes, or at the end."""
+    for look in range(at + PIECE, len(raw), PIECE):
+        space = _SPACE[raw[look : look + PIECE]]
+        if space.any():
+            return look + int(space.argmax()) + 1
+    return len(raw)
+
+
+def _words_of_piece(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     word = ~_SPACE[raw]
     edge = np.diff(word.astype(np.int8), prepend=0, append=0)
     start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     if not len(start):
         return start, end, np.empty(0, dtype=np.uint64)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE_LOWER[raw] * _powers(_MULTIPLIER, len(raw)), dtype=np.uint64)])
+    sums = np.zeros(len(raw) + 1, dtype=np.uint64)
+    np.cumsum(_BYTE_LOWER[raw] * _powers(_MULTIPLIER, len(raw)), dtype=np.uint64, out=sums[1:])
     hashes = (sums[end] - sums[start]) * _powers(_INVERSE, len(raw))[start]
     return start, end, mixed(hashes + (end - start).astype(np.uint64))
 
 
+def words_of(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and hash of every word in UTF-8 bytes; A-Z count as a-z, white space is 0x20 and 0x09-0x0D.
+
+    Long bytes are taken in pieces of whole words, so the memory for single bytes does not grow with them.
+    """
+    found, at = [], 0
+    while at < len(raw) or not found:
+        to = _piece_end(raw, at)
+        start, end, hashes = _words_of_piece(raw[at:to])
+        found.append((start + at, end + at, hashes))
+        at = to
+    start, end, hashes = (np.concatenate(x) for x in zip(*found, strict=True))
+    return start, end, hashes
+
+
 def shingle_sets(texts: list[bytes | None], width: int) -> list[np.ndarray]:
     """For each text the sorted distinct hashes of its shingles of ``width`` words.
 

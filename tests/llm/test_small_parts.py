@@ -3,11 +3,13 @@
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -179,3 +181,36 @@ def test_large_runs_of_shards_are_drawn_too():
     true = np.sqrt(counts * share * (1 - share) * (1 - counts / counts.sum()))
     assert np.allclose(drawn.mean(axis=0), counts * share, atol=5 * true.max() / 17) and abs(drawn[:, 2].mean() - 250) < 4
     assert np.allclose(drawn.std(axis=0), true, rtol=0.2)
+
+
+def test_long_texts_are_hashed_in_pieces_of_bounded_memory(monkeypatch):
+    rng = np.random.default_rng(5)
+    text = " ".join(f"w{k}" for k in rng.integers(0, 5000, 400_000)).encode() + b"  \n" + b"x" * 9000
+    whole = shingles.shingle_sets([text, b"", None, b"a b"], 4)
+    monkeypatch.setattr(shingles, "PIECE", 1000)
+    for one, other in zip(whole, shingles.shingle_sets([text, b"", None, b"a b"], 4), strict=True):
+        assert np.array_equal(one, other)
+    tracemalloc.start()
+    shingles.words_of(np.frombuffer(text, dtype=np.uint8))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 25 * len(text)
+
+
+def test_sets_come_in_slices_of_bounded_bytes(monkeypatch):
+    monkeypatch.setattr(near_dup, "_BYTES", 100)
+    texts = [None, "", "ein zwei drei", "x " * 400, *["some words of a text"] * 30, "ä ö"]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    got = list(near_dup._sets(iter([batch]), 4))
+    assert len(got) > 5 and [i for ids, _ in got for i in ids.to_pylist()] == list(range(len(texts)))
+    want = shingles.shingle_sets([None if t is None else t.encode() for t in texts], 4)
+    assert all(np.array_equal(x, y) for x, y in zip(want, [s for _, sets in got for s in sets], strict=True))
+    assert not list(near_dup._sets(iter([batch.slice(0, 0)]), 4))
+
+
+def test_shared_values_are_counted_in_blocks(monkeypatch):
+    monkeypatch.setattr(near_dup, "_VALUES", 3)
+    rng = np.random.default_rng(6)
+    one, other = ([np.unique(rng.integers(-20, 20, n)) for n in sizes] for sizes in ((0, 5, 9), (7, 0, 12, 30)))
+    got = near_dup._held_by_both(one, other)
+    assert got.tolist() == [[len(set(x.tolist()) & set(y.tolist())) for y in other] for x in one]
