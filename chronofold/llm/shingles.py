@@ -87,7 +87,7 @@ def shingle_sets(texts: list[bytes | None], width: int) -> list[np.ndarray]:
     grams = np.zeros(len(words), dtype=np.uint64)
     for k in range(width):  # grams[i]: the words i .. i + width - 1
         shifted = np.zeros(len(words), dtype=np.uint64)
-        shifted[: len(words) - k] = words[k:]
+        shifted[: max(len(words) - k, 0)] = words[k:]
         grams = mixed(grams * np.uint64(_MULTIPLIER) + shifted)
     out = []
     for at, to in zip(cuts[:-1], cuts[1:], strict=True):
