@@ -1,8 +1,8 @@
 """Nearest neighbours by cosine with one vantage-point tree per shard.
 
 On vectors of length 1 the Euclidean distance orders like the cosine and obeys the triangle inequality. Vectors are
-dealt into shards of about ``SHARD`` by a hash of their id; each shard's tree splits at the median distance from a
-vantage point down to leaves of ``LEAF``. Queries go through a tree in blocks of ``QUERIES``, each visiting the nearer
+dealt into shards of about ``SHARD`` by a hash of their id; each shard's tree splits at the median distance from the
+vantage point that spreads distances most, down to leaves of ``LEAF``; rows of like distance are split by number. Queries go through a tree in blocks of ``QUERIES``, each visiting the nearer
 side first; the other side is left out for the queries whose best distance so far, times ``factor``, does not reach
 the border. Factor 1 is exact, a smaller one leaves out more. Rounding may order vectors of like distance otherwise
 than their scores do, so a shard's candidates are all vectors within the rounding of its k-th distance, however many
@@ -26,7 +26,9 @@ from pyspark.sql import functions as F
 
 from chronofold.llm.storage import saved
 
-SHARD, LEAF, QUERIES, NEAREST, EVERY = 8192, 64, 512, 5, 50
+SHARD, LEAF, QUERIES, NEAREST, EVERY = 8192, 64, 4096, 5, 50
+#: Vantage points that a node tries, and rows to which it measures them.
+TRIED, SEEN = 8, 128
 #: 1 is exact. The small tables search exactly; on them recall is 1.
 FACTOR = 1.0
 
@@ -39,21 +41,33 @@ class VantagePointTree:
         #: A cosine is off by (dimensions + 4) last bits at most; a distance by the root of twice that, and up to three of them meet.
         self.rounding = 5 * math.sqrt((vectors.shape[1] + 4) * np.finfo(np.float64).eps)
         self.nodes: list[tuple] = []
-        self.root = self._build(np.arange(len(ids)))
-
-    def _build(self, rows: np.ndarray) -> int:
-        at = len(self.nodes)
-        self.nodes.append(())
-        if len(rows) > self.leaf:
-            point = self.vectors[rows[len(rows) // 2]]
+        self._build(np.arange(len(ids)))
+
+    def _build(self, rows: np.ndarray) -> None:
+        """Nodes (point, border, number of the inner node, of the outer one) and leaves (rows,); the root is number 0.
+
+        Rows that all lie at the border are split by their number: no more than half of a node's rows go to either side,
+        so a tree over any vectors is log2(rows) deep. Inside lie distances up to the border, outside those from it on.
+        """
+        self.nodes.append((rows,))
+        open_nodes = [0]
+        while open_nodes:
+            at = open_nodes.pop()
+            rows = self.nodes[at][0]
+            if len(rows) <= self.leaf:
+                continue
+            point = self._vantage_point(rows)
             away = _distance(self.vectors[rows] @ point)
-            border = float(np.median(away))
-            inside = away < border
-            if inside.any() and not inside.all():
-                self.nodes[at] = (point, border, self._build(rows[inside]), self._build(rows[~inside]))
-                return at
-        self.nodes[at] = (rows,)
-        return at
+            order, half = np.argsort(away, kind="stable"), len(rows) // 2
+            inside, outside = len(self.nodes), len(self.nodes) + 1
+            self.nodes[at] = (point, float(away[order[half]]), inside, outside)
+            self.nodes += [(rows[np.sort(order[:half])],), (rows[np.sort(order[half:])],)]
+            open_nodes += [inside, outside]
+
+    def _vantage_point(self, rows: np.ndarray) -> np.ndarray:
+        """Of a few rows the one whose distances to a few others spread most."""
+        tried, seen = (self.vectors[rows[np.linspace(0, len(rows) - 1, min(n, len(rows))).astype(int)]] for n in (TRIED, SEEN))
+        return tried[_distance(tried @ seen.T).std(axis=1).argmax()]
 
     def search(self, queries: np.ndarray, own: np.ndarray, k: int, factor: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
         """Row numbers and distances of the k nearest of each query, without those of its own id; -1 where there are fewer."""
@@ -71,7 +85,7 @@ class VantagePointTree:
         found = np.full((len(queries), k), -1, dtype=np.int64)
         away = np.full((len(queries), k), np.inf)
         near: list[tuple] = []
-        self._visit(self.root, np.arange(len(queries)), queries, own, found, away, near, factor)
+        self._visit(0, np.arange(len(queries)), queries, own, found, away, near, factor)
         return found, away, near
 
     def _visit(self, node: int, active: np.ndarray, queries: np.ndarray, own: np.ndarray, found: np.ndarray, away: np.ndarray, near: list[tuple], factor: float) -> None:
@@ -115,18 +129,28 @@ def _matrix(rows: pd.Series) -> np.ndarray:
     return np.stack(rows.to_numpy()).astype(np.float64)
 
 
+def _scaled(matrix: np.ndarray) -> np.ndarray:
+    """Rows times a power of two where their greatest component is far from 1."""
+    exponent = np.frexp(np.abs(matrix).max(axis=1, keepdims=True))[1]
+    return np.ldexp(matrix, np.where(np.abs(exponent) > 100, -exponent, 0))
+
+
 def _unit(matrix: np.ndarray) -> np.ndarray:
-    scaled = matrix / np.abs(matrix).max(axis=1, keepdims=True)
+    scaled = _scaled(matrix)
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
 def _scores(queries: np.ndarray, vectors: np.ndarray, at: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """The cosine of each pair; a row's sum does not hang on its place, so equal vectors have equal scores."""
+    """The cosine of each pair; a row's sum does not hang on its place, so equal vectors have equal scores.
+
+    Vectors whose squares might overflow or vanish are scaled first, by a power of two, so that no cosine changes by it.
+    """
 
     def dot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return (a * b).sum(axis=1)
 
     out, some = np.empty(len(at)), max(1, (1 << 21) // vectors.shape[1])
+    queries, vectors = _scaled(queries), _scaled(vectors)
     one, other = np.sqrt(dot(queries, queries)), np.sqrt(dot(vectors, vectors))
     for k in range(0, len(at), some):
         i, j = at[k : k + some], rows[k : k + some]

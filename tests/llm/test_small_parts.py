@@ -214,3 +214,39 @@ def test_shared_values_are_counted_in_blocks(monkeypatch):
     one, other = ([np.unique(rng.integers(-20, 20, n)) for n in sizes] for sizes in ((0, 5, 9), (7, 0, 12, 30)))
     got = near_dup._held_by_both(one, other)
     assert got.tolist() == [[len(set(x.tolist()) & set(y.tolist())) for y in other] for x in one]
+
+
+def test_trees_over_like_distances_stay_shallow():
+    for originals in (np.eye(1400), np.ones((3000, 4)), np.repeat(np.eye(3), 700, axis=0)):
+        tree = vptree.VantagePointTree(vptree._unit(originals), np.arange(len(originals)), leaf=8)
+        assert len(tree.nodes) < len(originals)
+        queries = np.arange(0, len(originals), 199)
+        at, rows = tree.candidates(vptree._unit(originals[queries]), queries, 5)
+        score = vptree._scores(originals[queries], originals, at, rows)
+        for k, q in enumerate(queries):
+            cosine = vptree._unit(originals) @ vptree._unit(originals[[q]])[0]
+            cosine[q] = -2
+            want = np.lexsort((np.arange(len(cosine)), -cosine.round(12)))[:5]
+            mine = at == k
+            assert rows[mine][np.lexsort((rows[mine], -score[mine].round(12)))[:5]].tolist() == want.tolist()
+
+
+def test_cosines_of_tiny_and_huge_vectors():
+    ones, mixed = np.ones(4), np.array([3.0, -1.0, 0.0, 2.0])
+    for low, high in ((1e-200, 1e200), (5e-324, 1e308), (1e-160, 1e155)):
+        vectors = np.array([ones, ones * low, ones * high, mixed * 1e-150, mixed * 1e150])
+        at, rows = (x.ravel() for x in np.indices((5, 5)))
+        unit = np.array([ones, ones, ones, mixed, mixed])
+        assert np.allclose(vptree._scores(vectors, vectors, at, rows), vptree._scores(unit, unit, at, rows), rtol=1e-12)
+
+
+def test_a_smaller_factor_leaves_out_more():
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(40, 12))
+    vectors = vptree._unit(np.repeat(centres, 50, axis=0) + 0.2 * rng.normal(size=(2000, 12)))
+    tree, ids = vptree.VantagePointTree(vectors, np.arange(2000), leaf=16), np.arange(2000)
+    exact, found = tree.search(vectors[::20], ids[::20], 5)[0], {}
+    for factor in (1.0, 0.5, 0.2):
+        rows = tree.search(vectors[::20], ids[::20], 5, factor)[0]
+        found[factor] = np.mean([len(set(a) & set(b)) / 5 for a, b in zip(exact.tolist(), rows.tolist(), strict=True)])
+    assert found[1.0] == 1 and found[0.5] >= 0.9 and found[0.2] <= found[0.5]
