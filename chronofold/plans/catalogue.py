@@ -17,7 +17,8 @@ from chronofold.operators.membership import not_in
 from chronofold.operators.overlap import expand_history, overlap_pairs, overlap_rows
 from chronofold.plans.jobs import LOST_DAYS, ValidationFailed, run_merge, run_overwrite
 from chronofold.plans.pairs import NOT_IN_CASES, PAIRS
-from chronofold.plans.sql_form import backfill_sql, insert_overwrite_sql
+from chronofold.plans.sql_form import (backfill_sql, insert_overwrite_sql, merge_sql,
+                                       run_overwrite_script)
 from chronofold.session import work_folder
 from chronofold.sinks.publish import RunStore, colocated, write_partitions
 from chronofold.sinks.touched import merge_touched
@@ -80,7 +81,11 @@ def _sql_form(spark: SparkSession, sf_dir: str) -> DataFrame:
                         spec)
 
 
-def _sql_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _sql_merge(target, source, spec, stale=True):
+    return merge_sql(_left(target, source, spec), target, spec, stale)
+
+
+def _sql_insert(spark: SparkSession, sf_dir: str, insert=insert_overwrite_sql) -> DataFrame:
     """Write target and source as tables, then INSERT OVERWRITE a third one from them."""
     pair, folder = PAIRS["f3"], work_folder(spark)
     names = {role: f"chronofold_{role}_{uuid.uuid4().hex}" for role in ("tgt", "src", "out")}
@@ -90,7 +95,7 @@ def _sql_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     try:
         for role, name in names.items():
             spark.catalog.createTable(name, path=f"{folder}/{role}", source="parquet")
-        insert_overwrite_sql(spark, names["out"], names["tgt"], names["src"], pair.spec)
+        insert(spark, names["out"], names["tgt"], names["src"], pair.spec)
     finally:
         for name in names.values():
             spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:t)", args={"t": name})
@@ -278,6 +283,7 @@ def all_queries() -> dict[str, Query]:
 
     q["backfill_sql_f1"] = _sql_form
     q["insert_overwrite_f3"] = _sql_insert
+    q["overwrite_script_f3"] = partial(_sql_insert, insert=run_overwrite_script)
     for strategy in ("plain", "broadcast", "salted"):
         q[f"backfill_{strategy}_f1"] = _on("f1", _expanded("inner", strategy=strategy))
     q["backfill_salted_preserve_f3"] = _on("f3", _expanded("preserve", strategy="salted",
@@ -300,6 +306,8 @@ def all_queries() -> dict[str, Query]:
     q["cdc_classify_strict_f1"] = _on("f1", partial(_classified, with_end=True))
     q["cdc_counts_f1"] = _on("f1", lambda *a: change.action_counts(_classified(*a)))
     q["merge_state_f1"] = _on("f1", _merged)
+    q["merge_sql_f1"] = _on("f1", _sql_merge)
+    q["merge_sql_backfill_f1"] = _on("f1", partial(_sql_merge, stale=False))
     q["stale_parents_f1"] = _on(
         "f1", lambda t, s, spec: change.stale_parents(t, _left(t, s, spec), spec))
     q["delete_stale_f1"] = _on("f1", lambda t, s, spec: change.without_stale_parents(

@@ -300,6 +300,7 @@ UNION ALL SELECT customer_id, MAX(e), CAST(NULL AS DATE) FROM s GROUP BY custome
                  "job_overwrite_inner_f1", "colocated_rewrite_f1", "compacted_files_f1"):
         put(name, "f1", rows("f1", "inner_state"))
     put("insert_overwrite_f3", "f3", rows("f3", "inner_state"))
+    put("overwrite_script_f3", "f3", rows("f3", "inner_state"))
     put("job_overwrite_preserve_f3", "f3", rows("f3", "preserved"))
     put("job_merge_f1", "f1", rows("f1", "merge_kept"))
     put("job_refused_f1", "f1", rows("f1", "t"))
@@ -320,6 +321,8 @@ UNION ALL SELECT customer_id, MAX(e), CAST(NULL AS DATE) FROM s GROUP BY custome
     put("cdc_counts_f1", "f1", "SELECT cdc_action, COUNT(*) AS row_count FROM ("
         + _classified(_F1, new) + ") GROUP BY cdc_action")
     put("merge_state_f1", "f1", rows("f1", "merged"))
+    put("merge_sql_f1", "f1", rows("f1", "merged"))
+    put("merge_sql_backfill_f1", "f1", rows("f1", "merge_kept"))
     put("stale_parents_f1", "f1", rows("f1", "stale"))
     put("delete_stale_f1", "f1", rows("f1", "merge_kept"))
     put("merge_backfill_f1", "f1", rows("f1", "merge_kept"))
