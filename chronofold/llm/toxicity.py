@@ -1,40 +1,44 @@
 """Toxicity by the nearest labelled examples, found exactly with a block-max inverted index.
 
 Words are the runs of characters that are left when ASCII punctuation and white space are taken for blanks and letters
-are lower-cased. Up to ``EXAMPLES`` labelled rows outside fold ``HELD_OUT``, chosen by a hash, are the examples; this
-bounds the model, not the texts it scores. The index keeps the words, and the stems of words, that tell of toxic
-rows there (``ODDS``, ``SURE``), weighted by (1 + ln tf) x ln(examples / df); examples are vectors of length 1 over these words.
+are lower-cased; the first ``STEM`` letters of a longer word are a term as well. Up to ``EXAMPLES`` labelled rows outside
+fold ``HELD_OUT``, in the order of a hash, are the examples, as long as their distinct terms add up to ``TERMS`` at most;
+both bound the model, not the texts it scores. All their terms are indexed, whatever label they lean to.
 
-Each indexed word has postings by block of ``BLOCK`` examples and the greatest weight in each block. A text's blocks
-are visited in falling order of the bound that those give to the cosine; the search ends when the bound falls below the
-``NEAREST``-th best cosine found, so the neighbours are exact. They vote with their cosine; ``SHRINK`` votes of the
-examples' share of toxic rows calibrate the score. A text without indexed words, an empty or a null one among them, has
-no neighbours and that share as its score. Ties go to the smaller doc_id.
+A term weighs (1 + ln tf) x ln(1 + N / df) x log2(2 + k / max(1, m)): N documents and df of them with the term, counted
+over all documents, and the relevance frequency of k toxic and m other examples with it, which lets the few words that
+tell outweigh some hundred others of a text. Examples and texts are vectors of length 1 over the terms of the examples.
+
+A term's postings lie by block of ``BLOCK`` examples, each with its greatest weight. A text's blocks are visited in
+falling order of the bound that those give to the cosine; the search ends when the bound falls below the ``NEAREST``-th
+best cosine found, so the neighbours are exact. They vote with their cosine; ``SHRINK`` votes of the examples' share of
+toxic rows calibrate the score. A text without known terms, an empty or a null one among them, has no neighbours and
+that share as its score. Ties go to the smaller doc_id.
 
 Labels: a doc_id that is labelled more than once is toxic if one label says so; a null label is none. Without any
-labels every score is 0.
+labels every score is 0. Rows of `documents` that repeat a doc_id and a text are one example, other texts of that doc_id
+further ones.
 """
 
 from __future__ import annotations
 
 import math
 import string
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from chronofold.llm.storage import fold_of, saved
 
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.3
-EXAMPLES, VOCABULARY, BLOCK, NEAREST, SHRINK = 16_000, 20_000, 64, 15, 0.5
-#: A term is indexed if the odds of a toxic label are so many times as great in rows that hold it as in all. The excess
-#: in deviations must be above ``SURE`` times sqrt(2 ln terms), which chance hardly reaches in any of so many terms.
-ODDS, SURE, STEM = 2.0, 1.2, 4
+EXAMPLES, TERMS, BLOCK, NEAREST, SHRINK, STEM = 4_000, 6_000_000, 64, 15, 0.5, 4
+#: Blocks that are visited before the bounds are looked at again; doubled each time.
+_FIRST_BLOCKS = 4
 RESULT = StructType([StructField("score", DoubleType()), StructField("evidence", StringType())])
 _BLANKS = bytes(32 if chr(b) in string.punctuation else b for b in range(256))
 
@@ -46,99 +50,105 @@ def _words(text: str | None) -> list[str]:
 def terms(text: str | None) -> Counter:
     """Occurrences of the words and of the stems (first ``STEM`` letters and a star) of the longer ones."""
     counts = Counter(_words(text))
-    stems: Counter = Counter()
+    stems: dict[str, int] = {}
     for word, n in counts.items():
         if len(word) > STEM:
-            stems[word[:STEM] + "*"] += n
+            stem = word[:STEM] + "*"
+            stems[stem] = stems.get(stem, 0) + n
     counts.update(stems)
     return counts
 
 
+def relevance(toxic: np.ndarray, examples: np.ndarray) -> np.ndarray:
+    """The factor of terms that so many toxic examples and so many examples in all hold."""
+    return np.log2(2 + toxic / np.maximum(1, examples - toxic))
+
+
+def _spans(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The numbers from each low up to its high, end to end."""
+    n = high - low
+    return np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
 class NearestExamples:
-    """The examples' index. rows: (doc_id, toxic, counts of indexed words); idf: of the indexed words; share: of toxic ones."""
+    """The examples' index. rows: (doc_id, toxic, counts of terms); weights: of the terms; share: of toxic examples."""
 
-    def __init__(self, rows: list[tuple[int, int, dict[str, int]]], idf: dict[str, float], share: float):
+    def __init__(self, rows: list[tuple[int, int, dict[str, int]]], weights: dict[str, float], share: float):
+        self.share, names = share, sorted(weights)
+        self.row = {w: k for k, w in enumerate(names)}
+        self.weights = np.array([weights[w] for w in names], dtype=np.float64)
         rows = sorted(rows, key=lambda r: (r[0], r[1], sorted(r[2].items())))
-        self.idf, self.share = idf, share
-        self.stems = {w[:-1] for w in idf if w.endswith("*")}
-        vectors = [(i, label, v) for i, label, counts in rows if (v := self._vector(counts))]
+        vectors = [(i, label, *v) for i, label, counts in rows if len((v := self._known(counts))[0])]
         self.ids = np.array([v[0] for v in vectors], dtype=np.int64)
         self.labels = np.array([v[1] for v in vectors], dtype=np.float64)
-        postings: dict[str, list[tuple[int, float]]] = defaultdict(list)
-        for at, (_, _, vector) in enumerate(vectors):
-            for w, x in vector.items():
-                postings[w].append((at, x))
         self.blocks = -(-len(vectors) // BLOCK)
-        self.row = {w: k for k, w in enumerate(sorted(postings))}
-        self.most = np.zeros((len(postings), self.blocks))
-        self.postings: list[dict[int, tuple[np.ndarray, np.ndarray]]] = []
-        for w in sorted(postings):
-            at, x = np.array([q[0] for q in postings[w]]), np.array([q[1] for q in postings[w]])
-            cuts = {int(b): slice(lo, hi) for b, lo, hi in zip(*_runs(at // BLOCK), strict=True)}
-            self.postings.append({b: (at[s] % BLOCK, x[s]) for b, s in cuts.items()})
-            for b, s in cuts.items():
-                self.most[self.row[w], b] = x[s].max()
-        self.scored: dict[tuple, tuple[float, str]] = {}
-
-    def _vector(self, counts: Counter) -> dict[str, float]:
-        weights = {w: (1 + math.log(c)) * self.idf[w] for w, c in counts.items() if w in self.idf}
-        norm = math.sqrt(sum(x * x for x in weights.values()))
-        return {w: weights[w] / norm for w in sorted(weights)} if norm else {}
-
-    def _indexed(self, text: str | None) -> dict[str, int]:
-        """As ``terms``, but of the indexed ones alone."""
-        found = _words(text)
-        distinct = set(found)
-        held = distinct & self.idf.keys()
-        stems = {w[:STEM] for w in distinct if len(w) > STEM} & self.stems
-        if not held and not stems:
-            return {}
-        counts = Counter(w for w in found if w in held or w[:STEM] in stems)
-        out = {w: counts[w] for w in held}
-        for w, n in counts.items():
-            if len(w) > STEM and w[:STEM] in stems:
-                out[w[:STEM] + "*"] = out.get(w[:STEM] + "*", 0) + n
-        return out
-
-    def nearest(self, vector: dict[str, float]) -> list[tuple[float, int]]:
+        term = np.concatenate([np.empty(0, np.int32), *(v[2] for v in vectors)]).astype(np.int32)
+        example = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(v[2]) for v in vectors])
+        order = np.argsort(term, kind="stable")
+        term, self.example = term[order], example[order]
+        self.weight = np.concatenate([np.empty(0), *(v[3] for v in vectors)])[order]
+        # runs of postings of one term and one block
+        new = np.diff(term, prepend=-1).astype(bool) | np.diff(self.example // BLOCK, prepend=-1).astype(bool)
+        starts = np.flatnonzero(new)
+        self.run = np.append(starts, len(term))
+        self.run_block = self.example[starts] // BLOCK
+        self.most = np.maximum.reduceat(self.weight, starts) if len(starts) else np.empty(0)
+        self.runs_of = np.searchsorted(term[starts], np.arange(len(names) + 1))
+
+    def _known(self, counts: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the terms that the index knows, rising, and their weights in a vector of length 1."""
+        known = sorted((self.row[w], c) for w, c in counts.items() if w in self.row)
+        at = np.array([k for k, _ in known], dtype=np.int64)
+        x = (1 + np.log(np.array([c for _, c in known], dtype=np.float64))) * self.weights[at]
+        norm = math.sqrt(float(x @ x))
+        return (at, x / norm) if norm else (at[:0], x[:0])
+
+    def nearest(self, counts: dict[str, int]) -> list[tuple[float, int]]:
         """(cosine, example) of the nearest, best first."""
-        known = [(self.row[w], x) for w, x in vector.items() if w in self.row]
-        if not known:
-            return []
-        bound = np.array([x for _, x in known]) @ self.most[[k for k, _ in known]]
-        found: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or (len(found) == NEAREST and bound[b] < found[-1][0] - 1e-12):
+        at, x = self._known(counts)
+        low, high = self.runs_of[at], self.runs_of[at + 1]
+        runs, x = _spans(low, high), np.repeat(x, high - low)
+        block = self.run_block[runs]
+        bound = np.bincount(block, x * self.most[runs], minlength=self.blocks)
+        order = np.argsort(-bound, kind="stable")
+        best, best_at = np.empty(0), np.empty(0, dtype=np.int64)
+        first, many = 0, _FIRST_BLOCKS
+        while first < len(order):
+            some = order[first : first + many]
+            least = best[-1] - 1e-12 if len(best) == NEAREST else 0.0
+            some = some[(bound[some] > 0) & (bound[some] >= least)]
+            if not len(some):
                 break
-            cosine = np.zeros(BLOCK)
-            for k, x in known:
-                if b in self.postings[k]:
-                    at, weight = self.postings[k][b]
-                    cosine[at] += x * weight
-            some = np.flatnonzero(cosine)
-            found = sorted([*found, *zip(cosine[some].tolist(), (some + b * BLOCK).tolist(), strict=True)], key=lambda f: (-f[0], f[1]))[:NEAREST]
-        return found
+            visited = np.zeros(self.blocks, dtype=bool)
+            visited[some] = True
+            here = visited[block]
+            low, high = self.run[runs[here]], self.run[runs[here] + 1]
+            places = _spans(low, high)
+            cosine = np.bincount(self.example[places], self.weight[places] * np.repeat(x[here], high - low), minlength=len(self.ids))
+            found = np.flatnonzero(cosine)
+            value, found = np.append(best, cosine[found]), np.append(best_at, found)
+            if len(value) > NEAREST:
+                enough = value >= np.partition(value, -NEAREST)[-NEAREST]
+                value, found = value[enough], found[enough]
+            ranked = np.lexsort((found, -value))[:NEAREST]
+            best, best_at = value[ranked], found[ranked]
+            first, many = first + many, 2 * many
+        return list(zip(best.tolist(), best_at.tolist(), strict=True))
 
     def score(self, text: str | None) -> tuple[float, str]:
         """The calibrated vote and the neighbours behind it, as doc_id:cosine."""
-        counts = self._indexed(text)
-        key = tuple(sorted(counts.items()))
-        if key not in self.scored:
-            if len(self.scored) > 100_000:
-                self.scored.clear()
-            found = self.nearest(self._vector(counts))
-            vote, weight = sum(c * self.labels[i] for c, i in found), sum(c for c, _ in found)
-            self.scored[key] = ((vote + SHRINK * self.share) / (weight + SHRINK), ",".join(f"{self.ids[i]}:{c:.3f}" for c, i in found[:3]))
-        return self.scored[key]
+        found = self.nearest(terms(text))
+        vote, weight = sum(c * self.labels[i] for c, i in found), sum(c for c, _ in found)
+        score = float(vote + SHRINK * self.share) / (weight + SHRINK)
+        return min(max(score, 0.0), 1.0), ",".join(f"{self.ids[i]}:{c:.3f}" for c, i in found[:3])
 
 
-def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    starts = np.flatnonzero(np.diff(values, prepend=-1))
-    return values[starts], starts, np.append(starts[1:], len(values))
+def _texts(column: pd.Series) -> list[str | None]:
+    return column.where(column.notna(), None).tolist()
 
 
-def learnt(docs: DataFrame, labels: DataFrame) -> NearestExamples:
-    """The index over at most ``EXAMPLES`` labelled rows and ``VOCABULARY`` words, which bound what reaches the driver."""
+def examples(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, toxic, words and counts of the example rows, which ``EXAMPLES`` and ``TERMS`` bound."""
     usable = labels.where((fold_of(F.col("doc_id"), FOLDS) != HELD_OUT) & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
     chosen = usable.groupBy("doc_id").agg(F.max(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("toxic"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(EXAMPLES).collect()
@@ -146,30 +156,56 @@ def learnt(docs: DataFrame, labels: DataFrame) -> NearestExamples:
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [sorted(terms(None if t is None or t != t else t).items()) for t in batch["text"]]
+            rows = [sorted(terms(t).items()) for t in _texts(batch["text"])]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "toxic": batch["toxic"], "words": [[w for w, _ in r] for r in rows], "counts": [[c for _, c in r] for r in rows]})
 
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    rows = saved(rows.mapInPandas(counted, "doc_id long, toxic int, words array<string>, counts array<int>"))
-    n, toxic = rows.agg(F.count(F.lit(1)), F.sum("toxic")).first()
-    if not n or not 0 < toxic < n:
-        return NearestExamples([], {}, (toxic or 0) / max(n, 1))
-    p = toxic / n
-    words_of = rows.select("toxic", F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("df"), F.sum("toxic").alias("k"))
-    sure = (F.col("k") - p * F.col("df")) / F.sqrt(p * (1 - p) * F.col("df"))
-    words_of = saved(words_of.where("df > 1"))
-    least = SURE * math.sqrt(2 * math.log(max(words_of.count(), 2)))
-    indexed = words_of.where((F.col("df") < n) & (sure >= least) & (F.col("k") * (1 - p) >= ODDS * p * (F.col("df") - F.col("k")))).orderBy(sure.desc(), "word").limit(VOCABULARY)
-    idf = {r.word: math.log(n / r.df) for r in indexed.collect()}
-
-    def of_index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id", "text"])
+    rows = rows.mapInPandas(counted, "doc_id long, toxic int, words array<string>, counts array<int>")
+    rows = saved(rows.withColumn("copy", F.xxhash64("words", "counts")))
+    order = [F.xxhash64("doc_id"), "doc_id", "copy"]
+    # one narrow row an example, so the running total fits one task
+    first = rows.select("doc_id", "copy", F.size("words").alias("n")).orderBy(*order).limit(EXAMPLES)
+    first = first.withColumn("upto", F.sum("n").over(Window.orderBy(*order))).where(F.col("upto") <= TERMS)
+    return rows.join(F.broadcast(first.select("doc_id", "copy").distinct()), ["doc_id", "copy"], "left_semi").drop("copy")
+
+
+def document_frequencies(docs: DataFrame, number: dict[str, int]) -> DataFrame:
+    """(term, df): how many documents hold each of the numbered terms; term -1 stands for documents with any words."""
+    known = docs.sparkSession.sparkContext.broadcast(number)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, some = Counter(), 0
         for batch in batches:
-            kept = [{w: int(c) for w, c in zip(ws, cs, strict=True) if w in idf} for ws, cs in zip(batch["words"], batch["counts"], strict=True)]
-            some = [bool(k) for k in kept]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "toxic": batch["toxic"], "words": [list(k) for k in kept], "counts": [list(k.values()) for k in kept]})[some]
+            for text in _texts(batch["text"]):
+                words = set(_words(text))
+                some += bool(words)
+                words.update([w[:STEM] + "*" for w in words if len(w) > STEM])
+                held.update(words & known.value.keys())
+        yield pd.DataFrame({"term": [-1, *(known.value[w] for w in held)], "df": [some, *held.values()]})
 
-    found = rows.mapInPandas(of_index, rows.schema).collect()
-    return NearestExamples([(r.doc_id, r.toxic, dict(zip(r.words, r.counts, strict=True))) for r in found], idf, p)
+    return docs.select("text").mapInPandas(count, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
+
+
+def learnt(docs: DataFrame, labels: DataFrame) -> NearestExamples:
+    """The index over the examples; what reaches the driver is bounded as they are."""
+    found = saved(examples(docs, labels)).toArrow()
+    toxic = np.array(found["toxic"].to_pylist(), dtype=np.int64)
+    if not len(toxic):
+        return NearestExamples([], {}, 0.0)
+    coded = found["words"].combine_chunks().flatten().dictionary_encode()
+    names, term = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
+    counts = found["counts"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    sizes = np.array([len(w) for w in found["words"]], dtype=np.int64)
+    of_toxic = np.repeat(toxic, sizes)
+    held, held_toxic = np.bincount(term, minlength=len(names)), np.bincount(term, of_toxic, minlength=len(names))
+    over_all = document_frequencies(docs, {w: k for k, w in enumerate(names)}).toArrow()
+    df = np.ones(len(names) + 1)
+    df[over_all["term"].to_numpy()] = over_all["df"].to_numpy()  # the last place takes term -1
+    weights = np.log(1 + df[-1] / df[:-1]) * relevance(held_toxic, held)
+    ends = np.cumsum(sizes)
+    rows = [(i, t, dict(zip([names[k] for k in term[e - n : e].tolist()], counts[e - n : e].tolist(), strict=True)))
+            for i, t, e, n in zip(found["doc_id"].to_pylist(), toxic.tolist(), ends.tolist(), sizes.tolist(), strict=True)]
+    return NearestExamples(rows, dict(zip(names, weights.tolist(), strict=True)), float(toxic.mean()))
 
 
 def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -178,7 +214,7 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame([index.value.score(None if t is None or t != t else t) for t in batch], columns=["score", "evidence"])
+            yield pd.DataFrame([index.value.score(t) for t in _texts(batch)], columns=["score", "evidence"])
 
     found = F.pandas_udf(score, RESULT)("text").alias("found")
     rows = docs.select("doc_id", (fold_of(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"), found)

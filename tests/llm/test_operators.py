@@ -1,6 +1,7 @@
 """The operators on small tables: odd rows of every kind, and brute force."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -93,6 +94,41 @@ def test_toxic_words_are_found_on_held_out_rows(shared):
     assert all(r.predicted == int(r.doc_id % 7 == 0) for r in got)
 
 
+def test_toxicity_equals_brute_force_cosines_over_all_terms(shared):
+    """Two topics, half of the labels toxic: scores are those of plain cosines over every term, and a text like clean examples is clean."""
+    rng = random.Random(8)
+    topics = [[f"{t}{i:02d}word" for i in range(60)] for t in "ab"]
+    texts = [(k, " ".join(rng.choices(topics[k % 2], k=25))) for k in range(300)] + [(8, topics[0][0]), (8, topics[0][0]), (900, "unheard"), (901, "")]
+    texts += [(902, "  ".join(texts[4][1].upper().split()))]
+    labels = [(k, k % 2) for k in range(300)] + [(6, None), (None, 1)]
+    docs = shared.createDataFrame(texts, "doc_id long, text string")
+    got = toxicity.scores(docs, shared.createDataFrame(labels, "doc_id long, toxic int")).collect()
+    counted = [toxicity.terms(t) for _, t in texts]
+    n, df = sum(bool(c) for c in counted), Counter(w for c in counted for w in c)
+    known = dict(label for label in labels if None not in label)
+    found = sorted({(i, t) for i, t in texts if i in known and zlib.crc32(str(i).encode()) % 4 != 2})
+    rows = [(known[i], toxicity.terms(t)) for i, t in found]
+    held, bad = Counter(w for _, c in rows for w in c), Counter(w for y, c in rows if y for w in c)
+    weight = {w: math.log(1 + n / df[w]) * math.log2(2 + bad[w] / max(1, held[w] - bad[w])) for w in held}
+
+    def vector(counts):
+        v = {w: (1 + math.log(c)) * weight[w] for w, c in counts.items() if w in weight}
+        return {w: x / math.sqrt(sum(y * y for y in v.values())) for w, x in v.items()}
+
+    vectors, share = [(y, vector(c)) for y, c in rows], sum(y for y, _ in rows) / len(rows)
+    true = []
+    for (i, _), counts in zip(texts, counted, strict=True):
+        query = vector(counts)
+        near = sorted(((sum(x * v.get(w, 0) for w, x in query.items()), y) for y, v in vectors), key=lambda c: -c[0])[: toxicity.NEAREST]
+        near = [c for c in near if c[0] > 0]
+        true.append((i, (sum(c * y for c, y in near) + toxicity.SHRINK * share) / (sum(c for c, _ in near) + toxicity.SHRINK)))
+    assert len(found) > 200 and len(got) == len(texts)
+    assert np.allclose([s for _, s in sorted(true)], [r.score for r in sorted(got, key=lambda r: (r.doc_id, r.score))], atol=1e-9)
+    by_id = {r.doc_id: r for r in got}
+    assert all(r.predicted == r.doc_id % 2 for r in got if r.held_out and r.doc_id < 300)
+    assert by_id[902].predicted == 0 and by_id[900].score == by_id[901].score == share
+
+
 BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 

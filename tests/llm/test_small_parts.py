@@ -107,11 +107,17 @@ def test_neighbours_by_block_bounds_are_exact():
     rows = [(i, rng.randint(0, 1), dict(Counter(rng.choices(words, k=rng.randint(1, 6))))) for i in range(900)]
     idf = {w: rng.uniform(0.5, 3) for w in words}
     index = toxicity.NearestExamples(rows, idf, 0.5)
-    vectors = [index._vector(r[2]) for r in rows]
+
+    def vector(counts):
+        weights = {w: (1 + math.log(c)) * idf[w] for w, c in counts.items()}
+        return {w: x / math.sqrt(sum(y * y for y in weights.values())) for w, x in weights.items()}
+
+    vectors = [vector(r[2]) for r in rows]
     for _ in range(50):
-        query = index._vector(Counter(rng.choices(words, k=4)))
+        counts = Counter(rng.choices(words, k=4))
+        query = vector(counts)
         cosines = sorted(((sum(x * v.get(w, 0) for w, x in query.items()), i) for i, v in enumerate(vectors)), key=lambda c: (-c[0], c[1]))
-        got = index.nearest(query)
+        got = index.nearest(counts)
         assert np.allclose([c for c, _ in got], [c for c, _ in cosines[: toxicity.NEAREST] if c > 0])
     assert index.score(None)[0] == index.score("")[0] == 0.5
 
