@@ -26,6 +26,7 @@ import math
 import string
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -37,8 +38,8 @@ from chronofold.llm.storage import fold_of, saved
 
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.3
 EXAMPLES, TERMS, BLOCK, NEAREST, SHRINK, STEM = 4_000, 6_000_000, 64, 15, 0.5, 4
-#: Blocks that are visited before the bounds are looked at again; doubled each time.
-_FIRST_BLOCKS = 4
+#: Blocks that are visited before the bounds rule out others.
+_FIRST_BLOCKS = 8
 RESULT = StructType([StructField("score", DoubleType()), StructField("evidence", StringType())])
 _BLANKS = bytes(32 if chr(b) in string.punctuation else b for b in range(256))
 
@@ -83,7 +84,7 @@ class NearestExamples:
         self.labels = np.array([v[1] for v in vectors], dtype=np.float64)
         self.blocks = -(-len(vectors) // BLOCK)
         term = np.concatenate([np.empty(0, np.int32), *(v[2] for v in vectors)]).astype(np.int32)
-        example = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(v[2]) for v in vectors])
+        example = np.repeat(np.arange(len(vectors), dtype=np.int64), [len(v[2]) for v in vectors])
         order = np.argsort(term, kind="stable")
         term, self.example = term[order], example[order]
         self.weight = np.concatenate([np.empty(0), *(v[3] for v in vectors)])[order]
@@ -97,9 +98,12 @@ class NearestExamples:
 
     def _known(self, counts: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
         """The numbers of the terms that the index knows, rising, and their weights in a vector of length 1."""
-        known = sorted((self.row[w], c) for w, c in counts.items() if w in self.row)
-        at = np.array([k for k, _ in known], dtype=np.int64)
-        x = (1 + np.log(np.array([c for _, c in known], dtype=np.float64))) * self.weights[at]
+        at = np.array(list(map(self.row.get, counts, repeat(-1))), dtype=np.int64)
+        n = np.array(list(counts.values()), dtype=np.float64)
+        order = np.argsort(at, kind="stable")
+        order = order[np.searchsorted(at[order], 0) :]
+        at = at[order]
+        x = (1 + np.log(n[order])) * self.weights[at]
         norm = math.sqrt(float(x @ x))
         return (at, x / norm) if norm else (at[:0], x[:0])
 
@@ -107,33 +111,43 @@ class NearestExamples:
         """(cosine, example) of the nearest, best first."""
         at, x = self._known(counts)
         low, high = self.runs_of[at], self.runs_of[at + 1]
-        runs, x = _spans(low, high), np.repeat(x, high - low)
+        runs, of_run = _spans(low, high), np.repeat(x, high - low)
         block = self.run_block[runs]
-        bound = np.bincount(block, x * self.most[runs], minlength=self.blocks)
+        bound = np.bincount(block, of_run * self.most[runs], minlength=self.blocks)
         order = np.argsort(-bound, kind="stable")
-        best, best_at = np.empty(0), np.empty(0, dtype=np.int64)
-        first, many = 0, _FIRST_BLOCKS
-        while first < len(order):
-            some = order[first : first + many]
-            least = best[-1] - 1e-12 if len(best) == NEAREST else 0.0
-            some = some[(bound[some] > 0) & (bound[some] >= least)]
-            if not len(some):
-                break
-            visited = np.zeros(self.blocks, dtype=bool)
-            visited[some] = True
-            here = visited[block]
-            low, high = self.run[runs[here]], self.run[runs[here] + 1]
-            places = _spans(low, high)
-            cosine = np.bincount(self.example[places], self.weight[places] * np.repeat(x[here], high - low), minlength=len(self.ids))
-            found = np.flatnonzero(cosine)
-            value, found = np.append(best, cosine[found]), np.append(best_at, found)
-            if len(value) > NEAREST:
-                enough = value >= np.partition(value, -NEAREST)[-NEAREST]
-                value, found = value[enough], found[enough]
-            ranked = np.lexsort((found, -value))[:NEAREST]
-            best, best_at = value[ranked], found[ranked]
-            first, many = first + many, 2 * many
-        return list(zip(best.tolist(), best_at.tolist(), strict=True))
+        order = order[bound[order] > 0]
+        best = self._best(self._cosines(runs, of_run, block, order[:_FIRST_BLOCKS]))
+        left = order[_FIRST_BLOCKS:]
+        if len(best[0]) == NEAREST:
+            left = left[bound[left] >= best[0][-1] - 1e-12]
+        if 4 * len(left) > self.blocks:  # most lists would be read nearly whole: so they are, end to end
+            best = self._best(self._all_cosines(at, x))
+        elif len(left):
+            best = self._best(self._cosines(runs, of_run, block, np.append(order[:_FIRST_BLOCKS], left)))
+        return list(zip(*(b.tolist() for b in best), strict=True))
+
+    def _cosines(self, runs: np.ndarray, x: np.ndarray, block: np.ndarray, some: np.ndarray) -> np.ndarray:
+        """The cosine of every example of some blocks, 0 for the others."""
+        visited = np.zeros(self.blocks, dtype=bool)
+        visited[some] = True
+        here = visited[block]
+        low, high = self.run[runs[here]], self.run[runs[here] + 1]
+        places = _spans(low, high)
+        return np.bincount(self.example[places], self.weight[places] * np.repeat(x[here], high - low), minlength=len(self.ids))
+
+    def _all_cosines(self, at: np.ndarray, x: np.ndarray) -> np.ndarray:
+        low, high = self.run[self.runs_of[at]], self.run[self.runs_of[at + 1]]
+        lists = list(map(slice, low.tolist(), high.tolist()))
+        weight = np.concatenate([self.weight[s] for s in lists])
+        weight *= np.repeat(x, high - low)
+        return np.bincount(np.concatenate([self.example[s] for s in lists]), weight, minlength=len(self.ids))
+
+    def _best(self, cosine: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ``NEAREST`` greatest above 0, best first, and whose they are; ties to the smaller number."""
+        least = np.partition(cosine, -NEAREST)[-NEAREST] if len(cosine) > NEAREST else 0.0
+        found = np.flatnonzero((cosine >= least) & (cosine > 0))
+        found = found[np.lexsort((found, -cosine[found]))[:NEAREST]]
+        return cosine[found], found
 
     def score(self, text: str | None) -> tuple[float, str]:
         """The calibrated vote and the neighbours behind it, as doc_id:cosine."""
