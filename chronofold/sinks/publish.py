@@ -26,6 +26,9 @@ from chronofold.spec import HistorySpec
 LOG_SCHEMA = ("run_id string, committed_at timestamp, commit_no long, operation string, "
               "summary map<string,string>")
 
+#: Run and partition folders of a data file: the last folder named run is the store's, whatever folders lie above it.
+_IN_RUN = "^.*/run/([^/]+)/(.*/)?[^/]*$"
+
 
 def write_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Replace the partitions present in ``df`` and keep all others."""
@@ -245,7 +248,7 @@ class RunStore:
             raise ValueError("nothing has been published yet")
         run_id = uuid.uuid4().hex
         census = self._work(run_id, "census", self.census())
-        partition = F.regexp_extract("file_path", "/run/[^/]+/(.*/)?[^/]*$", 1)
+        partition = F.regexp_extract("file_path", _IN_RUN, 2)
         grouped = small_file_groups(census, min_bytes, target_bytes, partition)
         numbers = grouped.select(GROUP).distinct().withColumn(
             "number", F.row_number().over(Window.orderBy(GROUP)) - 1)
@@ -261,7 +264,7 @@ class RunStore:
         self._stage_as(run_id, merged_rows(small, groups, n_groups, sort_cols), None,
                        [part.split("=")[0] for part in folder.split("/") if part])
         untouched = census.join(groups, "file_path", "left_anti")
-        of_run = F.regexp_extract("file_path", "/run/([^/]+)/", 1)
+        of_run = F.regexp_extract("file_path", _IN_RUN, 1)
         untouched.select(of_run.alias("run_id"), path_of("file_path").alias("file_path")).write.parquet(self._kept(run_id))
 
         wanted = census.join(groups, "file_path", "left_semi").agg(F.sum("row_count")).first()[0]

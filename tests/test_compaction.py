@@ -103,3 +103,18 @@ def test_groups_are_of_about_the_target_size(spark, monkeypatch):
 def test_nothing_published_yet(store):
     with pytest.raises(ValueError):
         store.compact(1, 1)
+
+
+def test_a_store_below_a_folder_that_is_named_like_its_own(spark, tmp_path):
+    store = RunStore(spark, str(tmp_path / "run" / "shared" / "run" / "x=1"))
+    rows = some_rows(spark, 900, "x y", 9).unionByName(some_rows(spark, 600, "z", 6, 900))
+    first = store.stage(rows, partition_by=["part"])
+    store.publish(first)
+    largest = max(size for size, _ in files(store).values())
+    new = store.compact(largest + 1, 3 * largest, ["id"])
+    assert sorted(map(tuple, store.current().select("id", "part").collect())) == sorted(map(tuple, rows.select("id", "part").collect()))
+    assert {r.run_id for r in spark.read.parquet(store._kept(new)).collect()} <= {first}
+    plain = store.stage(some_rows(spark, 500, parts=10))
+    store.publish(plain)
+    store.compact(10**6, 10**7)
+    assert len(used(store)) == 1 and store.current().count() == 500
