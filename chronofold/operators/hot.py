@@ -33,15 +33,15 @@ class HotKeys:
 
 
 def may_have_hot_keys(target: DataFrame, source: DataFrame, spec: HistorySpec,
-                       tuning: JoinTuning) -> bool:
+                       tuning: JoinTuning, rows: int | None = None) -> bool:
     """Whether the largest source key could be hot if all target rows were its own.
 
-    Reads the source's keys and counts the target, which tables answer from their footers.
+    Reads the source's keys and counts the target's ``rows``, if not given; tables answer that from their footers.
     """
     most = source.groupBy(*spec.keys).agg(F.count("*").alias("_s")).agg(F.max("_s")).first()[0]
     if not most:
         return False
-    rows = target.count()
+    rows = target.count() if rows is None else rows
     return rows * most > tuning.hot_pairs or max(rows, most) > tuning.hot_rows
 
 
@@ -66,13 +66,13 @@ def counted_keys(target: DataFrame, source: DataFrame, spec: HistorySpec,
 
 
 def hot_keys(target: DataFrame, source: DataFrame, spec: HistorySpec,
-             tuning: JoinTuning) -> HotKeys | None:
+             tuning: JoinTuning, rows: int | None = None) -> HotKeys | None:
     """The largest source keys with their segments and salts; None if no key is large.
 
     The result has at most ``max_hot_keys`` rows, so it may pass the driver and be broadcast; keys
     beyond it stay in the ordinary join, which is exact too.
     """
-    if not may_have_hot_keys(target, source, spec, tuning):
+    if not may_have_hot_keys(target, source, spec, tuning, rows):
         return None
     found = (
         counted_keys(target, source, spec, tuning)

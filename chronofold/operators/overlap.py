@@ -14,6 +14,7 @@ from chronofold.operators.coverage import source_gaps, source_keys
 from chronofold.operators.dyadic import dyadic_keys, dyadic_pairs
 from chronofold.operators.hot import (
     HotKeys, hot_keys, hot_pairs, hot_unmatched, only_hot, without_hot)
+from chronofold.session import dealt, written
 from chronofold.sources.history import SRC_END, SRC_START, src_value
 from chronofold.spec import COVERAGE_MODES, HistorySpec, JoinTuning
 
@@ -75,12 +76,13 @@ def _join(target: DataFrame, timeline: DataFrame, spec: HistorySpec, how: str, c
 
 def _join_salted(target: DataFrame, timeline: DataFrame, spec: HistorySpec, how: str,
                  coverage: str, buckets: int) -> DataFrame:
-    """Target rows spread over buckets, the timeline repeated in each; the bucket is joined on."""
-    salt = F.pmod(content_hash(target), F.lit(buckets)).cast("int")
-    spread = target.withColumn("_salt", salt)
-    repeated = timeline.withColumn(
-        "_src_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    return _join(spread, repeated, spec, how, coverage,
+    """Target rows spread over buckets, the timeline repeated in those that its key has rows in; the bucket is joined on."""
+    keys = list(spec.keys)
+    spread = target.withColumn("_salt", F.pmod(content_hash(target), F.lit(buckets)).cast("int"))
+    used = written(spread.groupBy(*keys).agg(F.collect_set("_salt").alias("_salts"), F.count("*").alias("_rows")))
+    repeated = timeline.join(used.drop("_rows"), keys).withColumn("_src_salt", F.explode("_salts")).drop("_salts")
+    rows = used.agg(F.sum("_rows")).first()[0] or 0
+    return _join(dealt(spread, rows, *keys, "_salt"), repeated, spec, how, coverage,
                  F.col("_salt") == F.col("_src_salt")).drop("_salt", "_src_salt")
 
 
@@ -112,11 +114,13 @@ def _attach(target: DataFrame, source: DataFrame, spec: HistorySpec, coverage: s
         size = measured_bytes(_timeline(source, spec, coverage))
         strategy = "broadcast" if size <= tuning.broadcast_bytes else "split"
 
-    hot, pairs_of_hot = None, hot_pairs
-    if strategy == "split":
-        hot = hot_keys(target, source, spec, tuning)
-    elif strategy == "dyadic":
-        hot = dyadic_keys(target, source, spec, tuning)
+    hot, pairs_of_hot, usual_target = None, hot_pairs, target
+    if strategy in ("split", "dyadic"):
+        rows = target.count()
+        usual_target = dealt(target, rows, *spec.keys)
+        find = hot_keys if strategy == "split" else dyadic_keys
+        hot = find(target, source, spec, tuning, rows)
+    if strategy == "dyadic":
         pairs_of_hot = partial(dyadic_pairs, tuning=tuning)
     if hot is not None:
         usual = _timeline(without_hot(source, hot, spec), spec, coverage)
@@ -128,7 +132,7 @@ def _attach(target: DataFrame, source: DataFrame, spec: HistorySpec, coverage: s
                               tuning.salt_buckets)
     else:
         timeline = _timeline(source, spec, coverage)
-        joined = _join(target, F.broadcast(timeline) if strategy == "broadcast" else timeline,
+        joined = _join(usual_target, F.broadcast(timeline) if strategy == "broadcast" else timeline,
                        spec, how, coverage)
     return joined.where(F.col(KIND).isNull() | (F.col(KIND) != KEY))
 

@@ -41,3 +41,14 @@ def written(rows: DataFrame) -> DataFrame:
     path = work_folder(rows.sparkSession)
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+#: Rows that a task joins or sorts at once; what bounds its memory however large a table is.
+ROWS_PER_TASK = 250_000
+
+
+def dealt(rows: DataFrame, count: int, *keys: str) -> DataFrame:
+    """Dealt by ``keys`` over as many tasks as ``count`` rows need, if the session has fewer."""
+    tasks = -(-count // ROWS_PER_TASK)
+    few = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(tasks, *keys) if tasks > few else rows

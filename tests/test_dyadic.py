@@ -1,5 +1,6 @@
 """The dyadic overlap join: nodes of windows, bound of copies, many large keys."""
 
+import datetime
 import math
 import random
 
@@ -116,3 +117,32 @@ def test_null_and_inverted_dates(spark, mode):
     s = source(spark, (1, "X", "2019-06-01", "2020-06-01"), (1, "Y", "2022-01-01", "2021-01-01"),
                (1, "Z", None, "2020-01-01"), (None, "N", "2020-01-01", "H"), (1, "O", "2023-01-01", "H"))
     assert rows(expand_history(t, s, SPEC, mode, DYADIC_ALL)) == rows(expand_history(t, s, SPEC, mode, EVERY_TUNING["plain"]))
+
+
+def test_paths_hold_only_levels_on_which_windows_of_the_other_side_lie(spark):
+    """Windows of one day and one that is open: nine levels a path, on which hardly a window lies."""
+    days = [(1, f"r{i}", str(d("2020-01-01") + datetime.timedelta(i)), str(d("2020-01-01") + datetime.timedelta(i + 1)))
+            for i in range(255)]
+    t = target(spark, *days, (1, "last", "2020-09-12", "H"))
+    s = source(spark, *days, (1, "last", "2020-09-12", "H"))
+    tuning = JoinTuning("dyadic", hot_pairs=1, hot_rows=1, segment_rows=1)
+    hot = dyadic.dyadic_keys(t, s, SPEC, tuning)
+    assert hot.plan.first()["_segments"] == 256
+    *sides, both = dyadic.with_levels(only_hot(t, hot, SPEC), only_hot(s, hot, SPEC), SPEC)
+    placed = [dyadic.on_nodes(side, start, end, "_first", is_target).count() for side, start, end, is_target in (
+        (sides[0], "eff_start_date", "eff_end_date", True), (sides[1], "_src_start", "_src_end", False))]
+    assert both == 512 and max(placed) < 5 * 256
+    plain = overlap_pairs(t, s, SPEC, tuning=EVERY_TUNING["plain"])
+    found = overlap_pairs(t, s, SPEC, tuning=tuning)
+    assert found.count() == plain.count() == 256 and found.exceptAll(plain).isEmpty()
+
+
+def test_levels_of_a_window_are_those_of_its_nodes(spark):
+    for segments in (1, 8, 64):
+        windows = [(a, b, segments) for a in range(segments + 1) for b in range(max(a - 1, 0), segments)]
+        found = spark.createDataFrame(windows, "a int, b int, _segments int").select(
+            dyadic.window_nodes(F.col("a"), F.col("b")).alias("nodes"),
+            dyadic.window_levels(F.col("a"), F.col("b") + 1).alias("levels")).collect()
+        top = segments.bit_length()
+        for r in found:
+            assert r.levels == sum({1 << (top - n.bit_length()) for n in r.nodes})
