@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from chronofold.functions.columns import any_null
 from chronofold.operators.coverage import source_keys
-from chronofold.session import written
+from chronofold.session import dealt, written
 from chronofold.spec import HistorySpec
 
 _COPIES_PER_ROW = 10_000
@@ -35,9 +35,13 @@ def _end_at(position: Column) -> Column:
 
 
 def _neighbours(table: DataFrame, spec: HistorySpec) -> DataFrame:
-    """Key, start, the end of the row before, the furthest end of all rows before, and how often."""
-    return _linked(table.groupBy(*spec.keys, spec.start, spec.end).agg(
-        F.count("*").alias("_copies")), spec)
+    """Key, start, the end of the row before, the furthest end of all rows before, and how often.
+
+    ``table`` is read once, when this is called.
+    """
+    windows = written(table.groupBy(*spec.keys, spec.start, spec.end).agg(
+        F.count("*").alias("_copies")))
+    return _linked(dealt(windows, windows.count(), *spec.keys), spec)
 
 
 def _linked(windows: DataFrame, spec: HistorySpec) -> DataFrame:
@@ -206,7 +210,8 @@ def verdict_counts(before: DataFrame, after: DataFrame, source: DataFrame, spec:
         F.sum(F.when(F.col("_known"), F.col("_nulls"))).alias("unexpected_nulls"),
         F.count(F.when(active != 1 if exactly_one_active else active > 1, 1))
         .alias("active_flags"))
-    chain = _linked(windows.select(*spec.keys, spec.start, spec.end, "_copies"), spec).agg(
+    narrow = dealt(windows.select(*spec.keys, spec.start, spec.end, "_copies"), windows.count(), *spec.keys)
+    chain = _linked(narrow, spec).agg(
         F.sum(F.when(_is_gap(spec), F.col("_times"))).alias("date_gaps"),
         F.sum(F.when(_is_overlap(spec, "_prev_end"), F.col("_times"))).alias("date_overlaps"))
     counts = (
