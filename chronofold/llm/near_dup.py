@@ -7,9 +7,10 @@ it, and a smaller overlap rules a pair out.
 
 So many values are common to the sketches of a link that some of the rarest ``1 - LEAST`` of each must be among them:
 only those go into the inverted lists, and passages that many documents hold seldom do. The pairs of short lists are
-all compared. The long lists are worked off in rounds. In each, the pairs of a list that lie in different components are compared by their sketches. The first rounds
-pass on each class's most similar partner in its longest list alone, the last one every pair of any list that the
-sketches allow. All pairs passed on
+all compared. The long lists are worked off in rounds. In each, the pairs of a list that lie in different components are compared by their sketches, which are the sets themselves where those are no larger. The first rounds
+deal one list of each class, the longest or the one of the smallest value, into chunks, and pass on a spanning forest
+of each chunk's most similar pairs, so they cost no more than their members. The last one passes on every pair of any
+list that the sketches allow, where they are found: the sets are brought to the list's chunks. All pairs passed on
 are confirmed by the exact Jaccard similarity of the full sets and joined to components. Pairs within a component need
 no comparison, so a large group of near copies costs little more than its members. A link of exactly 80 % has sketches
 below ``LEAST`` with a probability of 4e-6, a closer one more seldom; no other link between components is lost. The longest lists are dealt out as pairs of chunks.
@@ -20,7 +21,7 @@ doc_id count as one document, linked with whatever one of them is linked with; e
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -34,11 +35,11 @@ from chronofold.llm.shingles import mixed, shingle_sets
 from chronofold.llm.storage import fresh, saved
 
 WIDTH, SIMILAR, SKETCH, LEAST = 4, 80, 64, 0.55
-#: Rounds that pass on the best partners only, the classes of a chunk of a list, and those of a list that is joined
+#: Rounds that pass on spanning forests only, the classes of a chunk of a list, and those of a list that is joined
 #: with itself at once.
-BEST_ROUNDS, CHUNK, SHORT = 2, 256, 8
-#: Bytes of text whose shingles are hashed at once, and sketch values that are compared at once.
-_BYTES, _VALUES = 1 << 20, 4096
+FOREST_ROUNDS, CHUNK, SHORT = 2, 256, 8
+#: Bytes of text whose shingles are hashed at once, values that are compared at once, and hashes of the sets that hold them.
+_BYTES, _VALUES, _HASHES = 1 << 20, 4096, 1 << 18
 _TOP = np.uint64(1 << 63)
 _LONGS = pa.list_(pa.int64())
 
@@ -115,12 +116,60 @@ def _union_estimate(x: np.ndarray, y: np.ndarray) -> float:
     return np.searchsorted(np.intersect1d(x, y, assume_unique=True), union[-1], side="right") / len(union)
 
 
-def _candidates(group: pd.DataFrame, best_only: bool, similar: int) -> pd.DataFrame:
-    """Pairs of a list's classes, in different components, whose sketches allow a link.
+def _likeness(one: pd.DataFrame, other: pd.DataFrame, similar: int) -> np.ndarray:
+    """No less than the estimate on the union for pairs of classes of different components that may be links, 0 for the others.
+
+    Sketches of both whole sets tell their links from other pairs; else the sizes must allow a link.
+    """
+    both = _held_by_both(*([np.asarray(x) for x in side["sketch"]] for side in (one, other)))
+    n, m = one["n_shingles"].to_numpy()[:, None], other["n_shingles"].to_numpy()[None, :]
+    union = np.minimum(n, SKETCH) + np.minimum(m, SKETCH) - both
+    apart = one["component"].to_numpy()[:, None] != other["component"].to_numpy()[None, :]
+    linked = 100 * both >= similar * (n + m - both)
+    sizes = 100 * np.minimum(n, m) >= similar * np.maximum(n, m)
+    return np.where(apart & np.where(np.maximum(n, m) <= SKETCH, linked, sizes), both / np.minimum(union, SKETCH), 0.0)
+
+
+def _near(one: pd.DataFrame, other: pd.DataFrame, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the pairs of the i-th of one side and the j-th of the other the nodes of those whose sketches allow a link."""
+    x, y = ([np.asarray(s) for s in side["sketch"]] for side in (one, other))
+    near = np.array([_union_estimate(x[p], y[q]) >= LEAST for p, q in zip(i.tolist(), j.tolist(), strict=True)], dtype=bool)
+    return one["node"].to_numpy()[i[near]], other["node"].to_numpy()[j[near]]
+
+
+def _as_pairs(a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
+    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+
+
+def _spanning_forest(likeness: np.ndarray, component: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of a maximum spanning forest of the likenesses from ``LEAST`` on; each component counts as tied already."""
+    likeness = np.where(component[:, None] == component[None, :], 2.0, likeness)
+    best, near = np.zeros(len(component)), np.zeros(len(component), dtype=np.int64)
+    left, pairs = np.ones(len(component), dtype=bool), []
+    for _ in component:
+        i = int(np.where(left, best, -1.0).argmax())
+        if LEAST <= best[i] < 2:
+            pairs.append((near[i], i))
+        left[i] = False
+        better = likeness[i] > best
+        best[better], near[better] = likeness[i][better], i
+    i, j = np.array(pairs, dtype=np.int64).reshape(-1, 2).T
+    return i, j
+
+
+def _forest_pairs(group: pd.DataFrame, similar: int) -> pd.DataFrame:
+    """Fewer pairs than a chunk has classes: those that tie its components together if they are links."""
+    group = group.sort_values("node")
+    i, j = _spanning_forest(_likeness(group, group, similar), group["component"].to_numpy())
+    return _as_pairs(*_near(group, group, i, j))
+
+
+def _candidates(group: pd.DataFrame, similar: int) -> pd.DataFrame:
+    """The classes of a list that make pairs, in different components, whose sketches allow a link: each once, one of a pair with its partners.
 
     A pair that several lists hold is passed on by the one of the smallest value alone.
     """
-    empty = pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64")})
+    empty = pd.DataFrame({c: pd.Series(dtype="int64") for c in ("value", "low", "high", "node")} | {"partners": pd.Series(dtype="object")})
     if group["component"].nunique() < 2:
         return empty
     low, high = int(group["low"].iloc[0]), int(group["high"].iloc[0])
@@ -131,28 +180,56 @@ def _candidates(group: pd.DataFrame, best_only: bool, similar: int) -> pd.DataFr
         one, other = group[group["chunk"] == low], group[group["chunk"] == high]
     if one.empty or other.empty:
         return empty
-    arrays = [[np.asarray(x) for x in side[c]] for c in ("sketch", "lists") for side in (one, other)]
-    both = _held_by_both(arrays[0], arrays[1])
-    n, m = one["n_shingles"].to_numpy()[:, None], other["n_shingles"].to_numpy()[None, :]
-    union = np.minimum(n, SKETCH) + np.minimum(m, SKETCH) - both
-    likeness = both / np.minimum(union, SKETCH)  # no less than the estimate on the union
-    apart = one["component"].to_numpy()[:, None] != other["component"].to_numpy()[None, :]
-    likeness = np.where(apart & (100 * np.minimum(n, m) >= similar * np.maximum(n, m)), likeness, 0.0)
-    allowed = likeness >= LEAST
-    if best_only:
-        best = np.zeros_like(allowed)
-        best[np.arange(len(one)), likeness.argmax(axis=1)] = True
-        best[likeness.argmax(axis=0), np.arange(len(other))] = True
-        allowed &= best
+    allowed = _likeness(one, other, similar) >= LEAST
+    value = int(group["value"].iloc[0])
+    smaller = [[x[x < value] for x in map(np.asarray, side["lists"])] for side in (one, other)]
+    allowed &= _held_by_both(*smaller) == 0
+    a, b = _near(one, other, *np.nonzero(allowed))
+    if not len(a):
+        return empty
+    partners = pd.Series(b).groupby(a).agg(list)
+    partners = partners.reindex(np.union1d(a, b)).map(lambda x: x if isinstance(x, list) else [])
+    return pd.DataFrame({"value": value, "low": low, "high": high, "node": partners.index, "partners": partners.to_numpy()})
+
+
+def _links_of_group(group: pd.DataFrame, similar: int) -> pd.DataFrame:
+    """Of the links among a group's pairs as many as tie together what all of them tie; a node may have several sets."""
+    group = group.sort_values("node")
+    node, full = group["node"].to_numpy(), [np.asarray(x) for x in group["full"]]
+    partner = np.concatenate([np.empty(0, np.int64), *map(np.asarray, group["partners"])]).astype(np.int64)
+    low, high = np.searchsorted(node, partner, side="left"), np.searchsorted(node, partner, side="right")
+    i = np.repeat(np.repeat(np.arange(len(node)), [len(x) for x in group["partners"]]), high - low)
+    j = np.repeat(low - (np.cumsum(high - low) - (high - low)), high - low) + np.arange(len(i))
+    sizes = np.array([len(x) for x in full], dtype=np.int64)
+    first, at = np.unique(i, return_inverse=True)
+    second, to = np.unique(j, return_inverse=True)
+    if 8 * len(i) < len(first) * len(second):
+        both = np.array([len(np.intersect1d(full[p], full[q], assume_unique=True)) for p, q in zip(i.tolist(), j.tolist(), strict=True)], dtype=np.int64)
     else:
-        value = int(group["value"].iloc[0])
-        smaller = [[x[x < value] for x in side] for side in arrays[2:]]
-        allowed &= _held_by_both(*smaller) == 0
-    i, j = np.nonzero(allowed)
-    near = np.array([_union_estimate(arrays[0][p], arrays[1][q]) >= LEAST for p, q in zip(i.tolist(), j.tolist(), strict=True)], dtype=bool)
-    i, j = i[near], j[near]
-    a, b = one["node"].to_numpy()[i], other["node"].to_numpy()[j]
-    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+        held = np.zeros((len(first), len(second)))
+        for rows in _runs(sizes[first]):
+            for columns in _runs(sizes[second]):
+                held[rows, columns] = _held_by_both([full[k] for k in first[rows]], [full[k] for k in second[columns]])
+        both = held[at, to].astype(np.int64)
+    linked = 100 * both >= similar * (sizes[i] + sizes[j] - both)
+    likeness = np.zeros((len(node), len(node)))
+    likeness[i[linked], j[linked]] = likeness[j[linked], i[linked]] = 1.0
+    a, b = _spanning_forest(likeness, np.arange(len(node)))
+    return _as_pairs(node[a], node[b])
+
+
+def _runs(sizes: np.ndarray) -> list[slice]:
+    """Consecutive sets of about ``_HASHES`` hashes together; a larger set comes alone or last."""
+    cuts = np.append(np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // _HASHES, prepend=-1)), len(sizes)).tolist()
+    return [slice(x, y) for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
+def _in_chunks(members: DataFrame, round_: int) -> DataFrame:
+    """The members of the lists that hold several components, each in one chunk of its list; another round deals them otherwise."""
+    parts = members.groupBy("value").agg(F.count(F.lit(1)).alias("k"), F.min("component").alias("least"), F.max("component").alias("most"))
+    parts = parts.where("least < most").select("value", F.ceil(F.col("k") / CHUNK).alias("chunks"))
+    chunk = F.pmod(F.xxhash64("node", F.lit(round_)), F.col("chunks")).alias("chunk")
+    return members.join(parts, "value").select("value", "node", "component", chunk)
 
 
 def _dealt(members: DataFrame) -> DataFrame:
@@ -176,10 +253,6 @@ def _dealt(members: DataFrame) -> DataFrame:
     return members.withColumn("meet", F.explode(meets)).select("value", "node", "component", "main", "chunk", "meet.low", "meet.high")
 
 
-def _search(best_only: bool, similar: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    return lambda group: _candidates(group, best_only, similar)
-
-
 def _confirmed(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
     """The pairs of which 100 |a and b| >= similar |a or b|."""
     first, second = (sets.select(F.col("node").alias(k), F.col("full").alias(v)) for k, v in (("a", "x"), ("b", "y")))
@@ -223,21 +296,23 @@ def _links(docs: DataFrame, lists: DataFrame, classes: DataFrame, width: int, si
     of_node = lists.groupBy("node").agg(F.sort_array(F.collect_list("value")).alias("lists"), F.max(F.struct("n", "value")).alias("longest"))
     of_node = saved(of_node.join(held, "node"))
     held = of_node.drop("longest")
-    # the best partners are looked for in the longest list of each class, where a group's members meet
-    longest = of_node.select("longest.value", "node")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    for round_ in range(BEST_ROUNDS + 1):
-        best_only = round_ < BEST_ROUNDS
-        members = (longest if best_only else lists.select("value", "node")).join(state, "node")
-        dealt = _dealt(members).join(held, "node").repartition(parts, "value", "low", "high")  # little data, much work
-        pairs = dealt.groupBy("value", "low", "high").applyInPandas(_search(best_only, similar), "a long, b long").distinct()
+    for round_ in range(FOREST_ROUNDS):
+        # a group's members meet in the longest list of each, or else in that of the smallest value
+        members = of_node.select(F.col("lists")[0].alias("value") if round_ % 2 else F.col("longest.value"), "node").join(state, "node")
+        dealt = _in_chunks(members, round_).join(held.drop("lists"), "node").repartition(parts, "value", "chunk")  # little data, much work
+        pairs = dealt.groupBy("value", "chunk").applyInPandas(lambda group: _forest_pairs(group, similar), "a long, b long").distinct()
         pairs = saved(pairs.join(tested, ["a", "b"], "left_anti"))
         tested = tested.unionByName(pairs)
         links = links.unionByName(saved(_confirmed(pairs, sets, similar)))
-        if best_only:
-            found = components(links)
-            state = saved(nodes.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component")))
-    return links
+        found = components(links)
+        state = saved(nodes.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component")))
+    # a set is brought once to a group, not once to each of its pairs
+    by = ["value", "low", "high"]
+    dealt = _dealt(lists.select("value", "node").join(state, "node")).join(held, "node").repartition(parts, *by)
+    ends = dealt.groupBy(*by).applyInPandas(lambda group: _candidates(group, similar), "value long, low int, high int, node long, partners array<long>")
+    ends = saved(ends).join(sets, "node").repartition(parts, *by)
+    return links.unionByName(saved(ends.groupBy(*by).applyInPandas(lambda group: _links_of_group(group, similar), "a long, b long")))
 
 
 def _short_lists(lists: DataFrame, held: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 import pytest
@@ -57,6 +58,37 @@ def test_looked_up_words_give_the_ids_of_the_whole_text(vocabulary):
         assert [np.frombuffer(i, dtype="<u4").tolist() for i in own.encode(texts)] == whole
 
 
+def test_near_copies_that_are_no_links_stay_few_rows_however_many_pairs_they_make():
+    rng = np.random.default_rng(6)
+    base = np.unique(rng.integers(1, 1 << 62, 400))
+    full = [np.unique(np.append(x := base[rng.random(400) > p], rng.integers(1, 1 << 62, 400 - len(x)))) for p in rng.choice([0.04, 0.14, 0.16], 200)]
+    rows = [{"value": 5, "low": 0, "high": 0, "chunk": 0, "main": False, "node": k, "component": k, "n_shingles": len(x), "sketch": x[:64], "lists": x[:0]} for k, x in enumerate(full)]
+    found = near_dup._candidates(pd.DataFrame(rows), 80)
+    pairs = {(min(a, b), max(a, b)) for a, its in zip(found["node"], found["partners"], strict=True) for b in its}
+    likeness = {(a, b): len(np.intersect1d(full[a], full[b])) / len(np.union1d(full[a], full[b])) for a in range(200) for b in range(a)}
+    links = {(b, a) for (a, b), x in likeness.items() if x >= 0.8}
+    assert len(found) <= len(full) < 5000 < len(pairs) and links <= pairs and len(links) < len(pairs) / 2
+    for some in (found, found.assign(partners=[its[:9] for its in found["partners"]])):
+        its_links = links & {(min(a, b), max(a, b)) for a, its in zip(some["node"], some["partners"], strict=True) for b in its}
+        kept = near_dup._links_of_group(some.assign(full=[full[k] for k in some["node"]]), 80)
+        kept = set(zip(kept["a"].tolist(), kept["b"].tolist(), strict=True))
+        assert kept <= its_links and len(kept) < len(full) and parts_of(kept) == parts_of(its_links)
+    group = pd.DataFrame(rows).assign(component=[k // 2 for k in range(200)])
+    forest = near_dup._forest_pairs(group, 80)
+    assert 0 < len(forest) < 100 and all(a // 2 != b // 2 for a, b in zip(forest["a"], forest["b"], strict=True))
+
+
+def parts_of(pairs):
+    root = {x: x for pair in pairs for x in pair}
+    for _ in root:
+        before = dict(root)
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+        if root == before:
+            return root
+    return root
+
+
 def test_coded_blocks_come_back_and_damage_is_seen():
     rng = np.random.default_rng(3)
     blocks = [np.array([], dtype=np.uint32), np.array([7], dtype=np.uint32), np.array([2**32 - 1, 5, 2**31], dtype=np.uint32), np.full(8192, 9, dtype=np.uint32), np.tile(np.arange(5, dtype=np.uint32), 1600)]
