@@ -19,10 +19,14 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 WORDS_KEPT = 2_000_000
-_ODD_SPACE = re.compile(r"\s\s|^\s|\s\Z|[^\S \n]")
 _TAIL = re.compile(rf"[{re.escape(string.punctuation)}]+\Z")
 
 
+def _plainly_spaced(text: str, words: list[str]) -> bool:
+    """Whether one blank or line feed, and nothing else, stands between any two of the text's words (those of ``split``)."""
+    return " ".join(words) == text.replace("\n", " ")
+
+
 def _letters(word: str) -> bool:
     """Letters only, and still so after the normalisation that a vocabulary may apply."""
     return word.isalpha() and (word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha())
@@ -67,14 +71,14 @@ class WordEncoder:
             if not text:
                 out.append(b"")
                 continue
-            if _ODD_SPACE.search(text) or any(s in text for s in self.special):
+            plain = text.lower() if self.lower and text.isascii() else text
+            words = plain.split()
+            if not _plainly_spaced(plain, words) or any(s in text for s in self.special):
                 out += self._encoded([text])
                 continue
             if self.spaced:
                 words = text.split(" ")
                 words[1:] = [" " + w for w in words[1:]]
-            else:
-                words = (text.lower() if self.lower and text.isascii() else text).split()
             ids = list(map(known.get, words))
             if None in ids:
                 self._learn([w for w, i in zip(words, ids, strict=True) if i is None])

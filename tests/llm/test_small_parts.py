@@ -58,6 +58,14 @@ def test_looked_up_words_give_the_ids_of_the_whole_text(vocabulary):
         assert [np.frombuffer(i, dtype="<u4").tolist() for i in own.encode(texts)] == whole
 
 
+def test_texts_of_plain_spaces_are_told_from_others():
+    rng = random.Random(4)
+    odd = re.compile(r"\s\s|^\s|\s\Z|[^\S \n]")
+    for _ in range(3000):
+        text = "".join(rng.choices(["a", "b", " ", "\n", "c d", "\t", "\x1c", "\x85", "\u2003", "é"], weights=[9, 9, 5, 3, 9, 1, 1, 1, 1, 2], k=rng.randint(1, 9)))
+        assert tokens._plainly_spaced(text, text.split()) == (odd.search(text) is None)
+
+
 def test_near_copies_that_are_no_links_stay_few_rows_however_many_pairs_they_make():
     rng = np.random.default_rng(6)
     base = np.unique(rng.integers(1, 1 << 62, 400))
