@@ -38,11 +38,14 @@ def _uniforms(word: Column, sample: Column) -> tuple[Column, ...]:
     return low(one), high(one), low(two), high(two), last
 
 
-def _draw(word: Column, ln_weight: Column, sample: Column) -> Column:
-    """ln a, in steps of 2 ** -22, above 31 bits of the hash of (word, t). The least one over a text's words is taken."""
+def _variates(word: Column, sample: Column) -> tuple[Column, Column, Column]:
+    """r, ln c and b of a word's draw."""
     u1, u2, u3, u4, b = _uniforms(word, sample)
-    r = -F.log(u1 * u2)
-    ln_c = F.log(-F.log(u3 * u4))
+    return -F.log(u1 * u2), F.log(-F.log(u3 * u4)), b
+
+
+def _draw(word: Column, ln_weight: Column, r: Column, ln_c: Column, b: Column) -> Column:
+    """ln a, in steps of 2 ** -22, above 31 bits of the hash of (word, t). The least one over a text's words is taken."""
     t = F.floor(ln_weight / r + b)
     size = F.floor((ln_c - r * (t - b) - r + 128) * float(1 << 22))
     return F.shiftleft(size, 31).bitwiseOR(F.hash(word, t).cast("long").bitwiseAND(F.lit((1 << 31) - 1)))
@@ -61,7 +64,10 @@ def sampled(texts: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     terms = words.groupBy(*keys, "word").agg(*weights)
     logs = [F.log(f"w{i}").alias(f"ln_w{i}") for i in range(len(columns))]
     draws = terms.select(*keys, "word", *logs, F.explode(F.array(*(F.lit(k) for k in range(SAMPLES)))).alias("draw"))
-    least = [F.min(_draw(F.col("word"), F.col(f"ln_w{i}"), F.col("draw"))).alias(f"m{i}") for i in range(len(columns))]
+    # as columns of their own, so that they are computed once for all of the texts
+    variates = [x.alias(name) for x, name in zip(_variates(F.col("word"), F.col("draw")), ("r", "ln_c", "b"), strict=True)]
+    draws = draws.select("*", *variates)
+    least = [F.min(_draw(F.col("word"), F.col(f"ln_w{i}"), F.col("r"), F.col("ln_c"), F.col("b"))).alias(f"m{i}") for i in range(len(columns))]
     drawn = draws.groupBy(*keys, "draw").agg(*least)
     values = F.struct("draw", *(f"m{i}" for i in range(len(columns))))
     drawn = drawn.groupBy(*keys).agg(F.sort_array(F.collect_list(values)).alias("drawn"))
@@ -110,6 +116,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     rows = with_next_text(docs).withColumn("n_chars", n.cast("long"))
     edited = F.concat(F.substring("text", F.lit(1), n - quarter), F.substring("next_text", F.lit(1), quarter))
     rows = rows.withColumn("edited", edited)
+    # true of every row: both branches below so need the same columns of the dealt texts, which are then shuffled once
+    rows = rows.where("next_block is not null or place > 0")
     keys = ["block", "place"]
     drawn = sampled(rows.select(*keys, F.col("text").alias("fingerprint"), F.col("edited").alias("edited_fingerprint")), keys, ["fingerprint", "edited_fingerprint"])
     facts = rows.select(*keys, "doc_id", "n_chars", "next_block", "next_place", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))

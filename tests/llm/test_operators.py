@@ -389,3 +389,17 @@ def test_a_table_with_a_column_of_the_operators_own_name(shared):
     frame = shared.createDataFrame([(1, "a b c d e f", 1), (2, "a b c d e f", 2), (3, "x", 3)], "doc_id long, text string, __kept int")
     left = near_dup.without_near_copies(frame, 5)
     assert left.columns == frame.columns and sorted(r.doc_id for r in left.collect()) == [1, 3]
+
+
+def test_fingerprints_shuffle_the_texts_once(shared, monkeypatch):
+    written = []
+
+    def save(df):
+        df.collect()
+        written.append(df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0])
+        return df
+
+    monkeypatch.setattr(fingerprint, "saved", save)
+    fingerprint.fingerprints(shared.createDataFrame([(k, f"a text of {k} words") for k in range(300)], "doc_id long, text string")).collect()
+    dealt = [line for line in written[0].splitlines() if re.search(r"Exchange hashpartitioning\(block#\d+L, \d+\)", line) and "Reused" not in line]
+    assert len(dealt) == 1
