@@ -9,7 +9,8 @@ So many values are common to the sketches of a link that some of the rarest ``1
 only those go into the inverted lists, and passages that many documents hold seldom do. The pairs of short lists are
 all compared. The long lists are worked off in rounds. In each, the pairs of a list that lie in different components are compared by their sketches, which are the sets themselves where those are no larger. The first rounds
 deal one list of each class, the longest or the one of the smallest value, into chunks, and pass on a spanning forest
-of each chunk's most similar pairs, so they cost no more than their members. The last one passes on every pair of any
+of each chunk's most similar pairs, so they cost no more than their members. For the last one the classes of long lists
+get new ones by the rarest values of their full sets, of which a link needs fewer; it passes on every pair of any
 list that the sketches allow, where they are found: the sets are brought to the list's chunks. All pairs passed on
 are confirmed by the exact Jaccard similarity of the full sets and joined to components. Pairs within a component need
 no comparison, so a large group of near copies costs little more than its members. A link of exactly 80 % has sketches
@@ -27,7 +28,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronofold.llm.components import components
@@ -80,15 +81,19 @@ def sketches(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(sketch, "doc_id long, n_shingles long, key1 long, key2 long, sketch array<long>")
 
 
-def inverted_lists(classes: DataFrame) -> DataFrame:
-    """(value, node): the classes that hold a value among the rarest of their sketch, for values that several so hold."""
-    values = classes.select("node", F.size("sketch").alias("s"), F.explode("sketch").alias("value"))
+def inverted_lists(classes: DataFrame, values: str = "sketch", least: Column | None = None) -> DataFrame:
+    """(value, node, n): the classes that hold a value among the rarest of their values, for those that several so hold.
+
+    ``least``: how many of a class's ``s`` values a linked one must hold.
+    """
+    least = F.ceil(F.col("s") * LEAST) if least is None else least
+    values = classes.select("node", F.size(values).alias("s"), F.explode(values).alias("value"))
     shared = values.groupBy("value").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
     common = values.join(shared, "value").groupBy("node", "s").agg(F.array_sort(F.collect_list(F.struct("held", "value"))).alias("common"))
     # values that no other class holds are the rarest: they use up their part of the places
-    places = F.col("s") - F.ceil(F.col("s") * LEAST) + 1 - (F.col("s") - F.size("common"))
+    places = F.col("s") - least + 1 - (F.col("s") - F.size("common"))
     rare = common.where(places > 0).select("node", F.explode(F.slice("common", F.lit(1), places.cast("int"))).alias("c"))
-    lists = rare.select("node", "c.value")
+    lists = rare.select("node", "c.value").distinct()
     several = lists.groupBy("value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     return lists.join(several, "value").select("value", "node", "n")
 
@@ -237,8 +242,9 @@ def _dealt(members: DataFrame) -> DataFrame:
 
     The members of a list's largest component need not meet one another: their chunks meet only those of the others,
     as groups (chunk, -1 - chunk of the others). The others also meet among themselves, as pairs of chunks of their own.
-    No group holds more than two chunks.
+    No group holds more than two chunks. Further columns of the members go with them.
     """
+    carried = [c for c in members.columns if c not in ("value", "node", "component")]
     parts = members.groupBy("value", "component").agg(F.count(F.lit(1)).alias("k"))
     parts = parts.groupBy("value").agg(F.max(F.struct("k", "component")).alias("largest"), F.sum("k").alias("all"))
     parts = parts.where(F.col("all") > F.col("largest.k"))
@@ -250,7 +256,7 @@ def _dealt(members: DataFrame) -> DataFrame:
     among = F.transform(F.sequence(F.lit(0), others - 1), lambda c: F.struct(F.least("chunk", c).alias("low"), F.greatest("chunk", c).alias("high")))
     with_others = F.transform(F.sequence(F.lit(0), others - 1), lambda c: F.struct(F.col("chunk").alias("low"), (-1 - c).alias("high")))
     meets = F.when(F.col("main"), with_others).otherwise(F.concat(with_main, among))
-    return members.withColumn("meet", F.explode(meets)).select("value", "node", "component", "main", "chunk", "meet.low", "meet.high")
+    return members.withColumn("meet", F.explode(meets)).select("value", "node", "component", "main", "chunk", "meet.low", "meet.high", *carried)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
@@ -307,9 +313,17 @@ def _links(docs: DataFrame, lists: DataFrame, classes: DataFrame, width: int, si
         links = links.unionByName(saved(_confirmed(pairs, sets, similar)))
         found = components(links)
         state = saved(nodes.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component")))
+    # links hold more of each other's full sets than of the sketches, so their rarest values are fewer and the lists shorter
+    least = F.expr(f"(s * {similar} + 99) div 100")
+    lists = saved(inverted_lists(sets.join(of_node.select("node"), "node", "left_semi"), "full", least))
+    pairs = saved(_short_lists(lists.where(F.col("n") <= SHORT), held).join(tested, ["a", "b"], "left_anti"))
+    links = links.unionByName(saved(_confirmed(pairs, sets, similar)))
+    lists = lists.where(F.col("n") > SHORT)
+    held = saved(held.drop("lists").join(lists.groupBy("node").agg(F.sort_array(F.collect_list("value")).alias("lists")), "node"))
     # a set is brought once to a group, not once to each of its pairs
     by = ["value", "low", "high"]
-    dealt = _dealt(lists.select("value", "node").join(state, "node")).join(held, "node").repartition(parts, *by)
+    # a member's row is put together before it is dealt to several groups
+    dealt = _dealt(lists.select("value", "node").join(held.join(state, "node"), "node")).repartition(parts, *by)
     ends = dealt.groupBy(*by).applyInPandas(lambda group: _candidates(group, similar), "value long, low int, high int, node long, partners array<long>")
     ends = saved(ends).join(sets, "node").repartition(parts, *by)
     return links.unionByName(saved(ends.groupBy(*by).applyInPandas(lambda group: _links_of_group(group, similar), "a long, b long")))

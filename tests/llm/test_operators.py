@@ -403,3 +403,38 @@ def test_fingerprints_shuffle_the_texts_once(shared, monkeypatch):
     fingerprint.fingerprints(shared.createDataFrame([(k, f"a text of {k} words") for k in range(300)], "doc_id long, text string")).collect()
     dealt = [line for line in written[0].splitlines() if re.search(r"Exchange hashpartitioning\(block#\d+L, \d+\)", line) and "Reused" not in line]
     assert len(dealt) == 1
+
+
+def test_a_group_of_unlinked_relatives_is_dealt_by_its_rarest_full_values(shared, monkeypatch):
+    base = [f"w{k}" for k in range(150)]
+    rng, texts = random.Random(3), []
+    for k in range(600):  # 8 words replaced change 32 of 147 shingles: linked with the base by some, seldom with one another
+        own = base[:]
+        for at in rng.sample(range(150), 8):
+            own[at] = f"x{k}_{at}"
+        texts.append((k + 1, " ".join(own)))
+    dealt = []
+    whole = near_dup._dealt
+
+    def counted(members):
+        dealt.append((members.select("value").distinct().count(), whole(members).count()))
+        return whole(members)
+
+    monkeypatch.setattr(near_dup, "_dealt", counted)
+    docs = shared.createDataFrame([(0, " ".join(base)), *texts], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(docs).collect()}
+    sets = {i: {tuple(t.split()[k : k + 4]) for k in range(147)} for i, t in [(0, " ".join(base)), *texts]}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in sets:
+        for b in range(a + 1, 601):
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) and find(a) != find(b):
+                root[max(find(a), find(b))] = min(find(a), find(b))
+    assert got == {i: find(i) for i in sets}
+    assert len(set(got.values())) > 100
+    assert all(rows < 12_000 for _, rows in dealt), dealt
