@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from chronofold.llm.kept import kept
 from chronofold.llm.storage import fold_of
 
 #: Symbols learnt of each language, and rows of it that they are taken from: bounds of the model, not of the texts judged.
@@ -184,15 +185,8 @@ def predictions(docs: DataFrame, texts: dict[str, list[int]]):
     return F.pandas_udf(judge, RESULT)
 
 
-_PARSERS: dict[str, CrossParser] = {}
-
-
 def _parser(texts: dict[str, list[int]]) -> CrossParser:
-    key = str(hash(tuple((name, tuple(texts[name])) for name in sorted(texts))))
-    if key not in _PARSERS:
-        _PARSERS.clear()
-        _PARSERS[key] = CrossParser(texts)
-    return _PARSERS[key]
+    return kept(("parser", hash(tuple((name, tuple(texts[name])) for name in sorted(texts)))), lambda: CrossParser(texts))
 
 
 def identified(docs: DataFrame) -> DataFrame:

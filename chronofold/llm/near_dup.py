@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronofold.llm.components import components
+from chronofold.llm.kept import dropped
 from chronofold.llm.shingles import mixed, shingle_sets
 from chronofold.llm.storage import fresh, saved
 
@@ -47,6 +48,7 @@ _LONGS = pa.list_(pa.int64())
 
 def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
     """The ids and sets of consecutive rows whose texts have about ``_BYTES`` bytes; a longer text comes alone or last."""
+    dropped()  # sets need memory of their own
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
         piece = (np.cumsum(sizes, dtype=np.int64) - sizes) // _BYTES

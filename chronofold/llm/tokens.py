@@ -1,8 +1,8 @@
 """Token ids of whole texts, with the vocabularies of public tokenizers.
 
 A vocabulary cuts a text into words before it merges within them, so a word's ids do not depend on its neighbours.
-Each worker therefore encodes a word once and looks it up from then on; the store of words is emptied when it holds
-``WORDS_KEPT`` of them. A text whose white space could bind words together, or that may spell out a special token, is encoded as a whole. Both ways give the
+Each worker therefore keeps the ids of words. Most words come once only, so a word's are kept for good when it has come
+again while among the last ``WORDS_NEW`` new ones; beyond ``WORDS_KEPT`` words these are forgotten too. A text whose white space could bind words together, or that may spell out a special token, is encoded as a whole. Both ways give the
 ids of ``Tokenizer.encode(text, add_special_tokens=False)``, which the tests compare.
 """
 
@@ -11,14 +11,17 @@ from __future__ import annotations
 import os
 import re
 import string
+import sys
 import unicodedata
-from functools import cache
+from array import array
 
 import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-WORDS_KEPT = 2_000_000
+from chronofold.llm.kept import kept
+
+WORDS_KEPT, WORDS_NEW = 400_000, 300_000
 _TAIL = re.compile(rf"[{re.escape(string.punctuation)}]+\Z")
 
 
@@ -32,6 +35,10 @@ def _letters(word: str) -> bool:
     return word.isalpha() and (word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha())
 
 
+def _packed(ids: list[int]) -> bytes:
+    return np.array(ids, dtype="<u4").tobytes() if sys.byteorder == "big" else array("I", ids).tobytes()
+
+
 class WordEncoder:
     """Ids of texts as little-endian 32-bit words. ``spaced``: a word's ids include those of the blank before it."""
 
@@ -42,29 +49,56 @@ class WordEncoder:
         self.special = {token.content[:2] for token in self.tokenizer.get_added_tokens_decoder().values()}
         self.spaced = bool(self.tokenizer.encode(" a", add_special_tokens=False).ids != self.tokenizer.encode("a", add_special_tokens=False).ids)
         self.lower = self.tokenizer.encode("A", add_special_tokens=False).ids == self.tokenizer.encode("a", add_special_tokens=False).ids
+        #: Words that came again, and those that came once of late.
         self.known: dict[str, bytes] = {"": b""}
+        self.new: dict[str, bytes] = {}
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [_packed(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _of_parts(self, parts: list[str]) -> dict[str, bytes]:
+        """The ids of words or parts of them. ASCII letters are never cut or changed before the merges (if lower-cased, where they have to be)."""
+        out: dict[str, bytes] = {}
+        others, merged = [], self.tokenizer.model.tokenize
+        for part in parts:
+            if part.isascii() and part.removeprefix(" ").isalpha() and (part.islower() or not self.lower):
+                out[part] = _packed([token.id for token in merged(part.replace(" ", "Ġ"))])  # how the byte vocabulary writes a blank
+            else:
+                others.append(part)
+        out.update(zip(others, self._encoded(others), strict=True))
+        return out
 
-    def _learn(self, words: list[str]) -> None:
-        """Letters and the marks after them are separate words to either vocabulary; their ids are put together."""
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of words that are not known. Letters and the marks after them are separate words to either vocabulary; their ids are put together."""
         blank = " " if self.spaced else ""
+        found: dict[str, bytes] = {}
         parts: dict[str, tuple[str, str]] = {}
-        new = set()
+        fresh = set()
         for word in set(words):
+            if word in self.new:
+                found[word] = self.known[word] = self.new.pop(word)
+                continue
             tail = _TAIL.search(word)
             stem = word[: tail.start()] if tail else word
             parts[word] = (stem, tail.group()) if tail and _letters(stem.removeprefix(blank)) and stem.startswith(blank) else (word, "")
-            new.update(p for p in parts[word] if p and p not in self.known)
-        fresh = list(new)
-        self.known.update(zip(fresh, self._encoded(fresh), strict=True))
-        self.known.update({word: self.known[a] + self.known[b] for word, (a, b) in parts.items()})
+            fresh.update(p for p in parts[word] if p not in self.known and p not in self.new)
+        self.new.update(self._of_parts(list(fresh)))
+        for word, (a, b) in parts.items():
+            first = self.known.get(a)
+            ids = self.new[a] if first is None else first
+            if b:
+                second = self.known.get(b)
+                ids += self.new[b] if second is None else second
+                self.new[word] = ids
+            found[word] = ids
+        return found
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text; none for a null or empty one."""
         if len(self.known) > WORDS_KEPT:
             self.known = {"": b""}
+        if len(self.new) > WORDS_NEW:
+            self.new = {}
         known = self.known
         out = []
         for text in texts:
@@ -81,13 +115,12 @@ class WordEncoder:
                 words[1:] = [" " + w for w in words[1:]]
             ids = list(map(known.get, words))
             if None in ids:
-                self._learn([w for w, i in zip(words, ids, strict=True) if i is None])
-                ids = map(known.get, words)
+                found = self._learn([w for w, i in zip(words, ids, strict=True) if i is None])
+                ids = [found[w] if i is None else i for w, i in zip(words, ids, strict=True)]
             out.append(b"".join(ids))
         return out
 
 
-@cache
 def encoder(vocabulary: str) -> WordEncoder:
-    """One per worker process and vocabulary."""
-    return WordEncoder(vocabulary)
+    """One per worker process, kept until another model is asked for."""
+    return kept(("encoder", vocabulary), lambda: WordEncoder(vocabulary))

@@ -14,7 +14,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from chronofold.llm import language, mixing, near_dup, packing, range_coder, shingles, tokens, toxicity, vptree
+from chronofold.llm import kept, language, mixing, near_dup, packing, range_coder, shingles, tokens, toxicity, vptree
 from chronofold.llm.token_store import joined_crc
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -58,6 +58,30 @@ def test_looked_up_words_give_the_ids_of_the_whole_text(vocabulary):
         assert [np.frombuffer(i, dtype="<u4").tolist() for i in own.encode(texts)] == whole
 
 
+@pytest.mark.parametrize("vocabulary", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_the_store_of_words_stays_small_and_gives_the_same_ids(vocabulary, monkeypatch):
+    monkeypatch.setattr(tokens, "WORDS_KEPT", 60)
+    monkeypatch.setattr(tokens, "WORDS_NEW", 40)
+    rng = random.Random(7)
+    words = ["".join(rng.choices("abcXYZ'é,.1", k=rng.randint(1, 6))) for _ in range(2000)]
+    texts = [" ".join([*rng.choices(words[:20], k=8), *words[k : k + 10]]) for k in range(0, 2000, 10)]
+    own, library = tokens.WordEncoder(vocabulary), Tokenizer.from_file(public_tokenizers.path(vocabulary))
+    for text in texts:
+        [ids] = own.encode([text])
+        assert np.frombuffer(ids, dtype="<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+        assert len(own.known) + len(own.new) < 60 + 40 + 80  # what one text adds
+    assert words[0] in own.known or " " + words[0] in own.known
+
+
+def test_a_worker_keeps_one_model_at_a_time():
+    first = tokens.encoder("word_bpe_49k.json")
+    assert tokens.encoder("word_bpe_49k.json") is first
+    language._parser({"en": [97, 98, 97]})
+    assert [key[0] for key in kept._KEPT] == ["parser"]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([1]), "text": pa.array(["a b c d e"])})
+    assert len(list(near_dup._sets(iter([batch]), 4))) == 1 and not kept._KEPT
+
+
 def test_texts_of_plain_spaces_are_told_from_others():
     rng = random.Random(4)
     odd = re.compile(r"\s\s|^\s|\s\Z|[^\S \n]")
