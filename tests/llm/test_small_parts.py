@@ -1,6 +1,7 @@
 """The parts that need no Spark, against brute force."""
 
 import math
+import pickle
 import random
 import re
 import tracemalloc
@@ -186,6 +187,28 @@ def test_neighbours_by_block_bounds_are_exact():
     assert index.score(None)[0] == index.score("")[0] == 0.5
 
 
+@pytest.mark.parametrize("common", [2, 20, 10**9])
+def test_texts_searched_together_have_the_neighbours_of_each_alone(common, monkeypatch):
+    monkeypatch.setattr(toxicity, "COMMON", common)
+    monkeypatch.setattr(toxicity, "POSTINGS", 5000)
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(300)]
+    often = [1 / (i + 1) for i in range(300)]
+    rows = [(i // 2, rng.randint(0, 1), dict(Counter(rng.choices(words, often, k=rng.randint(1, 30))))) for i in range(700)]
+    idf = {w: rng.uniform(0.5, 3) for w in words}
+    index = pickle.loads(pickle.dumps(toxicity.NearestExamples(rows, idf, 0.5)))
+    assert len(pickle.dumps(index)) < 60 * sum(len(r[2]) for r in rows)  # no matrix goes to the workers
+    unit = [{w: (1 + math.log(c)) * idf[w] for w, c in r[2].items()} for r in sorted(rows, key=lambda r: (r[0], r[1], sorted(r[2].items())))]
+    unit = [{w: x / math.sqrt(sum(y * y for y in v.values())) for w, x in v.items()} for v in unit]
+    counts = [Counter(rng.choices([*words, "new"], [*often, 0.1], k=rng.randint(0, 40))) for _ in range(150)] + [Counter(), Counter(["new"])]
+    for got, asked in zip(index.nearest_of(counts), counts, strict=True):
+        query = {w: (1 + math.log(c)) * idf[w] for w, c in asked.items() if w in idf}
+        norm = math.sqrt(sum(x * x for x in query.values()))
+        cosines = sorted(((sum(x / norm * v.get(w, 0) for w, x in query.items()), i) for i, v in enumerate(unit)), key=lambda c: (-round(c[0], 12), c[1])) if norm else []
+        cosines = [c for c in cosines[: toxicity.NEAREST] if c[0] > 0]
+        assert [i for _, i in got] == [i for _, i in cosines] and np.allclose([c for c, _ in got], [c for c, _ in cosines], rtol=0, atol=1e-12)
+
+
 def test_tree_search_is_exact_at_factor_one():
     rng = np.random.default_rng(6)
     vectors = vptree._unit(np.concatenate([rng.normal(size=(700, 8)), np.repeat(rng.normal(size=(3, 8)), 40, axis=0)]))
