@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from chronofold.llm.ordering import BLOCK, in_blocks, next_blocks
 from chronofold.llm.storage import saved
 
-#: ROWS: of a block of neighbouring documents; many small blocks fill the partitions evenly.
-SAMPLES, ROWS = 64, 128
+#: ROWS: of a block of neighbouring documents; many small blocks fill the partitions evenly. TOGETHER: draws that one
+#: row of a word makes, so that a text's groups are looked up once for all of them; more make code that is too long to compile.
+SAMPLES, ROWS, TOGETHER = 64, 128, 4
 _26_BITS = (1 << 26) - 1
 _SPLIT = r"[\x20\x09-\x0D]+"
 
@@ -63,18 +64,18 @@ def sampled(texts: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     weights = [F.sum(F.when((F.col("side") == i) & F.col("word").isNotNull(), 1)).alias(f"w{i}") for i in range(len(columns))]
     terms = words.groupBy(*keys, "word").agg(*weights)
     logs = [F.log(f"w{i}").alias(f"ln_w{i}") for i in range(len(columns))]
-    draws = terms.select(*keys, "word", *logs, F.explode(F.array(*(F.lit(k) for k in range(SAMPLES)))).alias("draw"))
+    draws = terms.select(*keys, "word", *logs, F.explode(F.array(*(F.lit(k) for k in range(0, SAMPLES, TOGETHER)))).alias("draw"))
     # as columns of their own, so that they are computed once for all of the texts
-    variates = [x.alias(name) for x, name in zip(_variates(F.col("word"), F.col("draw")), ("r", "ln_c", "b"), strict=True)]
+    variates = [x.alias(f"{name}{k}") for k in range(TOGETHER) for x, name in zip(_variates(F.col("word"), F.col("draw") + k), ("r", "ln_c", "b"), strict=True)]
     draws = draws.select("*", *variates)
-    least = [F.min(_draw(F.col("word"), F.col(f"ln_w{i}"), F.col("r"), F.col("ln_c"), F.col("b"))).alias(f"m{i}") for i in range(len(columns))]
-    drawn = draws.groupBy(*keys, "draw").agg(*least)
+    least = [[F.min(_draw(F.col("word"), F.col(f"ln_w{i}"), F.col(f"r{k}"), F.col(f"ln_c{k}"), F.col(f"b{k}"))) for k in range(TOGETHER)] for i in range(len(columns))]
+    drawn = draws.groupBy(*keys, "draw").agg(*(F.array(*m).alias(f"m{i}") for i, m in enumerate(least)))
     values = F.struct("draw", *(f"m{i}" for i in range(len(columns))))
     drawn = drawn.groupBy(*keys).agg(F.sort_array(F.collect_list(values)).alias("drawn"))
 
     def signature(i: int) -> Column:
-        low = F.transform("drawn", lambda d: d[f"m{i}"].bitwiseAND(F.lit((1 << 31) - 1)).cast("int"))
-        return F.when(F.col("drawn")[0][f"m{i}"].isNull(), F.array().cast("array<int>")).otherwise(low).alias(columns[i])
+        low = F.transform(F.flatten(F.transform("drawn", lambda d: d[f"m{i}"])), lambda m: m.bitwiseAND(F.lit((1 << 31) - 1)).cast("int"))
+        return F.when(F.col("drawn")[0][f"m{i}"][0].isNull(), F.array().cast("array<int>")).otherwise(low).alias(columns[i])
 
     return drawn.select(*keys, *(signature(i) for i in range(len(columns))))
 

@@ -438,3 +438,16 @@ def test_a_group_of_unlinked_relatives_is_dealt_by_its_rarest_full_values(shared
     assert got == {i: find(i) for i in sets}
     assert len(set(got.values())) > 100
     assert all(rows < 12_000 for _, rows in dealt), dealt
+
+
+def test_draws_made_together_are_those_made_one_by_one(spark, monkeypatch):
+    rng = random.Random(11)
+    rows = [(i, " ".join(rng.choices("ab cd ef gh a a a".split(), k=rng.randint(0, 12))), rng.choice(["", " ", None, "a b", "x a x"])) for i in range(30)]
+    texts = spark.createDataFrame(rows, "id long, one string, two string")
+    found = []
+    for together in (1, 4):
+        monkeypatch.setattr(fingerprint, "TOGETHER", together)
+        found.append({r.id: (r.one, r.two) for r in fingerprint.sampled(texts, ["id"], ["one", "two"]).collect()})
+    assert found[0] == found[1] and len(found[0]) == 30
+    for i, one, two in rows:
+        assert [len(x) for x in found[1][i]] == [fingerprint.SAMPLES if (t or "").split() else 0 for t in (one, two)]
